@@ -1,0 +1,33 @@
+"""Top-k, full ranking and preview."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from seedwise.operators.numbering import ordered_index
+
+
+def rank_order(score: str = "score", id_col: str = "user_id") -> list[Column]:
+    """Highest score first; ties by id ascending (the reference's ties fall in
+    collect order, which is not stable across runs)."""
+    return [F.col(score).desc(), F.col(id_col).asc()]
+
+
+def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "user_id") -> DataFrame:
+    """The ``k`` best rows (``TakeOrderedAndProject``: each task keeps k rows);
+    ``k <= 0`` means every row, globally sorted by a range-partitioned sort."""
+    ordered = scored.orderBy(*rank_order(score, id_col))
+    return ordered.limit(k) if k > 0 else ordered
+
+
+def all_ranked(scored: DataFrame, score: str = "score", id_col: str = "user_id",
+               rank_col: str = "rank") -> DataFrame:
+    """T1 with a 1-based ``rank`` over all rows, numbered without a single-task window."""
+    r = ordered_index(scored, [], rank_order(score, id_col), idx_col="_r")
+    return r.withColumn(rank_col, (F.col("_r") + 1).cast("bigint")).drop("_r")
+
+
+def preview(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first ``n`` rows after an explicit sort."""
+    return df.orderBy(*order).limit(n)

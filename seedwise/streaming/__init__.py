@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The jobs this package rebuilds are batch jobs over daily partitions; they have
+no stream source, watermark, window or state, so there is nothing to express in
+Structured Streaming. Daily re-runs use ``sources.tables.latest_partition`` and
+``sources.sinks.write_day_partition``.
+"""
