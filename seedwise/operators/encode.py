@@ -169,16 +169,19 @@ def fit_encoding(df: DataFrame, layout: Sequence[Feature], id_col: str = "user_i
     layout = list(layout)
     long_df = long_df if long_df is not None else long_values(df, layout, id_col)
     values = (long_df.where(F.col("pos").isNotNull())
-                     .select("pos", "val", "ord_l", "ord_d").distinct())
+                     .select("pos", "val", "ord_l", "ord_d").distinct()
+                     .persist(StorageLevel.MEMORY_AND_DISK))
+    # One row per column comes back: the arity, which also bounds the numbering.
+    counts = {r["pos"]: int(r["n"]) for r in
+              values.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()}
     numbered = ordered_index(
         values, ["pos"],
         [F.col("ord_l").asc_nulls_last(), F.col("ord_d").asc_nulls_last(),
-         F.col("val").asc_nulls_last()], idx_col="idx")
+         F.col("val").asc_nulls_last()], idx_col="idx", max_rows=max(counts.values(), default=0))
     names = F.element_at(F.array(*[F.lit(f.name) for f in layout]), F.col("pos") + 1)
     dictionary = numbered.withColumn("col_name", names).select(
         "pos", "col_name", "val", "ord_l", "ord_d", "idx").persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {r["pos"]: r["n"] for r in dictionary.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return Encoding(layout, dictionary, [int(counts.get(i, 0)) for i in range(len(layout))])
+    return Encoding(layout, dictionary, [counts.get(i, 0) for i in range(len(layout))])
 
 
 def _array_literal(values: Sequence, dtype: str) -> Column:
@@ -186,21 +189,23 @@ def _array_literal(values: Sequence, dtype: str) -> Column:
 
 
 def indexed_long(df: DataFrame, enc: Encoding, id_col: str = "user_id",
-                 keep: Sequence[str] = ()) -> DataFrame:
+                 keep: Sequence[str] = (), long_df: DataFrame | None = None) -> DataFrame:
     """The long table with each value's dictionary index ``idx``."""
-    long_df = long_values(df, enc.layout, id_col, keep)
+    if long_df is None:
+        long_df = long_values(df, enc.layout, id_col, keep)
     return lookup_join(long_df, enc.dictionary.select("pos", "val", "idx"), ["pos", "val"],
                        small_rows=enc.width, how="left", null_safe=["val"], salt_from=id_col)
 
 
 def onehot_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
-                    keep: Sequence[str] = ("cycle", "reader")) -> DataFrame:
+                    keep: Sequence[str] = ("cycle", "reader"),
+                    long_df: DataFrame | None = None) -> DataFrame:
     """``(id, feature_size, feature "i,j,k", keep…)``; positions ascending.
 
     One aggregate per user; columns carried in ``keep`` are per-user values of
     the profile (one row per id).
     """
-    j = indexed_long(df, enc, id_col, keep)
+    j = indexed_long(df, enc, id_col, keep, long_df)
     offs = _array_literal(enc.offsets(), "int")
     hot = F.element_at(offs, F.col("pos") + 1) + F.col("idx")
     agg = j.groupBy(id_col).agg(*[F.max(k).alias(k) for k in keep],
@@ -210,10 +215,11 @@ def onehot_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
 
 
 def categorical_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
-                         keep: Sequence[str] = ("cycle", "reader")) -> DataFrame:
+                         keep: Sequence[str] = ("cycle", "reader"),
+                         long_df: DataFrame | None = None) -> DataFrame:
     """``feature`` = every multi slot as ``2:0``/``2:1`` (multi columns in
     order), then each single column as ``arity:index``."""
-    j = indexed_long(df, enc, id_col, keep)
+    j = indexed_long(df, enc, id_col, keep, long_df)
     is_multi = _array_literal([f.multi for f in enc.layout], "boolean")
     moffs = _array_literal(enc.offsets(only_multi=True), "int")
     pos1 = F.col("pos") + 1

@@ -24,9 +24,14 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return 8
 
 
+# Largest row count that one window task may number on its own (checked count or
+# proven bound); above it the range-bucketed path is used.
+SINGLE_TASK_ROWS = 2_000_000
+
+
 def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
                   idx_col: str = "idx", sum_cols: Sequence[str] = (),
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Add ``idx_col``: 0-based position of the row inside its group, ordered by
     ``order_cols`` (sort-order columns such as ``F.col("v").asc_nulls_last()``).
 
@@ -34,9 +39,20 @@ def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     rows of the group that come earlier. Ties in ``order_cols`` are numbered in an
     arbitrary but fixed order, so feed distinct rows when a dense index is meant.
     The group columns must not be NULL.
+
+    ``max_rows`` is a known upper bound on the row count (a checked count, or a
+    bound such as trees * leaves). When it is at most ``SINGLE_TASK_ROWS`` the
+    numbering is a plain window per group: no sampling job and no checkpoint.
     """
-    n = buckets or _shuffle_partitions(df)
     group_cols = list(group_cols)
+    if max_rows is not None and max_rows <= SINGLE_TASK_ROWS:
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        out = df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("int"))
+        for c in sum_cols:
+            prev = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
+            out = out.withColumn(f"{c}_before", F.coalesce(prev, F.lit(0)))
+        return out
+    n = buckets or _shuffle_partitions(df)
     bucketed = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *order_cols)
                   .withColumn("_bucket", F.spark_partition_id()))
     bucketed = cut_lineage(bucketed)

@@ -70,9 +70,11 @@ def leaf_values(per_tree: DataFrame, col: str = "tree_scores") -> DataFrame:
                     .distinct())
 
 
-def leaf_dictionary(values: DataFrame) -> DataFrame:
-    """``(tree_id, leaf_value, idx)``, values numbered ascending inside a tree."""
-    return ordered_index(values, ["tree_id"], [F.col("leaf_value").asc()], idx_col="idx")
+def leaf_dictionary(values: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``(tree_id, leaf_value, idx)``, values numbered ascending inside a tree.
+    ``max_rows`` (trees * 2^depth) bounds a tree's entries."""
+    return ordered_index(values, ["tree_id"], [F.col("leaf_value").asc()], idx_col="idx",
+                         max_rows=max_rows)
 
 
 def _is_slot(slot: Column):
@@ -94,7 +96,7 @@ class LeafCode:
     @classmethod
     def fit(cls, per_tree: DataFrame, n_trees: int, col: str = "tree_scores",
             max_entries: int | None = None) -> "LeafCode":
-        rows = leaf_dictionary(leaf_values(per_tree, col)).collect()
+        rows = leaf_dictionary(leaf_values(per_tree, col), max_entries).collect()
         if max_entries is not None and len(rows) > max_entries:
             raise ValueError(f"leaf dictionary has {len(rows)} entries, above {max_entries}")
         return cls(rows, n_trees)

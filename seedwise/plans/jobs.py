@@ -22,12 +22,19 @@ from seedwise.plans.profile import CYCLE_TOKEN, READER_CODES
 
 
 # ---------------------------------------------------------------- E1 / E2
+def _persisted_long(profile: DataFrame, layout, id_col: str, keep) -> DataFrame:
+    """The long (user, column, value) table, read by the dictionary and the
+    encoder; persisted so the profile source is scanned once."""
+    return encode.long_values(profile, layout, id_col, keep).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def onehot_job(profile: DataFrame, columns: Sequence[str], keep=("cycle", "reader"),
                id_col: str = "user_id") -> tuple[DataFrame, encode.Encoding]:
     """One-hot feature table ``(id, feature_size, feature, cycle, reader)``."""
     layout = encode.onehot_layout(profile, columns)
-    enc = encode.fit_encoding(profile, layout, id_col)
-    return encode.onehot_features(profile, enc, id_col, keep), enc
+    long_df = _persisted_long(profile, layout, id_col, keep)
+    enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
+    return encode.onehot_features(profile, enc, id_col, keep, long_df=long_df), enc
 
 
 def categorical_job(profile: DataFrame, singles: Sequence[str], multis: Sequence[str],
@@ -35,8 +42,9 @@ def categorical_job(profile: DataFrame, singles: Sequence[str], multis: Sequence
                     ) -> tuple[DataFrame, encode.Encoding]:
     """Categorical feature table ``(id, feature "2:0,…,arity:idx", cycle, reader)``."""
     layout = encode.categorical_layout(profile, singles, multis)
-    enc = encode.fit_encoding(profile, layout, id_col)
-    return encode.categorical_features(profile, enc, id_col, keep), enc
+    long_df = _persisted_long(profile, layout, id_col, keep)
+    enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
+    return encode.categorical_features(profile, enc, id_col, keep, long_df=long_df), enc
 
 
 def feature_width(features: DataFrame) -> int:

@@ -1,0 +1,112 @@
+"""Invariants of the model-dependent operators (rows-only in the oracle check)."""
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from seedwise.functions.vectors import positions_to_vector
+from seedwise.operators import populations, trees
+from seedwise.plans import catalog as C
+from seedwise.plans import jobs
+from seedwise.plans import profile as P
+from seedwise.session import cut_lineage
+
+SMALL_GBT = {"max_iter": 5}
+
+
+@pytest.fixture(scope="module")
+def encoded(spark):
+    oh, enc = jobs.onehot_job(C._profile(spark, SF_SMALL), P.ONEHOT_COLUMNS)
+    return cut_lineage(oh), enc
+
+
+def test_decode_roundtrip(spark, encoded):
+    oh, enc = encoded
+    vec = positions_to_vector(oh, "feature", enc.width, "features")
+    rows = vec.select("feature", vector_to_array("features").alias("a")).collect()
+    for r in rows:
+        hot = [i for i, v in enumerate(r["a"]) if v != 0]
+        assert ",".join(map(str, hot)) == r["feature"]
+        assert len(r["a"]) == enc.width
+
+
+def test_expansion_invariants(spark, encoded):
+    oh, enc = encoded
+    seeds = C._seeds(spark, SF_SMALL)
+    exp = jobs.expand(oh, seeds, model="gbt", width=enc.width, gbt_params=SMALL_GBT)
+    scores = exp.scores.collect()
+    cands = populations.candidates(
+        oh.where(populations.in_list("reader", P.READER_CODES)), seeds, P.CYCLE_TOKEN, False)
+    assert len(scores) == cands.count()
+    seed_ids = {r["user_id"] for r in seeds.keys.collect()}
+    assert not seed_ids & {r["user_id"] for r in scores}          # exclusive: no seed
+    ranked = [r["score"] for r in exp.ranked.collect()]
+    assert ranked == sorted(ranked, reverse=True)
+    top = jobs.expand(oh, seeds, model="gbt", width=enc.width, gbt_params=SMALL_GBT,
+                      target_size=7).ranked.collect()
+    assert len(top) == 7
+    incl = jobs.expand(oh, seeds, model="lr", width=enc.width, inclusive=True)
+    assert incl.scores.count() == oh.where(populations.in_list("reader", P.READER_CODES)) \
+        .where(populations.in_cycle("cycle", P.CYCLE_TOKEN)).count()
+    probs = [r["score"] for r in incl.scores.collect()]
+    assert all(0.0 <= p <= 1.0 for p in probs)
+    hard = jobs.expand(oh, seeds, model="lr", width=enc.width, hard_lr=True)
+    assert {r["score"] for r in hard.scores.collect()} <= {0.0, 1.0}
+    rep = jobs.expansion_report(exp).first().asDict()
+    assert rep["tp"] + rep["fp"] + rep["fn"] + rep["tn"] == exp.training.count()
+
+
+def test_trees_learn_a_learnable_label(spark, encoded):
+    oh, enc = encoded
+    # label from the features' own source: customers with more than 10 orders
+    orders = P.table(spark, SF_SMALL, "orders").groupBy(F.col("o_custkey").alias("user_id")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    data = oh.join(orders, "user_id").withColumn("label", (F.col("n") > 10).cast("double"))
+    data = positions_to_vector(data, "feature", enc.width, "features")
+    model = trees.fit_gbt(data, max_iter=10)
+    from seedwise.operators import evaluate
+    scored = trees.score_gbt(model, data)
+    assert evaluate.auc(scored).first()["auc"] > 0.5
+
+
+def test_tree_scores_sum_to_ensemble(spark, encoded):
+    oh, enc = encoded
+    data = positions_to_vector(populations.hash_split(oh).withColumn(
+        "label", F.col("half").cast("double")), "feature", enc.width, "features")
+    model = trees.fit_gbt(data, max_iter=6)
+    per = trees.tree_scores(model, data).select("tree_scores")
+    ens = trees.score_gbt(model, data).select("score")
+    w = model.treeWeights
+    for a, b in zip(per.collect(), ens.collect()):
+        assert sum(wi * s for wi, s in zip(w, a["tree_scores"])) == pytest.approx(b["score"], abs=1e-9)
+
+
+def test_leaf_features_one_slot_per_tree(spark, encoded):
+    oh, enc = encoded
+    lf = jobs.leaf_job(oh, width=enc.width, gbt_params=SMALL_GBT)
+    rows = lf.features.collect()
+    assert rows
+    widths = lf.code.widths
+    for r in rows:
+        bits = [int(x) for x in r["feature"].split(",")]
+        assert len(bits) == sum(widths)
+        start = 0
+        for w in widths:
+            assert sum(bits[start:start + w]) == 1
+            start += w
+    lfi = jobs.leaf_job(oh, width=enc.width, gbt_params=SMALL_GBT, key="index")
+    assert lfi.features.count() == len(rows)
+
+
+def test_model_roundtrip(spark, encoded, tmp_dir):
+    oh, enc = encoded
+    from seedwise.sources import sinks
+    data = positions_to_vector(populations.hash_split(oh).withColumn(
+        "label", F.col("half").cast("double")), "feature", enc.width, "features")
+    model = trees.fit_gbt(data, max_iter=3)
+    sinks.save_model(model, f"{tmp_dir}/m")
+    back = sinks.load_gbt_model(f"{tmp_dir}/m")
+    a = [r["score"] for r in trees.score_gbt(model, data).collect()]
+    b = [r["score"] for r in trees.score_gbt(back, data).collect()]
+    assert a == b
