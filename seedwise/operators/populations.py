@@ -62,6 +62,17 @@ def in_list(col: str | Column, codes: Sequence[int]) -> Column:
     return F.coalesce(c.try_cast("int").isin(*codes), F.lit(False))
 
 
+def code_filter(df: DataFrame, col: str, codes: Sequence[int]) -> DataFrame:
+    """P1 on a frame: an integer code column is compared as is, so the ``In``
+    predicate reaches the Parquet scan (``PushedFilters``); a text code keeps
+    the cast-to-int semantics of the source table (``"07"`` matches 7)."""
+    from pyspark.sql import types as T
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return df.where(F.col(col).isin(*codes))
+    return df.where(in_list(col, codes))
+
+
 def in_cycle(cycle_col: str, token: int) -> Column:
     """P3 on the activity-window column."""
     return has_token(cycle_col, token)

@@ -43,7 +43,8 @@ def _seeds(spark: SparkSession, sf: str) -> SeedSet:
 
 
 def _reader_users(spark: SparkSession, sf: str) -> DataFrame:
-    return _profile(spark, sf).where(populations.in_list("reader", P.READER_CODES))
+    # the profile's code is the integer nation key, so the IN-list reaches the scan
+    return populations.code_filter(_profile(spark, sf), "nation", P.READER_CODES)
 
 
 def _fixed_score(df: DataFrame) -> DataFrame:
@@ -105,6 +106,18 @@ def q_seed_source(spark, sf):
     return text.id_lines(spark, path)
 
 
+def q_column_list_source(spark, sf):
+    """E1 parameterised by a column-list file (S5): blank, padded and ``null``
+    lines are dropped, order is kept, then the whole profile is encoded."""
+    path = scratch_path(spark, "columns")
+    lines = ["", " null "] + [f"  {c} " for c in P.ONEHOT_COLUMNS] + ["null", ""]
+    spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "n int, v string") \
+        .orderBy("n").coalesce(1).select("v").write.mode("overwrite").text(path)
+    columns = text.read_column_list(spark, path)
+    oh, _ = jobs.onehot_job(_profile(spark, sf), columns)
+    return oh
+
+
 def q_seed_from_table(spark, sf):
     c = P.table(spark, sf, "customer").where(F.col("c_acctbal") > F.lit(P.SEED_BALANCE))
     return tables.seed_from_table(c, "c_custkey")

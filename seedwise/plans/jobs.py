@@ -87,7 +87,7 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
     unless ``inclusive``. The cycle filter is a column expression, so it is
     applied before any vector is built.
     """
-    users = features.where(populations.in_list("reader", reader_codes)).select(
+    users = populations.code_filter(features, "reader", reader_codes).select(
         "user_id", "feature", "cycle")
     width = width if width is not None else feature_width(features)
     counts = populations.population_counts(users, seeds, cycle_token).first().asDict()
@@ -139,7 +139,7 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     share a slot); ``key="index"`` uses Spark's leaf index instead.
     """
     width = width if width is not None else feature_width(features)
-    users = (features.where(populations.in_list("reader", reader_codes))
+    users = (populations.code_filter(features, "reader", reader_codes)
                      .where(populations.in_cycle("cycle", cycle_token))
                      .select("user_id", "feature"))
     split = populations.hash_split(users)

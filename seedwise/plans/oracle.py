@@ -215,6 +215,7 @@ UNION ALL SELECT user_id, CAST(0.0 AS DOUBLE) AS label FROM negatives""", _ratio
     "onehot_index": _w("""SELECT user_id, col_name, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY tpos) AS idx
 FROM idx_l1 GROUP BY user_id, col_name""", _L1),
     "onehot_features": _w("SELECT * FROM onehot", ONEHOT),
+    "column_list_source": _w("SELECT * FROM onehot", ONEHOT),
     "onehot_decode": _w("""SELECT user_id, CAST(tok AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
 FROM (SELECT user_id, unnest(string_split(feature, ',')) AS tok FROM onehot) WHERE tok <> ''""", ONEHOT),
     "feature_size_check": _w("SELECT count(DISTINCT feature_size) AS n_widths, max(feature_size) AS width FROM onehot", ONEHOT),

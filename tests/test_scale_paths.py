@@ -1,0 +1,80 @@
+"""The large-data code paths, forced on small data: range-bucketed numbering,
+salted dictionary joins, non-broadcast seed joins. Results must not change."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from seedwise.operators import encode, joins, numbering, populations
+from seedwise.operators.populations import SeedSet
+from seedwise.plans import catalog as C
+from seedwise.plans import jobs
+from seedwise.plans import profile as P
+
+
+def _rows(df, key="user_id"):
+    return sorted(tuple(r) for r in df.orderBy(key).collect())
+
+
+@pytest.fixture(scope="module")
+def profile(spark):
+    return C._profile(spark, SF_SMALL).cache()
+
+
+def test_encoders_same_on_large_paths(spark, profile, monkeypatch):
+    small_oh, _ = jobs.onehot_job(profile, P.ONEHOT_COLUMNS)
+    small_cat, _ = jobs.categorical_job(profile, P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
+    expect_oh, expect_cat = _rows(small_oh), _rows(small_cat)
+
+    # numbering through range buckets + checkpoint, dictionary joined with salt
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
+    monkeypatch.setattr(joins, "DEFAULT_MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(joins.lookup_join, "__defaults__",
+                        ("left", (), None, 1, joins.DEFAULT_SALT_BUCKETS))
+    big_oh, enc = jobs.onehot_job(profile, P.ONEHOT_COLUMNS)
+    big_cat, _ = jobs.categorical_job(profile, P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
+    plan = big_oh._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    assert _rows(big_oh) == expect_oh
+    assert _rows(big_cat) == expect_cat
+
+
+def test_salted_lookup_join_matches_broadcast(spark):
+    big = spark.createDataFrame([(i, f"v{i % 3}" if i % 5 else None) for i in range(300)],
+                                "user_id long, val string")
+    small = spark.createDataFrame([("v0", 0), ("v1", 1), ("v2", 2), (None, 3)],
+                                  "val string, idx int")
+    a = joins.lookup_join(big, small, ["val"], small_rows=4, null_safe=["val"])
+    b = joins.lookup_join(big, small, ["val"], small_rows=4, null_safe=["val"],
+                          salt_from="user_id", max_rows=1, salt_buckets=7)
+    assert _rows(a) == _rows(b)
+    assert {r["idx"] for r in b.collect()} == {0, 1, 2, 3}
+
+
+def test_seed_joins_without_broadcast(spark, profile):
+    seeds = C._seeds(spark, SF_SMALL)
+    shuffled = SeedSet(seeds.keys, n_keys=seeds.n_keys, max_broadcast_rows=0)
+    for fn in (populations.seed_users, populations.non_seed_users):
+        assert _rows(fn(profile, seeds).select("user_id")) == \
+            _rows(fn(profile, shuffled).select("user_id"))
+    a = populations.population_counts(profile, seeds, P.CYCLE_TOKEN).first()
+    b = populations.population_counts(profile, shuffled, P.CYCLE_TOKEN).first()
+    assert a == b
+
+
+def test_bigint_dictionary_range_path(spark, monkeypatch):
+    o = P.table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey")
+    expect, _ = encode.index_single(o, "o_custkey", ["o_orderkey"])
+    expect = _rows(expect, "o_orderkey")
+    monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
+    got, enc = encode.index_single(o, "o_custkey", ["o_orderkey"])
+    assert _rows(got, "o_orderkey") == expect
+    idx = sorted(r["idx"] for r in enc.dictionary.collect())
+    assert idx == list(range(len(idx)))
+
+
+def test_code_filter_pushdown_and_text_semantics(spark):
+    df = spark.createDataFrame([(1, 7, "07"), (2, 8, "8"), (3, 9, "x")],
+                               "user_id long, code int, code_txt string")
+    assert [r["user_id"] for r in populations.code_filter(df, "code", [7, 9]).collect()] == [1, 3]
+    assert [r["user_id"] for r in populations.code_filter(df, "code_txt", [7, 9]).collect()] == [1]
