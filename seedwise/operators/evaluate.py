@@ -15,7 +15,7 @@ from seedwise.functions.columns import binarise
 from seedwise.operators.numbering import ordered_index
 
 # Fixed value: the decision threshold. The confusion matrix uses ``>=``; the
-# binarised AUC and the "lookalike size" use a strict ``>``.
+# binarised AUC and the "expansion size" use a strict ``>``.
 THRESHOLD = 0.5
 
 
@@ -63,7 +63,7 @@ def auc_binarised(scored: DataFrame, score: str = "score", label: str = "label",
     return auc(b, "_b", label, out)
 
 
-def threshold_count(scored: DataFrame, score: str = "score", out: str = "lookalike_size") -> DataFrame:
+def threshold_count(scored: DataFrame, score: str = "score", out: str = "expansion_size") -> DataFrame:
     """Number of rows with ``score > 0.5``."""
     return scored.agg(F.count_if(F.col(score) > F.lit(THRESHOLD)).alias(out))
 

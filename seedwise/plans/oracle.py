@@ -178,7 +178,7 @@ SELECT stat_date, count(*) AS n_rows FROM e WHERE stat_date = (SELECT d FROM m)
   array_to_string({_toks('priorities')}, '|') AS tokens FROM profile"""),
     "date_key": """SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS today_key,
   CAST(strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS BIGINT) AS yesterday_key FROM orders""",
-    "score_threshold_count": _w("SELECT count(*) FILTER (WHERE score > 0.5) AS lookalike_size FROM docscore"),
+    "score_threshold_count": _w("SELECT count(*) FILTER (WHERE score > 0.5) AS expansion_size FROM docscore"),
     "seed_users": _w("SELECT user_id FROM flagged WHERE is_seed"),
     "non_seed_users": _w("SELECT user_id FROM flagged WHERE NOT is_seed"),
     "candidates_inclusive": _w("SELECT user_id FROM flagged WHERE cyc"),
