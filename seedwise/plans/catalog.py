@@ -100,6 +100,19 @@ def q_latest_partition(spark, sf):
     return rows.groupBy("stat_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_latest_partition_table(spark, sf):
+    """S3 + P2 on a real day-partitioned table: events are written partitioned
+    by ``stat_date`` (K1), then the newest non-empty day before ``AS_OF`` is
+    found by probing pruned partitions."""
+    path = scratch_path(spark, "events-by-day")
+    ev = tables.with_date_key(P.table(spark, sf, "events"), "ts")
+    ev.write.mode("overwrite").partitionBy("stat_date").parquet(path)
+    t = sinks.read_day_partitions(spark, path)
+    pred = (F.col("event_type") == F.lit(EVENT_TYPE)) & (F.col("value") > F.lit(EVENT_MIN_VALUE))
+    key, rows = tables.latest_partition(t, AS_OF, where=pred)
+    return rows.groupBy("stat_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_seed_source(spark, sf):
     path = scratch_path(spark, "seeds")
     text.write_lines(P.seed_lines(spark, sf), "id", path)

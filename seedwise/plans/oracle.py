@@ -242,3 +242,4 @@ UNION ALL SELECT *, CAST({_YESTERDAY} AS BIGINT) AS stat_date FROM onehot""", ON
     "score_file_roundtrip": _w("SELECT user_id, score FROM top_scored"),
     "id_file_roundtrip": _w("SELECT CAST(user_id AS VARCHAR) AS user_id FROM top_scored"),
 }
+SQL["latest_partition_table"] = SQL["latest_partition"]
