@@ -78,9 +78,14 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
-    from seedwise.session import build_session
     import __spark_entry__ as E
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("SEEDWISE_PLAIN_SESSION"):
+        # a session with Spark's defaults only, as a caller might bring
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        from seedwise.session import build_session
+        spark = build_session("local[8]", shuffle_partitions=8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
