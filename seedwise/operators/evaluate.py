@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from seedwise.functions.columns import binarise
 from seedwise.operators.numbering import ordered_index
 
-# Fixed value: the decision threshold. The confusion matrix uses ``>=``; the
-# binarised AUC and the "expansion size" use a strict ``>``.
-THRESHOLD = 0.5
+from seedwise.constants import THRESHOLD
 
 
 def _ratio(num: Column, den: Column) -> Column:

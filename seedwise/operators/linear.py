@@ -7,10 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the logistic job: L-BFGS with an L2 penalty.
-LR_MAX_ITER = 5000
-LR_REG_PARAM = 0.6
-LR_TOL = 1e-6
+from seedwise.constants import LR_MAX_ITER, LR_REG_PARAM, LR_TOL
 
 
 def fit_lr(train: DataFrame, features: str = "features", label: str = "label",

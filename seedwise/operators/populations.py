@@ -13,14 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedwise.constants import NEGATIVES_PER_POSITIVE, SAMPLE_SEED, SPLIT_SEED  # noqa: F401
 from seedwise.functions.columns import has_token, hash_below, hash_unit, two_32
 from seedwise.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
-# Fixed values of the expansion jobs.
-NEGATIVES_PER_POSITIVE = 10
-SAMPLE_SEED = 1
-SPLIT_SEED = 11
-
 
 def seed_keys(seeds: DataFrame, col: str = "id") -> DataFrame:
     """Distinct bigint keys ``user_id`` of the seeds that can equal an id's text."""

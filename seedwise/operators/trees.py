@@ -12,14 +12,10 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedwise.constants import GBT_DEPTH, GBT_ITERATIONS, GBT_MIN_INSTANCES, GBT_STEP
 from seedwise.operators.numbering import ordered_index
 
-# The boosting defaults of the expansion and leaf-feature jobs.
-GBT_ITERATIONS = 50
-GBT_DEPTH = 3
-GBT_STEP = 0.5
-GBT_MIN_INSTANCES = 1
-GBT_SEED = 2017
+GBT_SEED = 2017      # our own choice; any seed gives the same trees without subsampling
 
 
 def fit_gbt(train: DataFrame, features: str = "features", label: str = "label",

@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seedwise.constants import CYCLE_TOKEN  # noqa: F401  (users holding month 7)
 from seedwise.functions.columns import wrap_tokens
 
-# Fixed values of the test-data stand-ins.
-CYCLE_TOKEN = 7                 # users "inside the cycle" hold month 7
+# Values of the test-data stand-ins (our choices for the driver tables).
 HIGH_PRICE = 300000             # orders above this price feed the multi columns
 SEED_BALANCE = 9000             # seeds: customers with a balance above this
 READER_CODES = (0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24)   # IN-list on `reader`

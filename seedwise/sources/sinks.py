@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedwise.constants import TREE_SCORE_SEP
+
 PART_COL = "stat_date"
 
 
@@ -58,7 +60,7 @@ def write_scores_table(df: DataFrame, path: str, as_of: dt.date, fmt: str = "par
     return key
 
 
-def write_score_file(ranked: DataFrame, path: str, sep: str = "\u0001",
+def write_score_file(ranked: DataFrame, path: str, sep: str = TREE_SCORE_SEP,
                      order: list[Column] | None = None) -> None:
     """K4: ``id<sep>score`` lines, highest score first. The sort is a range
     partitioned distributed sort, so part files are in rank order."""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The word that marks a missing line, and the characters a trim
-# removes (every code point up to and including the space, as Java's String.trim).
-NULL_WORD = "null"
+from seedwise.constants import NULL_WORD
+
+# A trim removes every code point up to and including the space at both ends.
 _TRIM_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
