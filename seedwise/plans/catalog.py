@@ -16,7 +16,7 @@ from seedwise.functions.columns import date_key, has_token, multi_hot, tokens_or
 from seedwise.functions.vectors import dense_to_vector, positions_to_vector
 from seedwise.operators import encode, evaluate, populations, ranking, trees
 from seedwise.operators.populations import SeedSet
-from seedwise.plans import jobs
+from seedwise.plans import jobs, runs
 from seedwise.plans import profile as P
 from seedwise.session import scratch_path
 from seedwise.sources import sinks, tables, text
@@ -447,6 +447,21 @@ def q_leaf_index_onehot(spark, sf):
     return _leaf(spark, sf, key="index").features
 
 
+def q_expand_from_table(spark, sf):
+    """The tree job from storage to storage: E1 writes a day partition (K1), the
+    seed list is a text file (S4), the job finds the newest non-empty day (S3),
+    expands (E3), writes the score file (K4) and the id file (K5); the score
+    file is read back."""
+    base = scratch_path(spark, "storage-to-storage")
+    oh, _ = _onehot(spark, sf)
+    sinks.write_day_partition(oh, f"{base}/features", sinks.day_key(AS_OF, 1))
+    text.write_lines(P.seed_lines(spark, sf), "id", f"{base}/seeds")
+    runs.run_expansion(spark, f"{base}/features", f"{base}/seeds", f"{base}/scores", AS_OF,
+                       P.READER_CODES)
+    return (spark.read.option("sep", "\u0001").schema("user_id bigint, score double")
+            .csv(f"{base}/scores"))
+
+
 # ------------------------------------------------------------------ sinks (round trips)
 def q_feature_sink_roundtrip(spark, sf):
     oh, _ = _onehot(spark, sf)
