@@ -14,11 +14,26 @@ def rank_order(score: str = "score", id_col: str = "user_id") -> list[Column]:
     return [F.col(score).desc(), F.col(id_col).asc()]
 
 
+# Largest k served by ``TakeOrderedAndProject``, where every task keeps k rows and
+# one task merges them; a larger k is cut from a distributed numbering instead.
+TAKE_ORDERED_MAX = 1_000_000
+
+
 def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "user_id") -> DataFrame:
-    """The ``k`` best rows (``TakeOrderedAndProject``: each task keeps k rows);
-    ``k <= 0`` means every row, globally sorted by a range-partitioned sort."""
-    ordered = scored.orderBy(*rank_order(score, id_col))
-    return ordered.limit(k) if k > 0 else ordered
+    """The ``k`` best rows; ``k <= 0`` means every row.
+
+    Small k: ``orderBy().limit(k)`` (``TakeOrderedAndProject``). k above
+    ``TAKE_ORDERED_MAX``: rows are numbered by ``ordered_index`` (range buckets)
+    and ``rank <= k`` is kept, so no task holds k rows. Every row: a
+    range-partitioned global sort.
+    """
+    order = rank_order(score, id_col)
+    if k <= 0:
+        return scored.orderBy(*order)
+    if k <= TAKE_ORDERED_MAX:
+        return scored.orderBy(*order).limit(k)
+    r = ordered_index(scored, [], order, idx_col="_r")
+    return r.where(F.col("_r") < k).drop("_r").orderBy(*order)
 
 
 def all_ranked(scored: DataFrame, score: str = "score", id_col: str = "user_id",

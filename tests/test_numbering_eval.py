@@ -85,3 +85,12 @@ def test_top_k_and_rank(spark):
     scores = [r["score"] for r in ranked]
     assert scores == sorted(scores, reverse=True)
     assert ranking.top_k(df, 0).count() == 40
+
+
+def test_top_k_large_k_path(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(200)], "user_id long, score double")
+    small = [tuple(r) for r in ranking.top_k(df, 50).collect()]
+    monkeypatch.setattr(ranking, "TAKE_ORDERED_MAX", 10)
+    big = ranking.top_k(df, 50)
+    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in big.collect()] == small
