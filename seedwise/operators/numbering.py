@@ -53,9 +53,12 @@ def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
             out = out.withColumn(f"{c}_before", F.coalesce(prev, F.lit(0)))
         return out
     n = buckets or _shuffle_partitions(df)
-    bucketed = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *order_cols)
+    keys = [F.col(g) for g in group_cols] + list(order_cols)
+    bucketed = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                   .withColumn("_bucket", F.spark_partition_id()))
     bucketed = cut_lineage(bucketed)
+    if not sum_cols:
+        return _index_from_row_ids(bucketed, df.columns, group_cols, idx_col)
 
     w_local = Window.partitionBy("_bucket", *group_cols).orderBy(*order_cols)
     before = w_local.rowsBetween(Window.unboundedPreceding, -1)
@@ -80,3 +83,22 @@ def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         out = out.withColumn(f"{c}_before", F.col(f"_off_{c}") + F.col(f"_pre_{c}"))
     keep = [c for c in df.columns] + [idx_col] + [f"{c}_before" for c in sum_cols]
     return out.select(*keep)
+
+
+def _index_from_row_ids(bucketed: DataFrame, columns: Sequence[str], group_cols: Sequence[str],
+                        idx_col: str) -> DataFrame:
+    """Dense index without a second shuffle: each checkpointed bucket is sorted,
+    so ``monotonically_increasing_id`` (bucket << 33 | row in bucket) orders the
+    rows, and a group's rows in a bucket are contiguous. The index is the rows of
+    the group in earlier buckets plus the distance to the group's first row here."""
+    rid = bucketed.withColumn("_rid", F.monotonically_increasing_id())
+    firsts = rid.groupBy("_bucket", *group_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
+    w_off = (Window.partitionBy(*group_cols).orderBy("_bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = firsts.select("_bucket", *group_cols, "_first",
+                            F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    # one row per (bucket, group) present: at most buckets + groups rows
+    out = rid.join(F.broadcast(offsets), ["_bucket", *group_cols])
+    idx = (F.col("_off") + F.col("_rid") - F.col("_first")).cast("int")
+    return out.withColumn(idx_col, idx).select(*columns, idx_col)

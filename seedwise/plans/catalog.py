@@ -70,12 +70,20 @@ def _doc_scores(spark: SparkSession, sf: str) -> DataFrame:
         F.col("quality").cast("double").alias("label"))
 
 
+def _stored_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived profile, kept for the two passes of an encoder (it stands in
+    for a profile table, which would simply be scanned twice)."""
+    from pyspark import StorageLevel
+    return _profile(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _onehot(spark: SparkSession, sf: str):
-    return jobs.onehot_job(_profile(spark, sf), P.ONEHOT_COLUMNS)
+    return jobs.onehot_job(_stored_profile(spark, sf), P.ONEHOT_COLUMNS)
 
 
 def _categorical(spark: SparkSession, sf: str):
-    return jobs.categorical_job(_profile(spark, sf), P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
+    return jobs.categorical_job(_stored_profile(spark, sf), P.CATEGORICAL_SINGLES,
+                                P.CATEGORICAL_MULTIS)
 
 
 # ------------------------------------------------------------------ sources

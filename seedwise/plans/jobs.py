@@ -22,27 +22,31 @@ from seedwise.plans.profile import CYCLE_TOKEN, READER_CODES
 
 
 # ---------------------------------------------------------------- E1 / E2
-def _persisted_long(profile: DataFrame, layout, id_col: str, keep) -> DataFrame:
+def _long(profile: DataFrame, layout, id_col: str, keep, persist: bool) -> DataFrame:
     """The long (user, column, value) table, read by the dictionary and the
-    encoder; persisted so the profile source is scanned once."""
-    return encode.long_values(profile, layout, id_col, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    encoder. By default it is recomputed from the profile (a columnar scan plus
+    an explode is cheaper than caching users x tokens rows); ``persist=True``
+    keeps it when the profile itself is expensive to derive."""
+    long_df = encode.long_values(profile, layout, id_col, keep)
+    return long_df.persist(StorageLevel.MEMORY_AND_DISK) if persist else long_df
 
 
 def onehot_job(profile: DataFrame, columns: Sequence[str], keep=("cycle", "reader"),
-               id_col: str = "user_id") -> tuple[DataFrame, encode.Encoding]:
+               id_col: str = "user_id", persist_long: bool = False
+               ) -> tuple[DataFrame, encode.Encoding]:
     """One-hot feature table ``(id, feature_size, feature, cycle, reader)``."""
     layout = encode.onehot_layout(profile, columns)
-    long_df = _persisted_long(profile, layout, id_col, keep)
+    long_df = _long(profile, layout, id_col, keep, persist_long)
     enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
     return encode.onehot_features(profile, enc, id_col, keep, long_df=long_df), enc
 
 
 def categorical_job(profile: DataFrame, singles: Sequence[str], multis: Sequence[str],
-                    keep=("cycle", "reader"), id_col: str = "user_id"
-                    ) -> tuple[DataFrame, encode.Encoding]:
+                    keep=("cycle", "reader"), id_col: str = "user_id",
+                    persist_long: bool = False) -> tuple[DataFrame, encode.Encoding]:
     """Categorical feature table ``(id, feature "2:0,…,arity:idx", cycle, reader)``."""
     layout = encode.categorical_layout(profile, singles, multis)
-    long_df = _persisted_long(profile, layout, id_col, keep)
+    long_df = _long(profile, layout, id_col, keep, persist_long)
     enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
     return encode.categorical_features(profile, enc, id_col, keep, long_df=long_df), enc
 
