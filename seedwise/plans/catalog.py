@@ -71,10 +71,11 @@ def _doc_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """The derived profile, kept for the two passes of an encoder (it stands in
-    for a profile table, which would simply be scanned twice)."""
-    from pyspark import StorageLevel
-    return _profile(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    """The derived profile written once to the shared checkpoint folder, as the
+    profile table it stands in for; the encoders scan it twice. (A persisted
+    frame would also be substituted into later, unrelated queries.)"""
+    from seedwise.session import cut_lineage
+    return cut_lineage(_profile(spark, sf))
 
 
 def _onehot(spark: SparkSession, sf: str):
@@ -299,22 +300,23 @@ def q_single_index_double(spark, sf):
 
 
 def q_multi_index(spark, sf):
-    _, enc = _categorical(spark, sf)
-    mi = encode.multi_index(_profile(spark, sf), enc, "priorities")
+    prof = _stored_profile(spark, sf)
+    _, enc = jobs.categorical_job(prof, P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
+    mi = encode.multi_index(prof, enc, "priorities")
     return mi.select("user_id", F.array_join("idx", ",").alias("idx"))
 
 
 def q_multi_hot(spark, sf):
-    prof = _profile(spark, sf)
-    _, enc = _categorical(spark, sf)
+    prof = _stored_profile(spark, sf)
+    _, enc = jobs.categorical_job(prof, P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
     width = enc.arity[[f.name for f in enc.layout].index("priorities")]
     mi = encode.multi_index(prof, enc, "priorities")
     return mi.select("user_id", F.array_join(multi_hot("idx", width), ",").alias("hot"))
 
 
 def q_onehot_index(spark, sf):
-    prof = _profile(spark, sf)
-    _, enc = _onehot(spark, sf)
+    prof = _stored_profile(spark, sf)
+    _, enc = jobs.onehot_job(prof, P.ONEHOT_COLUMNS)
     return encode.onehot_index(prof, enc)
 
 
