@@ -71,6 +71,10 @@ class Expansion:
     ratio: float
     width: int
 
+    def expansion_size(self) -> DataFrame:
+        """Candidates scoring above 0.5 (one row, ``expansion_size``)."""
+        return evaluate.threshold_count(self.scores)
+
 
 def _decode(df: DataFrame, width: int, binary_attrs: bool) -> DataFrame:
     out = positions_to_vector(df, "feature", width, "features")

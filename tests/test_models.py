@@ -53,6 +53,8 @@ def test_expansion_invariants(spark, encoded):
     assert all(0.0 <= p <= 1.0 for p in probs)
     hard = jobs.expand(oh, seeds, model="lr", width=enc.width, hard_lr=True)
     assert {r["score"] for r in hard.scores.collect()} <= {0.0, 1.0}
+    size = exp.expansion_size().first()["expansion_size"]
+    assert size == sum(1 for r in scores if r["score"] > 0.5)
     rep = jobs.expansion_report(exp).first().asDict()
     assert rep["tp"] + rep["fp"] + rep["fn"] + rep["tn"] == exp.training.count()
 
