@@ -239,6 +239,7 @@ def categorical_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
 def index_single(df: DataFrame, col: str, key_cols: Sequence[str],
                  enc: Encoding | None = None) -> tuple[DataFrame, Encoding]:
     """V1: replace a single-valued column by its category index (``idx int``)."""
+    _check_single(df, col)
     enc = enc or fit_encoding(df, [Feature(col, False)], id_col=key_cols[0])
     long_df = long_values(df, enc.layout, key_cols[0], keep=list(key_cols[1:]))
     j = lookup_join(long_df, enc.dictionary.select("pos", "val", "idx"), ["pos", "val"],

@@ -36,6 +36,8 @@ def build_session(master: str | None = None, app: str = "seedwise",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+        # checkpoint files of frames that are no longer referenced are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
