@@ -149,8 +149,11 @@ def q_onehot_decode(spark, sf):
     from pyspark.ml.functions import vector_to_array
     oh, enc = _onehot(spark, sf)
     vec = positions_to_vector(oh, "feature", enc.width, "features")
-    return (vec.select("user_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
-               .where(F.col("value") != 0))
+    arr = vector_to_array("features")
+    # keep (slot, value) of the non-zero entries before exploding: k rows per user, not W
+    hot = F.filter(F.transform(arr, lambda v, i: F.struct(i.alias("slot"), v.alias("value"))),
+                   lambda e: e["value"] != 0)
+    return vec.select("user_id", F.explode(hot).alias("e")).select("user_id", "e.slot", "e.value")
 
 
 # ------------------------------------------------------------------ predicates
