@@ -16,8 +16,8 @@ def _c(col: str | Column) -> Column:
 
 
 def token_array(col: str | Column, sep: str = ",") -> Column:
-    """split a delimited string and drop empty tokens; NULL stays NULL."""
-    return F.filter(F.split(_c(col), sep), lambda t: t != F.lit(""))
+    """split a delimited string and drop empty tokens (F5); NULL stays NULL."""
+    return F.filter(F.split(_c(col), sep), non_empty)
 
 
 def tokens_or_empty(col: str | Column, sep: str = ",") -> Column:

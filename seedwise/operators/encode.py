@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seedwise.functions.columns import multi_hot
+from seedwise.functions.columns import multi_hot, non_empty
 from seedwise.operators.joins import lookup_join
 from seedwise.operators.numbering import ordered_index
 
@@ -94,7 +94,7 @@ def _native_order(df: DataFrame, name: str) -> tuple[Column, Column]:
 def _tokens(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     arr = F.split(c, ",") if isinstance(df.schema[name].dataType, T.StringType) else c
-    return F.coalesce(F.filter(arr, lambda t: t != F.lit("")), F.array().cast("array<string>"))
+    return F.coalesce(F.filter(arr, non_empty), F.array().cast("array<string>"))
 
 
 def _token_entry(pos: int):

@@ -83,7 +83,7 @@ def _decode(df: DataFrame, width: int, binary_attrs: bool) -> DataFrame:
 
 def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_size: int = 0,
            inclusive: bool = False, width: int | None = None,
-           cycle_token: int = CYCLE_TOKEN, reader_codes: Sequence[int] = READER_CODES,
+           cycle_token: int = CYCLE_TOKEN, reader_codes: Sequence[int] | None = READER_CODES,
            sample_method: str = "hash", per_positive: int = populations.NEGATIVES_PER_POSITIVE,
            gbt_params: dict | None = None, lr_params: dict | None = None,
            hard_lr: bool = False, binary_attrs: bool = True) -> Expansion:
@@ -93,10 +93,12 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
     Negatives: rows inside the cycle that are not seeds, hash-sampled to about
     ``per_positive`` per positive. Candidates: the cycle rows, without seeds
     unless ``inclusive``. The cycle filter is a column expression, so it is
-    applied before any vector is built.
+    applied before any vector is built. ``reader_codes=None``: the rows were
+    already filtered on their code (as :func:`seedwise.plans.runs.load_features` does).
     """
-    users = populations.code_filter(features, "reader", reader_codes).select(
-        "user_id", "feature", "cycle")
+    if reader_codes is not None:
+        features = populations.code_filter(features, "reader", reader_codes)
+    users = features.select("user_id", "feature", "cycle")
     width = width if width is not None else feature_width(features)
     counts = populations.population_counts(users, seeds, cycle_token).first().asDict()
     ratio = populations.sampling_ratio(counts["seeds"], counts["others"], per_positive)
@@ -138,7 +140,7 @@ class LeafFeatures:
 
 
 def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int = CYCLE_TOKEN,
-             reader_codes: Sequence[int] = READER_CODES, gbt_params: dict | None = None,
+             reader_codes: Sequence[int] | None = READER_CODES, gbt_params: dict | None = None,
              key: str = "value", binary_attrs: bool = True) -> LeafFeatures:
     """E5: train trees on a 50/50 hash split of the cycle users, then encode each
     user as the concatenated one-hot of the leaf reached in every tree.
@@ -147,8 +149,9 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     share a slot); ``key="index"`` uses Spark's leaf index instead.
     """
     width = width if width is not None else feature_width(features)
-    users = (populations.code_filter(features, "reader", reader_codes)
-                     .where(populations.in_cycle("cycle", cycle_token))
+    if reader_codes is not None:
+        features = populations.code_filter(features, "reader", reader_codes)
+    users = (features.where(populations.in_cycle("cycle", cycle_token))
                      .select("user_id", "feature"))
     split = populations.hash_split(users)
     labelled = split.withColumn("label", F.when(F.col("half") == 0, 1.0).otherwise(0.0))

@@ -54,13 +54,14 @@ def run_categorical_build(spark: SparkSession, profile_source: DataFrame | str,
 def load_features(spark: SparkSession, features_path: str, as_of: dt.date,
                   reader_codes: Sequence[int], max_lookback_days: int = 366
                   ) -> tuple[int, DataFrame]:
-    """S3 + P1 + P2: the newest non-empty day before ``as_of`` of an encoded table."""
+    """S3 + P1 + P2 + S8: the newest non-empty day before ``as_of`` of an encoded
+    table, rows passing the IN-list, projected to (id, feature_size, feature, cycle)."""
     t = sinks.read_day_partitions(spark, features_path)
     key, rows = tables.latest_partition(t, as_of, where=populations.in_list("reader", reader_codes),
                                         max_lookback_days=max_lookback_days)
     if key is None:
         raise ValueError(f"no non-empty partition within {max_lookback_days} days before {as_of}")
-    return key, rows
+    return key, tables.encoded_scan(rows)
 
 
 def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_path: str,
@@ -76,7 +77,7 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
     seeds = SeedSet.from_lines(text.id_lines(spark, seed_path))
     exp = jobs.expand(features, seeds, model=model, target_size=target_size,
                       inclusive=inclusive, width=width, cycle_token=cycle_token,
-                      reader_codes=reader_codes, gbt_params=gbt_params, lr_params=lr_params)
+                      reader_codes=None, gbt_params=gbt_params, lr_params=lr_params)
     sep = sep if sep is not None else (TREE_SCORE_SEP if model == "gbt" else LINEAR_SCORE_SEP)
     sinks.write_score_file(exp.ranked, out_path, sep=sep)
     if id_file:
@@ -89,7 +90,7 @@ def run_leaf_build(spark: SparkSession, features_path: str, out_path: str, as_of
                    gbt_params: dict | None = None, table: str | None = None) -> int:
     """Encoded table -> tree-leaf feature table, partition ``as_of``."""
     _, features = load_features(spark, features_path, as_of, reader_codes)
-    lf = jobs.leaf_job(features, cycle_token=cycle_token, reader_codes=reader_codes,
+    lf = jobs.leaf_job(features, cycle_token=cycle_token, reader_codes=None,
                        gbt_params=gbt_params)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(lf.features, out_path, key, table=table)
