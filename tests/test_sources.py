@@ -87,3 +87,15 @@ def test_score_table_is_yesterday(spark, tmp_dir):
     df = spark.createDataFrame([(1, 0.25)], "user_id long, score double")
     key = sinks.write_scores_table(df, f"{tmp_dir}/st", dt.date(2024, 3, 1))
     assert key == 20240229
+
+
+def test_day_partition_table_mode(spark):
+    spark.sql("DROP TABLE IF EXISTS seedwise_scores_t")
+    a = spark.createDataFrame([(1, 0.5)], "user_id long, score double")
+    b = spark.createDataFrame([(2, 0.7), (3, 0.1)], "user_id long, score double")
+    sinks.write_day_partition(a, None, 20240101, table="seedwise_scores_t")   # created
+    sinks.write_day_partition(a, None, 20240102, table="seedwise_scores_t")   # inserted
+    sinks.write_day_partition(b, None, 20240101, table="seedwise_scores_t")   # replaced
+    got = sorted((r["user_id"], r["stat_date"]) for r in spark.table("seedwise_scores_t").collect())
+    assert got == [(1, 20240102), (2, 20240101), (3, 20240101)]
+    spark.sql("DROP TABLE seedwise_scores_t")
