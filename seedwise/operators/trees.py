@@ -80,14 +80,49 @@ def _is_slot(slot: Column):
 
 
 class LeafCode:
-    """The collected leaf dictionary: per tree, value -> slot, and block widths."""
+    """The collected leaf dictionary: per tree, key -> slot, and block widths.
 
-    def __init__(self, rows: list, n_trees: int):
+    The key is what the encoded column holds per tree: the leaf value (V8
+    output) or Spark's leaf index. Slots always number distinct keys of the
+    dictionary's own kind, ascending; equal-valued leaves share a slot.
+    """
+
+    def __init__(self, rows: list, n_trees: int, widths: list[int] | None = None):
         self.n_trees = n_trees
         self.slots: list[dict[float, int]] = [dict() for _ in range(n_trees)]
         for r in rows:
             self.slots[r["tree_id"]][float(r["leaf_value"])] = int(r["idx"])
-        self.widths = [len(s) for s in self.slots]
+        self.widths = widths if widths is not None else [len(s) for s in self.slots]
+
+    @classmethod
+    def by_leaf_index(cls, model: GBTRegressionModel, vectors: DataFrame, per_leaf: DataFrame,
+                      id_col: str = "user_id", features: str = "features",
+                      col: str = "tree_leaves", max_entries: int | None = None) -> "LeafCode":
+        """Value-keyed slots addressed by leaf index.
+
+        ``per_leaf`` holds every row's leaf indices (one ``leafCol`` pass). A
+        leaf's value depends only on (tree, leaf), so the per-tree models score
+        just one representative row per observed (tree, leaf): at most
+        ``trees * 2^depth`` rows instead of every row once per tree.
+        """
+        n_trees = len(model.trees)
+        reps = (per_leaf.select(id_col, F.posexplode(col).alias("tree_id", "leaf"))
+                        .groupBy("tree_id", "leaf").agg(F.min(id_col).alias(id_col)))
+        rep_rows = reps.collect()
+        if max_entries is not None and len(rep_rows) > max_entries:
+            raise ValueError(f"{len(rep_rows)} observed leaves, above {max_entries}")
+        sample = vectors.select(id_col, features).join(
+            F.broadcast(reps.select(id_col).distinct()), id_col, "left_semi")
+        scored = {r[id_col]: r["tree_scores"] for r in
+                  tree_scores(model, sample, features).select(id_col, "tree_scores").collect()}
+        value = {(r["tree_id"], float(r["leaf"])): scored[r[id_col]][r["tree_id"]]
+                 for r in rep_rows}
+        ordered = [sorted({v for (t, _), v in value.items() if t == tt}) for tt in range(n_trees)]
+        slot_of = [{v: i for i, v in enumerate(vals)} for vals in ordered]
+        code = cls([], n_trees, widths=[len(vals) for vals in ordered])
+        for (t, leaf), v in value.items():
+            code.slots[t][leaf] = slot_of[t][v]
+        return code
 
     @classmethod
     def fit(cls, per_tree: DataFrame, n_trees: int, col: str = "tree_scores",
@@ -108,10 +143,10 @@ class LeafCode:
             run += w
         return out
 
-    def _slot(self, t: int, values: Column) -> Column:
-        m = F.create_map(*[x for v, i in sorted(self.slots[t].items())
-                           for x in (F.lit(v), F.lit(i))])
-        return F.try_element_at(m, F.element_at(values, t + 1))
+    def _slot(self, t: int, keys: Column) -> Column:
+        m = F.create_map(*[x for k, i in sorted(self.slots[t].items())
+                           for x in (F.lit(k), F.lit(i))])
+        return F.try_element_at(m, F.element_at(keys, t + 1))
 
     def onehot(self, col: str = "tree_scores") -> Column:
         """Concatenated per-tree one-hot blocks as ``array<int>``."""

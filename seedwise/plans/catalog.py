@@ -439,17 +439,24 @@ def _leaf(spark, sf, key="value"):
     return jobs.leaf_job(oh, width=width, key=key)
 
 
-def q_tree_scores(spark, sf):
+def _per_tree_values(spark, sf):
     lf = _leaf(spark, sf)
-    return lf.per_tree.select("user_id", F.posexplode("tree_scores").alias("tree_id", "leaf_value"))
+    return trees.tree_scores(lf.model, lf.vectors.select("user_id", "features")), lf
+
+
+def q_tree_scores(spark, sf):
+    per, _ = _per_tree_values(spark, sf)
+    return per.select("user_id", F.posexplode("tree_scores").alias("tree_id", "leaf_value"))
 
 
 def q_leaf_values(spark, sf):
-    return trees.leaf_values(_leaf(spark, sf).per_tree)
+    per, _ = _per_tree_values(spark, sf)
+    return trees.leaf_values(per)
 
 
 def q_leaf_dictionary(spark, sf):
-    return trees.leaf_dictionary(trees.leaf_values(_leaf(spark, sf).per_tree))
+    per, lf = _per_tree_values(spark, sf)
+    return trees.leaf_dictionary(trees.leaf_values(per), max_rows=sum(lf.code.widths))
 
 
 def q_leaf_onehot(spark, sf):

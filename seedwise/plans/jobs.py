@@ -136,7 +136,8 @@ class LeafFeatures:
     features: DataFrame      # user_id, feature "0,1,0,…"
     code: trees.LeafCode
     model: object
-    per_tree: DataFrame      # user_id, tree_scores
+    per_leaf: DataFrame      # user_id, tree_leaves (Spark leaf index per tree)
+    vectors: DataFrame       # user_id, features, label (the training rows)
 
 
 def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int = CYCLE_TOKEN,
@@ -158,19 +159,19 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     train = _decode(labelled, width, binary_attrs).persist(StorageLevel.MEMORY_AND_DISK)
     model = trees.fit_gbt(train, **(gbt_params or {}))
     vec = train.select("user_id", "features")
+    # one leafCol pass gives every tree's leaf index for every row
+    per_leaf = trees.tree_leaves(model, vec).select("user_id", "tree_leaves")
+    per_leaf = per_leaf.persist(StorageLevel.MEMORY_AND_DISK)
+    n_trees = len(model.trees)
+    max_entries = n_trees * (2 ** model.getMaxDepth())
     if key == "value":
-        per_tree = trees.tree_scores(model, vec).select("user_id", "tree_scores")
+        code = trees.LeafCode.by_leaf_index(model, vec, per_leaf, max_entries=max_entries)
     elif key == "index":
-        per_tree = (trees.tree_leaves(model, vec).select(
-            "user_id", F.col("tree_leaves").alias("tree_scores")))
+        code = trees.LeafCode.fit(per_leaf, n_trees, col="tree_leaves", max_entries=max_entries)
     else:
         raise ValueError(f"unknown leaf key {key!r}")
-    per_tree = per_tree.persist(StorageLevel.MEMORY_AND_DISK)
-    n_trees = len(model.trees)
-    max_entries = n_trees * (2 ** model.getMaxDepth())
-    code = trees.LeafCode.fit(per_tree, n_trees, max_entries=max_entries)
-    out = per_tree.select("user_id", F.array_join(code.onehot(), ",").alias("feature"))
-    return LeafFeatures(out, code, model, per_tree)
+    out = per_leaf.select("user_id", F.array_join(code.onehot("tree_leaves"), ",").alias("feature"))
+    return LeafFeatures(out, code, model, per_leaf, train)
 
 
 # ---------------------------------------------------------------- E6

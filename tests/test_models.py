@@ -112,3 +112,15 @@ def test_model_roundtrip(spark, encoded, tmp_dir):
     a = [r["score"] for r in trees.score_gbt(model, data).collect()]
     b = [r["score"] for r in trees.score_gbt(back, data).collect()]
     assert a == b
+
+
+def test_leaf_index_path_equals_value_path(spark, encoded):
+    oh, enc = encoded
+    lf = jobs.leaf_job(oh, width=enc.width, gbt_params={"max_iter": 8})
+    per = trees.tree_scores(lf.model, lf.vectors.select("user_id", "features"))
+    direct = trees.LeafCode.fit(per, len(lf.model.trees))
+    want = {r["user_id"]: r["f"] for r in
+            per.select("user_id", F.array_join(direct.onehot(), ",").alias("f")).collect()}
+    got = {r["user_id"]: r["feature"] for r in lf.features.collect()}
+    assert got == want
+    assert lf.code.widths == direct.widths
