@@ -66,3 +66,27 @@ def test_encoders_match_brute_force(spark, rows):
     for f in got_oh.values():
         pos = [int(x) for x in f.split(",")] if f else []
         assert pos == sorted(set(pos)) and all(0 <= p < width for p in pos)
+
+
+VALS = st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3"]),
+                          st.one_of(st.none(), st.integers(-50, 50)),
+                          st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+                min_size=1, max_size=60, unique=True)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(VALS)
+def test_ordered_index_range_path_matches_sort(spark, rows):
+    from seedwise.operators.numbering import ordered_index
+    df = spark.createDataFrame(rows, "g string, n int, s string")
+    order = [F.col("n").asc_nulls_last(), F.col("s").asc_nulls_last()]
+    got = {(r["g"], r["n"], r["s"]): r["idx"]
+           for r in ordered_index(df, ["g"], order, "idx", buckets=4).collect()}
+
+    def key(r):   # ascending, NULL last, on both order columns
+        return (r[1] is None, r[1] if r[1] is not None else 0, r[2] is None, r[2] or "")
+    want = {}
+    for g in {r[0] for r in rows}:
+        for i, r in enumerate(sorted((r for r in rows if r[0] == g), key=key)):
+            want[r] = i
+    assert got == want
