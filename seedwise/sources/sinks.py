@@ -86,3 +86,9 @@ def load_gbt_model(path: str):
     """S9 source: a saved boosted-tree regression model."""
     from pyspark.ml.regression import GBTRegressionModel
     return GBTRegressionModel.load(path)
+
+
+def load_lr_model(path: str):
+    """S9 source: a saved logistic regression model."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    return LogisticRegressionModel.load(path)
