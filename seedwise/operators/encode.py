@@ -163,8 +163,9 @@ def fit_encoding(df: DataFrame, layout: Sequence[Feature], id_col: str = "user_i
     """A2/A3 + W1: the dictionary of every column in one distributed job.
 
     The numbering is exact and deterministic (ascending native value, then the
-    string, NULL last); the dictionary is persisted because the encoders and the
-    arity count both read it.
+    string, NULL last). The distinct values are counted per column first (the
+    arity, one row per column), and that checked count picks the numbering
+    path. The small dictionary is persisted for the encoders.
     """
     layout = list(layout)
     long_df = long_df if long_df is not None else long_values(df, layout, id_col)

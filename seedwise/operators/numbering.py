@@ -2,9 +2,12 @@
 
 ``row_number() over (order by x)`` with no partition key, or with a key that holds
 most rows, puts every row in one task. Here the rows are range-partitioned on
-(group, order) into buckets, the bucket of each row is fixed by a reliable
-checkpoint, each bucket is numbered on its own, and a tiny per-bucket table of
-counts and sums (at most buckets + groups rows) supplies the offsets.
+(group, order) into buckets and sorted inside each bucket, the bucket of each
+row is fixed by a reliable checkpoint, and each bucket is numbered on its own:
+by row id for a plain index (no second shuffle), by a per-bucket window when
+prefix sums are asked for. A tiny per-bucket table of counts and sums (at most
+buckets + groups rows) supplies the offsets. When a checked count bounds the
+rows of every group, a plain window per group is used instead.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """End-to-end jobs E1-E6, each a lazy DataFrame plan plus a few scalar actions.
 
 Actions that remain (all return scalars or model-sized data to the driver):
-dictionary arity (one row per column), population counts (one row), model
-fits, and the bounded leaf dictionary. Scores are ranked and written by the
-cluster; nothing is collected row by row.
+dictionary arity (one row per column), the seed-key count, population counts
+(one row), the feature width (one row), model fits, and the bounded leaf
+dictionary. Scores are ranked and written by the cluster; nothing is
+collected row by row.
 """
 
 from __future__ import annotations
