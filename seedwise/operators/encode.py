@@ -134,6 +134,12 @@ class Encoding:
     layout: list[Feature]
     dictionary: DataFrame           # pos, col_name, val, ord_l, ord_d, idx
     arity: list[int] = field(default_factory=list)
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Unpersist the working sets once the encoded table has been written."""
+        for df in self.cached:
+            df.unpersist()
 
     @property
     def width(self) -> int:
@@ -182,7 +188,8 @@ def fit_encoding(df: DataFrame, layout: Sequence[Feature], id_col: str = "user_i
     names = F.element_at(F.array(*[F.lit(f.name) for f in layout]), F.col("pos") + 1)
     dictionary = numbered.withColumn("col_name", names).select(
         "pos", "col_name", "val", "ord_l", "ord_d", "idx").persist(StorageLevel.MEMORY_AND_DISK)
-    return Encoding(layout, dictionary, [counts.get(i, 0) for i in range(len(layout))])
+    return Encoding(layout, dictionary, [counts.get(i, 0) for i in range(len(layout))],
+                    cached=[values, dictionary])
 
 
 def _array_literal(values: Sequence, dtype: str) -> Column:

@@ -71,6 +71,12 @@ class Expansion:
     counts: dict
     ratio: float
     width: int
+    cached: list = None
+
+    def release(self) -> None:
+        """Unpersist the training rows once the scores have been written."""
+        for df in self.cached or []:
+            df.unpersist()
 
     def expansion_size(self) -> DataFrame:
         """Candidates scoring above 0.5 (one row, ``expansion_size``)."""
@@ -123,7 +129,7 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
     scored = score(_decode(cands, width, False)).select("user_id", "score")
     return Expansion(scores=scored, ranked=ranking.top_k(scored, target_size),
                      training=score(train), model=fitted, counts=counts,
-                     ratio=ratio, width=width)
+                     ratio=ratio, width=width, cached=[train])
 
 
 def expansion_report(exp: Expansion) -> DataFrame:
@@ -140,6 +146,11 @@ class LeafFeatures:
     per_leaf: DataFrame      # user_id, tree_leaves (Spark leaf index per tree)
     vectors: DataFrame       # user_id, features, label (the training rows)
 
+    def release(self) -> None:
+        """Unpersist the working sets once the features have been written."""
+        self.per_leaf.unpersist()
+        self.vectors.unpersist()
+
 
 def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int = CYCLE_TOKEN,
              reader_codes: Sequence[int] | None = READER_CODES, gbt_params: dict | None = None,

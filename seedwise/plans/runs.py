@@ -31,9 +31,10 @@ def run_onehot_build(spark: SparkSession, profile_source: DataFrame | str, colum
     """Column list file -> one-hot feature table, partition ``as_of``."""
     columns = text.read_column_list(spark, columns_path)
     prof = _profile(spark, profile_source, columns, id_col, cycle_col, reader_col)
-    features, _ = jobs.onehot_job(prof, columns)
+    features, enc = jobs.onehot_job(prof, columns)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(features, out_path, key, table=table)
+    enc.release()
     return key
 
 
@@ -45,9 +46,10 @@ def run_categorical_build(spark: SparkSession, profile_source: DataFrame | str,
     singles = text.read_column_list(spark, singles_path)
     multis = text.read_column_list(spark, multis_path)
     prof = _profile(spark, profile_source, singles + multis, id_col, cycle_col, reader_col)
-    features, _ = jobs.categorical_job(prof, singles, multis)
+    features, enc = jobs.categorical_job(prof, singles, multis)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(features, out_path, key, table=table)
+    enc.release()
     return key
 
 
@@ -82,6 +84,7 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
     sinks.write_score_file(exp.ranked, out_path, sep=sep)
     if id_file:
         sinks.write_id_file(exp.ranked, f"{out_path}_1w")
+    exp.release()
     return exp
 
 
@@ -94,6 +97,7 @@ def run_leaf_build(spark: SparkSession, features_path: str, out_path: str, as_of
                        gbt_params=gbt_params)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(lf.features, out_path, key, table=table)
+    lf.release()
     return key
 
 

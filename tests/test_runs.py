@@ -61,3 +61,19 @@ def test_seedcheck_cli(spark, tmp_dir, capsys):
                      "--sql", "SELECT o_custkey, o_orderstatus FROM cli_orders"]) == 0
     out = capsys.readouterr().out
     assert "matched=" in out and f"seed_size={len(seeds)}" in out
+
+
+def test_onehot_and_expand_cli(spark, tmp_dir, capsys):
+    C._profile(spark, SF_SMALL).createOrReplaceTempView("cli_profile")
+    _write(f"{tmp_dir}/cols.txt", list(P.ONEHOT_COLUMNS))
+    seeds = [r["id"] for r in P.seed_lines(spark, SF_SMALL).collect()]
+    _write(f"{tmp_dir}/seeds.txt", seeds)
+    assert cli.main(["onehot", "--profile", "cli_profile", "--columns", f"{tmp_dir}/cols.txt",
+                     "--out", f"{tmp_dir}/oh", "--as-of", "2024-01-30"]) == 0
+    codes = ",".join(str(c) for c in P.READER_CODES)
+    assert cli.main(["expand", "--features", f"{tmp_dir}/oh", "--seeds", f"{tmp_dir}/seeds.txt",
+                     "--out", f"{tmp_dir}/scores", "--codes", codes, "--as-of", "2024-02-01",
+                     "--model", "lr", "--target", "5"]) == 0
+    back = spark.read.option("sep", ",").schema("user_id bigint, score double") \
+        .csv(f"{tmp_dir}/scores").collect()
+    assert len(back) == 5 and all(0.0 <= r["score"] <= 1.0 for r in back)
