@@ -70,10 +70,12 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
                   as_of: dt.date, reader_codes: Sequence[int], *, model: str = "gbt",
                   target_size: int = 0, inclusive: bool = False, id_file: bool = True,
                   sep: str | None = None, cycle_token: int = CYCLE_TOKEN,
-                  gbt_params: dict | None = None, lr_params: dict | None = None
-                  ) -> jobs.Expansion:
+                  gbt_params: dict | None = None, lr_params: dict | None = None,
+                  scores_path: str | None = None) -> jobs.Expansion:
     """J3 (``model="gbt"``) / J4 (``model="lr"``): seeds file + encoded table ->
-    ranked ``id<sep>score`` file and, optionally, the id-only file ``<out>_1w``."""
+    ranked ``id<sep>score`` file and, optionally, the id-only file ``<out>_1w``.
+    With ``scores_path`` every candidate's score also goes to a table partition
+    of the day before ``as_of`` (K3)."""
     _, features = load_features(spark, features_path, as_of, reader_codes)
     width = jobs.feature_width(features)
     seeds = SeedSet.from_lines(text.id_lines(spark, seed_path))
@@ -84,6 +86,8 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
     sinks.write_score_file(exp.ranked, out_path, sep=sep)
     if id_file:
         sinks.write_id_file(exp.ranked, f"{out_path}_1w")
+    if scores_path is not None:
+        sinks.write_scores_table(exp.scores, scores_path, as_of)
     exp.release()
     return exp
 

@@ -34,7 +34,10 @@ def test_daily_jobs_end_to_end(spark, tmp_dir):
     _write(f"{tmp_dir}/seeds.txt", seeds + ["null", "007"])
     exp = runs.run_expansion(spark, f"{tmp_dir}/features", f"{tmp_dir}/seeds.txt",
                              f"{tmp_dir}/scores", AS_OF, P.READER_CODES, target_size=10,
-                             gbt_params={"max_iter": 3})
+                             gbt_params={"max_iter": 3}, scores_path=f"{tmp_dir}/score_table")
+    st = sinks.read_day_partitions(spark, f"{tmp_dir}/score_table")
+    assert st.count() == exp.scores.count()
+    assert {r["stat_date"] for r in st.select("stat_date").distinct().collect()} == {20240131}
     back = spark.read.option("sep", "\u0001").schema("user_id bigint, score double") \
         .csv(f"{tmp_dir}/scores").collect()
     assert len(back) == 10
