@@ -4,7 +4,8 @@
     python -m seedwise.cli categorical --profile TABLE --singles FILE --multis FILE --out PATH
     python -m seedwise.cli expand      --features PATH --seeds FILE --out PATH --codes 70,72
                                        [--model gbt|lr] [--target N] [--inclusive]
-                                       [--iterations 50 --depth 3]
+                                       [--iterations 50 --depth 3] [--sample hash|bernoulli]
+                                       [--scores-table PATH]
     python -m seedwise.cli leaf        --features PATH --out PATH --codes 70,72
     python -m seedwise.cli seedcheck   --seeds FILE --sql "SELECT id, value FROM …"
 
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--inclusive", action="store_true")
     e.add_argument("--iterations", type=int)
     e.add_argument("--depth", type=int)
+    e.add_argument("--sample", choices=["hash", "bernoulli"], default="hash")
+    e.add_argument("--scores-table", help="also write every candidate's score (K3)")
 
     lf = sub.add_parser("leaf", parents=[common])
     lf.add_argument("--features", required=True)
@@ -82,7 +85,8 @@ def main(argv: list[str] | None = None) -> int:
         gbt = {k: v for k, v in (("max_iter", args.iterations), ("max_depth", args.depth)) if v}
         exp = runs.run_expansion(spark, args.features, args.seeds, args.out, args.as_of,
                                  args.codes, model=args.model, target_size=args.target,
-                                 inclusive=args.inclusive, gbt_params=gbt or None)
+                                 inclusive=args.inclusive, gbt_params=gbt or None,
+                                 scores_path=args.scores_table, sample_method=args.sample)
         print(exp.counts, exp.ratio)
     elif args.job == "leaf":
         print(runs.run_leaf_build(spark, args.features, args.out, args.as_of, args.codes,

@@ -71,7 +71,8 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
                   target_size: int = 0, inclusive: bool = False, id_file: bool = True,
                   sep: str | None = None, cycle_token: int = CYCLE_TOKEN,
                   gbt_params: dict | None = None, lr_params: dict | None = None,
-                  scores_path: str | None = None) -> jobs.Expansion:
+                  scores_path: str | None = None, sample_method: str = "hash"
+                  ) -> jobs.Expansion:
     """J3 (``model="gbt"``) / J4 (``model="lr"``): seeds file + encoded table ->
     ranked ``id<sep>score`` file and, optionally, the id-only file ``<out>_1w``.
     With ``scores_path`` every candidate's score also goes to a table partition
@@ -81,7 +82,8 @@ def run_expansion(spark: SparkSession, features_path: str, seed_path: str, out_p
     seeds = SeedSet.from_lines(text.id_lines(spark, seed_path))
     exp = jobs.expand(features, seeds, model=model, target_size=target_size,
                       inclusive=inclusive, width=width, cycle_token=cycle_token,
-                      reader_codes=None, gbt_params=gbt_params, lr_params=lr_params)
+                      reader_codes=None, gbt_params=gbt_params, lr_params=lr_params,
+                      sample_method=sample_method)
     sep = sep if sep is not None else (TREE_SCORE_SEP if model == "gbt" else LINEAR_SCORE_SEP)
     sinks.write_score_file(exp.ranked, out_path, sep=sep)
     if id_file:
