@@ -1,7 +1,6 @@
 """Seeds, populations, sampling and coverage."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from seedwise.operators import populations as pop
 from seedwise.operators.populations import SeedSet

@@ -2,7 +2,6 @@
 salted dictionary joins, non-broadcast seed joins. Results must not change."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from seedwise.operators import encode, joins, numbering, populations
