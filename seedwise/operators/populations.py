@@ -142,10 +142,15 @@ def training_set(positives: DataFrame, negatives: DataFrame,
 
 
 def seed_coverage(users: DataFrame, seed_lines: DataFrame, seeds: SeedSet | None = None,
-                  id_col: str = "id", seed_col: str = "id") -> DataFrame:
+                  id_col: str = "id", seed_col: str = "id", distinct: bool = False) -> DataFrame:
     """``matched`` user rows whose id is a seed (a user row counts each
     time it appears), ``seed_size`` = seed lines (blank and repeated lines
-    count), ``rate = matched / seed_size`` (NULL when there are no lines)."""
+    count), ``rate = matched / seed_size`` (NULL when there are no lines).
+
+    ``distinct=True`` counts distinct non-blank seed lines instead."""
+    if distinct:
+        seed_lines = (seed_lines.where(F.length(F.col(seed_col)) > 0)
+                                .select(seed_col).distinct())
     seeds = seeds or SeedSet.from_lines(seed_lines, seed_col)
     keyed = users.select(F.col(id_col).try_cast("bigint").alias("user_id"),
                          F.col(id_col).alias("_txt"))

@@ -187,6 +187,6 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
 
 
 # ---------------------------------------------------------------- E6
-def seed_check(users: DataFrame, seed_lines: DataFrame) -> DataFrame:
+def seed_check(users: DataFrame, seed_lines: DataFrame, distinct: bool = False) -> DataFrame:
     """Coverage of a seed list over the rows of a caller's query."""
-    return populations.seed_coverage(users, seed_lines)
+    return populations.seed_coverage(users, seed_lines, distinct=distinct)

@@ -58,6 +58,8 @@ def test_seed_coverage_counts_rows_and_lines(spark):
     lines = _seeds(spark, ["7", "7", "", "8", "007"])
     r = pop.seed_coverage(users, lines).first()
     assert (r["matched"], r["seed_size"]) == (3, 5) and r["rate"] == pytest.approx(0.6)
+    d = pop.seed_coverage(users, lines, distinct=True).first()
+    assert (d["matched"], d["seed_size"]) == (3, 3) and d["rate"] == pytest.approx(1.0)
 
 
 def test_training_set_labels(spark):
