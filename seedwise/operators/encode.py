@@ -306,3 +306,23 @@ def onehot_index(df: DataFrame, enc: Encoding, id_col: str = "user_id") -> DataF
         F.array_sort(F.collect_list(F.struct("tpos", "idx"))).alias("_e"))
     return agg.select(id_col, names.alias("col_name"),
                       F.array_join(F.transform("_e", lambda e: e["idx"]), ",").alias("idx"))
+
+
+def unseen_values(df: DataFrame, enc: Encoding, id_col: str = "user_id") -> DataFrame:
+    """Values of ``df`` that a given dictionary does not know: ``(col_name, value)``.
+
+    The encoders skip such values (no index, so no hot position or
+    ``arity:index`` entry); :func:`require_known` turns them into an error.
+    """
+    j = indexed_long(df, enc, id_col).where(F.col("pos").isNotNull() & F.col("idx").isNull())
+    names = F.element_at(F.array(*[F.lit(f.name) for f in enc.layout]), F.col("pos") + 1)
+    return j.select(names.alias("col_name"), F.col("val").alias("value")).distinct()
+
+
+def require_known(df: DataFrame, enc: Encoding, id_col: str = "user_id") -> None:
+    """Raise ``ValueError`` when ``df`` holds a value the dictionary lacks (one job;
+    it stops at the first unseen value found)."""
+    first = unseen_values(df, enc, id_col).limit(1).collect()
+    if first:
+        raise ValueError(f"value {first[0]['value']!r} of column {first[0]['col_name']!r} "
+                         "is not in the dictionary")

@@ -97,3 +97,19 @@ def test_unsupported_single_type_raises_before_a_job(spark):
         assert "unsupported" in str(e)
     else:
         raise AssertionError("expected ValueError")
+
+
+def test_given_dictionary_skip_or_error(spark):
+    old = spark.createDataFrame([(1, ",a,", "x"), (2, ",b,", "y")], "user_id long, t string, k string")
+    new = spark.createDataFrame([(3, ",a,c,", "z")], "user_id long, t string, k string")
+    layout = encode.categorical_layout(old, ["k"], ["t"])
+    enc = encode.fit_encoding(old, layout)
+    keep = ()
+    got = encode.categorical_features(new, enc, keep=keep).first()["feature"]
+    assert got == "2:1,2:0"                      # c and z are skipped
+    unseen = sorted((r["col_name"], r["value"]) for r in encode.unseen_values(new, enc).collect())
+    assert unseen == [("k", "z"), ("t", "c")]
+    import pytest
+    with pytest.raises(ValueError):
+        encode.require_known(new, enc)
+    encode.require_known(old, enc)
