@@ -34,3 +34,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_id", "score"]
     assert df.count() >= 0
+
+
+def test_readme_lists_every_query():
+    import os
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "README.md")).read()
+    assert [q for q in QUERIES if f"`{q}`" not in readme] == []
