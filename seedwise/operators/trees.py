@@ -73,6 +73,42 @@ def leaf_dictionary(values: DataFrame, max_rows: int | None = None) -> DataFrame
                          max_rows=max_rows)
 
 
+def leaf_value_map(model: GBTRegressionModel, vectors: DataFrame, per_leaf: DataFrame,
+                   id_col: str = "user_id", features: str = "features",
+                   col: str = "tree_leaves", max_entries: int | None = None
+                   ) -> dict[tuple[int, float], float]:
+    """(tree, leaf index) -> leaf value for every observed leaf.
+
+    One representative row per (tree, leaf) (the smallest id, so the choice is
+    deterministic) is scored by the per-tree models; at most ``trees * 2^depth``
+    rows are scored and collected, whatever the data size.
+    """
+    reps = (per_leaf.select(id_col, F.posexplode(col).alias("tree_id", "leaf"))
+                    .groupBy("tree_id", "leaf").agg(F.min(id_col).alias(id_col)))
+    rep_rows = reps.collect()
+    if max_entries is not None and len(rep_rows) > max_entries:
+        raise ValueError(f"{len(rep_rows)} observed leaves, above {max_entries}")
+    sample = vectors.select(id_col, features).join(
+        F.broadcast(reps.select(id_col).distinct()), id_col, "left_semi")
+    scored = {r[id_col]: r["tree_scores"] for r in
+              tree_scores(model, sample, features).select(id_col, "tree_scores").collect()}
+    return {(r["tree_id"], float(r["leaf"])): scored[r[id_col]][r["tree_id"]] for r in rep_rows}
+
+
+def tree_values_from_leaves(per_leaf: DataFrame, values: dict[tuple[int, float], float],
+                            n_trees: int, col: str = "tree_leaves",
+                            out: str = "tree_scores") -> DataFrame:
+    """V8 from leaf indices: each tree's leaf value through a literal map, so all
+    per-tree values come from one ``leafCol`` pass instead of one model call per
+    tree and row."""
+    per_tree = []
+    for t in range(n_trees):
+        pairs = sorted((leaf, v) for (tt, leaf), v in values.items() if tt == t)
+        m = F.create_map(*[x for leaf, v in pairs for x in (F.lit(leaf), F.lit(v))])
+        per_tree.append(F.try_element_at(m, F.element_at(F.col(col), t + 1)))
+    return per_leaf.withColumn(out, F.array(*per_tree))
+
+
 def _is_slot(slot: Column):
     def hit(j: Column) -> Column:
         return F.coalesce((j == slot).cast("int"), F.lit(0))
@@ -106,17 +142,7 @@ class LeafCode:
         ``trees * 2^depth`` rows instead of every row once per tree.
         """
         n_trees = len(model.trees)
-        reps = (per_leaf.select(id_col, F.posexplode(col).alias("tree_id", "leaf"))
-                        .groupBy("tree_id", "leaf").agg(F.min(id_col).alias(id_col)))
-        rep_rows = reps.collect()
-        if max_entries is not None and len(rep_rows) > max_entries:
-            raise ValueError(f"{len(rep_rows)} observed leaves, above {max_entries}")
-        sample = vectors.select(id_col, features).join(
-            F.broadcast(reps.select(id_col).distinct()), id_col, "left_semi")
-        scored = {r[id_col]: r["tree_scores"] for r in
-                  tree_scores(model, sample, features).select(id_col, "tree_scores").collect()}
-        value = {(r["tree_id"], float(r["leaf"])): scored[r[id_col]][r["tree_id"]]
-                 for r in rep_rows}
+        value = leaf_value_map(model, vectors, per_leaf, id_col, features, col, max_entries)
         ordered = [sorted({v for (t, _), v in value.items() if t == tt}) for tt in range(n_trees)]
         slot_of = [{v: i for i, v in enumerate(vals)} for vals in ordered]
         code = cls([], n_trees, widths=[len(vals) for vals in ordered])

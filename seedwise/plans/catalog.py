@@ -440,8 +440,12 @@ def _leaf(spark, sf, key="value"):
 
 
 def _per_tree_values(spark, sf):
+    """V8 for every training row: leaf indices from one pass, values by look-up."""
     lf = _leaf(spark, sf)
-    return trees.tree_scores(lf.model, lf.vectors.select("user_id", "features")), lf
+    n_trees = len(lf.model.trees)
+    values = trees.leaf_value_map(lf.model, lf.vectors, lf.per_leaf,
+                                  max_entries=n_trees * 2 ** lf.model.getMaxDepth())
+    return trees.tree_values_from_leaves(lf.per_leaf, values, n_trees), lf
 
 
 def q_tree_scores(spark, sf):

@@ -124,3 +124,15 @@ def test_leaf_index_path_equals_value_path(spark, encoded):
     got = {r["user_id"]: r["feature"] for r in lf.features.collect()}
     assert got == want
     assert lf.code.widths == direct.widths
+
+
+def test_tree_values_from_leaves_equal_per_tree_models(spark, encoded):
+    oh, enc = encoded
+    lf = jobs.leaf_job(oh, width=enc.width, gbt_params={"max_iter": 7})
+    n = len(lf.model.trees)
+    values = trees.leaf_value_map(lf.model, lf.vectors, lf.per_leaf)
+    fast = {r["user_id"]: r["tree_scores"] for r in
+            trees.tree_values_from_leaves(lf.per_leaf, values, n).collect()}
+    slow = {r["user_id"]: r["tree_scores"] for r in
+            trees.tree_scores(lf.model, lf.vectors.select("user_id", "features")).collect()}
+    assert fast == slow
