@@ -205,14 +205,84 @@ def indexed_long(df: DataFrame, enc: Encoding, id_col: str = "user_id",
                        small_rows=enc.width, how="left", null_safe=["val"], salt_from=id_col)
 
 
+# Largest per-column dictionary compiled into literal maps (map look-ups on
+# literals are linear scans, so only small domains are inlined).
+INLINE_MAX_ARITY = 64
+
+
+def inline_ok(enc: Encoding) -> bool:
+    """Every column's domain is small enough to encode in one projection."""
+    return bool(enc.arity) and max(enc.arity) <= INLINE_MAX_ARITY
+
+
+def _inline_indices(df: DataFrame, enc: Encoding) -> list[Column]:
+    """Per column, the ``array<int>`` of dictionary indices of the row's values,
+    from literal maps (the collected dictionary has at most
+    ``INLINE_MAX_ARITY`` entries per column). Unknown values are skipped."""
+    maps: list[dict[str, int]] = [dict() for _ in enc.layout]
+    nulls: list[int | None] = [None] * len(enc.layout)
+    for r in enc.dictionary.select("pos", "val", "idx").collect():
+        if r["val"] is None:
+            nulls[r["pos"]] = int(r["idx"])
+        else:
+            maps[r["pos"]][r["val"]] = int(r["idx"])
+    out = []
+    empty = F.array().cast("array<int>")
+    for p, f in enumerate(enc.layout):
+        if not maps[p] and nulls[p] is None:
+            out.append(empty)
+            continue
+        m = (F.create_map(*[x for v, i in sorted(maps[p].items()) for x in (F.lit(v), F.lit(i))])
+             if maps[p] else None)
+        if f.multi:
+            if m is None:
+                out.append(empty)
+                continue
+            idx = F.transform(_tokens(df, f.name), _lookup(m))
+            out.append(F.filter(idx, lambda x: x.isNotNull()))
+        else:
+            c = F.col(f.name)
+            known = F.try_element_at(m, c.cast("string")) if m is not None else F.lit(None)
+            one = F.when(c.isNull(), F.lit(nulls[p])).otherwise(known).cast("int")
+            out.append(F.filter(F.array(one), lambda x: x.isNotNull()))
+    return out
+
+
+def _lookup(m: Column):
+    def get(t: Column) -> Column:
+        return F.try_element_at(m, t)
+    return get
+
+
+def _plus(offset: int):
+    def add(i: Column) -> Column:
+        return i + F.lit(offset)
+    return add
+
+
+def _shifted(arrays: list[Column], offsets: list[int], which: list[int]) -> Column:
+    parts = [F.transform(arrays[p], _plus(offsets[p])) for p in which]
+    if not parts:
+        return F.array().cast("array<int>")
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
 def onehot_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
                     keep: Sequence[str] = ("cycle", "reader"),
-                    long_df: DataFrame | None = None) -> DataFrame:
+                    long_df: DataFrame | None = None, inline: bool | None = None) -> DataFrame:
     """``(id, feature_size, feature "i,j,k", keep…)``; positions ascending.
 
-    One aggregate per user; columns carried in ``keep`` are per-user values of
-    the profile (one row per id).
+    Small domains (``inline_ok``): one projection over the profile, no shuffle,
+    one output row per input row. Otherwise: the long table joins the
+    dictionary and one aggregate per user follows; columns carried in ``keep``
+    are per-user values of the profile (one row per id).
     """
+    if inline if inline is not None else inline_ok(enc):
+        arrays = _inline_indices(df, enc)
+        hot = F.array_sort(F.array_distinct(_shifted(arrays, enc.offsets(),
+                                                     list(range(len(enc.layout))))))
+        return df.select(id_col, F.lit(enc.width).cast("int").alias("feature_size"),
+                         F.array_join(hot, ",").alias("feature"), *keep)
     j = indexed_long(df, enc, id_col, keep, long_df)
     offs = _array_literal(enc.offsets(), "int")
     hot = F.element_at(offs, F.col("pos") + 1) + F.col("idx")
@@ -224,9 +294,20 @@ def onehot_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
 
 def categorical_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
                          keep: Sequence[str] = ("cycle", "reader"),
-                         long_df: DataFrame | None = None) -> DataFrame:
+                         long_df: DataFrame | None = None, inline: bool | None = None
+                         ) -> DataFrame:
     """``feature`` = every multi slot as ``2:0``/``2:1`` (multi columns in
-    order), then each single column as ``arity:index``."""
+    order), then each single column as ``arity:index``. Small domains are
+    encoded in one projection, larger ones through the dictionary join."""
+    wm = enc.multi_width()
+    if inline if inline is not None else inline_ok(enc):
+        arrays = _inline_indices(df, enc)
+        multis = [p for p, f in enumerate(enc.layout) if f.multi]
+        mh = _shifted(arrays, enc.offsets(only_multi=True), multis)
+        multi_part = F.transform(multi_hot(mh, wm), lambda x: F.concat(F.lit("2:"), x.cast("string")))
+        single_parts = [F.concat(F.lit(f"{enc.arity[p]}:"), F.try_element_at(arrays[p], F.lit(1)).cast("string"))
+                        for p, f in enumerate(enc.layout) if not f.multi]
+        return df.select(id_col, F.concat_ws(",", multi_part, *single_parts).alias("feature"), *keep)
     j = indexed_long(df, enc, id_col, keep, long_df)
     is_multi = _array_literal([f.multi for f in enc.layout], "boolean")
     moffs = _array_literal(enc.offsets(only_multi=True), "int")
@@ -237,7 +318,6 @@ def categorical_features(df: DataFrame, enc: Encoding, id_col: str = "user_id",
     aggs.append(F.collect_set(slot).alias("_mh"))
     aggs += [F.max(F.when(F.col("pos") == p, F.col("idx"))).alias(f"_s{p}") for p, _ in singles]
     agg = j.groupBy(id_col).agg(*aggs)
-    wm = enc.multi_width()
     multi_part = F.transform(multi_hot("_mh", wm), lambda x: F.concat(F.lit("2:"), x.cast("string")))
     single_parts = [F.concat(F.lit(f"{enc.arity[p]}:"), F.col(f"_s{p}").cast("string"))
                     for p, _ in singles]

@@ -21,13 +21,22 @@ def test_seed_filter_pushed_and_columns_pruned(spark):
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
-def test_onehot_dictionary_join_is_broadcast_and_agg_is_partial(spark):
+def test_small_domain_encoding_is_one_projection(spark):
+    df = C.QUERIES["onehot_features"](spark, SF_SMALL)
+    df.collect()
+    p = _plan(df)
+    assert "Exchange" not in p and "Join" not in p      # dictionary inlined, no shuffle
+    assert "c_acctbal" not in p
+
+
+def test_large_domain_encoding_joins_broadcast_and_aggregates_partially(spark, monkeypatch):
+    from seedwise.operators import encode
+    monkeypatch.setattr(encode, "INLINE_MAX_ARITY", 0)
     df = C.QUERIES["onehot_features"](spark, SF_SMALL)
     df.collect()
     p = _plan(df)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     assert p.count("ObjectHashAggregate") >= 2          # partial + final collect_set
-    assert "c_acctbal" not in p                         # only needed columns are read
 
 
 def test_profile_reads_only_needed_columns(spark):

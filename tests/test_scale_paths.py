@@ -2,6 +2,7 @@
 salted dictionary joins, non-broadcast seed joins. Results must not change."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from seedwise.operators import encode, joins, numbering, populations
@@ -26,6 +27,7 @@ def test_encoders_same_on_large_paths(spark, profile, monkeypatch):
     expect_oh, expect_cat = _rows(small_oh), _rows(small_cat)
 
     # numbering through range buckets + checkpoint, dictionary joined with salt
+    monkeypatch.setattr(encode, "INLINE_MAX_ARITY", 0)
     monkeypatch.setattr(numbering, "SINGLE_TASK_ROWS", 0)
     monkeypatch.setattr(joins, "DEFAULT_MAX_BROADCAST_ROWS", 1)
     monkeypatch.setattr(joins.lookup_join, "__defaults__",
@@ -77,3 +79,26 @@ def test_code_filter_pushdown_and_text_semantics(spark):
                                "user_id long, code int, code_txt string")
     assert [r["user_id"] for r in populations.code_filter(df, "code", [7, 9]).collect()] == [1, 3]
     assert [r["user_id"] for r in populations.code_filter(df, "code_txt", [7, 9]).collect()] == [1]
+
+
+def test_inline_and_join_encoders_agree(spark, profile):
+    layout = encode.onehot_layout(profile, P.ONEHOT_COLUMNS)
+    enc = encode.fit_encoding(profile, layout)
+    assert encode.inline_ok(enc)
+    a = encode.onehot_features(profile, enc, inline=True)
+    b = encode.onehot_features(profile, enc, inline=False)
+    assert _rows(a) == _rows(b)
+    cl = encode.categorical_layout(profile, P.CATEGORICAL_SINGLES, P.CATEGORICAL_MULTIS)
+    ce = encode.fit_encoding(profile, cl)
+    assert _rows(encode.categorical_features(profile, ce, inline=True)) == \
+        _rows(encode.categorical_features(profile, ce, inline=False))
+
+
+def test_inline_encoder_adds_no_shuffle(spark):
+    df = spark.createDataFrame([(1, ",a,b,", 3), (2, None, 4)], "user_id long, t string, n int") \
+        .withColumn("cycle", F.lit(",7,")).withColumn("reader", F.lit("1"))
+    enc = encode.fit_encoding(df, encode.onehot_layout(df, ["t", "n"]))
+    out = encode.onehot_features(df, enc)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert {r["user_id"]: r["feature"] for r in out.collect()} == {1: "0,1,2", 2: "3"}
