@@ -208,11 +208,15 @@ def indexed_long(df: DataFrame, enc: Encoding, id_col: str = "user_id",
 # Largest per-column dictionary compiled into literal maps (map look-ups on
 # literals are linear scans, so only small domains are inlined).
 INLINE_MAX_ARITY = 64
+# Largest whole dictionary inlined, so the projection and its generated code stay small.
+INLINE_MAX_WIDTH = 4096
 
 
 def inline_ok(enc: Encoding) -> bool:
-    """Every column's domain is small enough to encode in one projection."""
-    return bool(enc.arity) and max(enc.arity) <= INLINE_MAX_ARITY
+    """Every column's domain, and the dictionary as a whole, is small enough to
+    encode in one projection."""
+    return (bool(enc.arity) and max(enc.arity) <= INLINE_MAX_ARITY
+            and enc.width <= INLINE_MAX_WIDTH)
 
 
 def _inline_indices(df: DataFrame, enc: Encoding) -> list[Column]:
