@@ -113,3 +113,12 @@ def test_given_dictionary_skip_or_error(spark):
     with pytest.raises(ValueError):
         encode.require_known(new, enc)
     encode.require_known(old, enc)
+
+
+def test_feature_width_is_checked(spark):
+    ok = spark.createDataFrame([(1, 5, "0,3"), (2, 5, "")], "user_id long, feature_size int, feature string")
+    assert jobs.feature_width(ok) == 5
+    mixed = spark.createDataFrame([(1, 5, "0"), (2, 6, "1")], "user_id long, feature_size int, feature string")
+    import pytest
+    with pytest.raises(ValueError):
+        jobs.feature_width(mixed)
