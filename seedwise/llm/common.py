@@ -1,0 +1,56 @@
+"""Helpers shared by the operators of this subpackage."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seedwise.session import scratch_path
+
+#: A word is a run of characters other than space and \\t \\n \\v \\f \\r.
+WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def text_or_empty(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def id_remainder(n: int, id_col: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo n (a null id counts as the empty string)."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back: later steps do not
+    recompute it, and a lost executor cannot change what it holds. The folder goes when
+    the session ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def words(raw: bytes) -> list[bytes]:
+    """Words of a UTF-8 text; ``bytes.split`` cuts at exactly space and \\t \\n \\v \\f \\r."""
+    return raw.split()
+
+
+def utf8_column(batch, name: str) -> list[bytes]:
+    """A string column of an Arrow batch as UTF-8 bytes; null becomes empty."""
+    import pyarrow as pa
+    return [v or b"" for v in batch.column(name).cast(pa.binary()).to_pylist()]
