@@ -1,0 +1,308 @@
+"""Word-wise use of a ``tokenizers`` vocabulary that drops white space.
+
+The vocabulary's pre-tokenizer removes white space and no token spans it, so the ids of
+a text are the ids of its words in a row. Each distinct word is encoded by the library
+once per task and remembered, within a bound.
+"""
+
+from __future__ import annotations
+
+import os
+import re
+import struct
+import unicodedata
+
+#: Most characters remembered by one table before it is emptied.
+MEMORY_CHARS = 4_000_000
+#: Longer words are not remembered.
+MEMORY_WORD = 64
+
+
+def load(path: str | None):
+    """The library's tokenizer for ``path`` (default: the public word-level BPE file)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return Tokenizer.from_file(path)
+
+
+class WordIds:
+    """word -> its ids as little-endian unsigned 32-bit bytes.
+
+    A word met for the first time is cut before its closing signs (a letter and a sign
+    never share a token), so that "word," needs no second encoding of "word". Each table
+    keeps the words of its two last generations, so its memory is bounded.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.words = _Generations()
+        self.stems = _Generations()
+
+    def of_text(self, raw: bytes) -> bytes:
+        parts = raw.split() if b"<|" in raw else raw.lower().split()
+        try:
+            return b"".join(map(self.words.young.__getitem__, parts))
+        except KeyError:
+            ids = self._find(dict.fromkeys(parts))
+            return b"".join(map(ids.__getitem__, parts))
+
+    def _find(self, distinct) -> dict[bytes, bytes]:
+        ids, missing = self.words.find(distinct)
+        if not missing:
+            return ids
+        cuts = {w: _cut(w) for w in missing}
+        stems, new = self.stems.find(dict.fromkeys(p for c in cuts.values() for p in c))
+        if new:
+            encoded = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+            made = {w: struct.pack(f"<{len(e)}I", *e.ids) for w, e in zip(new, encoded)}
+            self.stems.keep(made)
+            stems.update(made)
+        whole = {w: b"".join([stems[p] for p in c]) for w, c in cuts.items()}
+        self.words.keep(whole)
+        ids.update(whole)
+        return ids
+
+
+_SIGNS = b".,!?;:|"
+
+
+def _cut(word: bytes) -> list[bytes]:
+    """The word before its closing signs, and these; no token spans a letter and a sign."""
+    stem = word.rstrip(_SIGNS)
+    if stem == word or not stem:
+        return [word]
+    end = stem[-1:]
+    if end.isalpha() or end >= b"\x80" and _kind(stem.decode("utf-8", "replace")[-1]) == "L":
+        return [stem, word[len(stem):]]
+    return [word]
+
+
+class _Generations:
+    """A bounded table: when the young generation is full it becomes the old one, and what
+    is asked for again moves back."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def find(self, keys) -> tuple[dict, list[bytes]]:
+        young, old = self.young, self.old
+        found, back, missing = {}, {}, []
+        for k in keys:
+            v = young.get(k)
+            if v is None:
+                v = old.get(k)
+                if v is None:
+                    missing.append(k)
+                    continue
+                back[k] = v
+            found[k] = v
+        if back:
+            self.keep(back)
+        return found, missing
+
+    def keep(self, new: dict) -> None:
+        for k, v in new.items():
+            if len(k) <= MEMORY_WORD:
+                self.young[k] = v
+                self.size += len(k)
+        if self.size > MEMORY_CHARS:
+            self.old, self.young, self.size = self.young, {}, 0
+
+
+class PrefixSteps:
+    """word -> how the token count changes with each further code point (16-bit steps).
+
+    ``count(text[:i])`` is the count at the start of the word that holds position i plus
+    the count of that word's prefix, so the steps of a text are the steps of its words,
+    with 0 for white space. Word prefixes share a table: each distinct prefix is counted
+    once. Runs of more than MEMORY_WORD letters or signs use :class:`RunCounter`.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.runs: RunCounter | None = None
+        self.words = _Generations()
+        self.prefixes = _Generations()
+
+    def of_text(self, raw: bytes) -> bytes:
+        """One signed little-endian 16-bit step per code point of the text."""
+        if b"<|" not in raw:
+            raw = raw.lower()
+        parts = raw.translate(_SPACES).split(b" ")
+        try:
+            return b"\0\0".join(map(self.words.young.__getitem__, parts))
+        except KeyError:
+            steps = self._find(dict.fromkeys(parts))
+            return b"\0\0".join(map(steps.__getitem__, parts))
+
+    def _find(self, distinct) -> dict[bytes, bytes]:
+        steps, missing = self.words.find(distinct)
+        if not missing:
+            return steps
+        whole = {}
+        pieces = {w: _cut(w) if len(w) <= MEMORY_WORD else
+                  [r.encode("utf-8") for r in safe_runs(w.decode("utf-8", "replace"))]
+                  for w in missing}
+        short = {p: [p[:i] for i in _ends(p)] for c in pieces.values() for p in c
+                 if len(p) <= MEMORY_WORD}
+        counts, new = self.prefixes.find(dict.fromkeys(q for c in short.values() for q in c))
+        if new:
+            encoded = self.tokenizer.encode_batch_fast(
+                [q.decode("utf-8", "replace") for q in new], add_special_tokens=False)
+            made = {q: len(e) for q, e in zip(new, encoded)}
+            self.prefixes.keep(made)
+            counts.update(made)
+        for w, cut in pieces.items():
+            out: list[int] = []
+            for p in cut:
+                if p in short:
+                    many = [counts[q] for q in short[p]]
+                    out.extend(map(int.__sub__, many, [0, *many[:-1]]))
+                else:
+                    self.runs = self.runs or RunCounter(self.tokenizer)
+                    many = self.runs.counts(p.decode("utf-8", "replace"))
+                    out.extend(map(int.__sub__, many[1:], many[:-1]))
+            whole[w] = struct.pack(f"<{len(out)}h", *out)
+        self.words.keep(whole)
+        steps.update(whole)
+        return steps
+
+
+_SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+
+
+def _ends(word: bytes) -> list[int]:
+    """Byte offsets after each code point."""
+    if word.isascii():
+        return list(range(1, len(word) + 1))
+    return [i for i in range(1, len(word) + 1) if i == len(word) or word[i] & 0xC0 != 0x80]
+
+
+def _kind(ch: str) -> str:
+    cat = unicodedata.category(ch)
+    return "L" if cat[0] == "L" else "N" if cat[0] == "N" else "S"
+
+
+def safe_runs(word: str) -> list[str]:
+    """Cut a long word where no token, composition or special string can span the cut:
+    beside a digit, or between a letter and a sign other than an apostrophe."""
+    if "<|" in word or not unicodedata.is_normalized("NFC", word) or re.search(r"\s", word):
+        return [word]
+    out, start = [], 0
+    kinds = [_kind(c) for c in word]
+    for i in range(1, len(word)):
+        a, b = kinds[i - 1], kinds[i]
+        if "'" in (word[i - 1], word[i]) or unicodedata.category(word[i])[0] == "M":
+            continue
+        if a != b or a == "N":
+            out.append(word[start:i])
+            start = i
+    out.append(word[start:])
+    return out
+
+
+class RunCounter:
+    """Token counts of all prefixes of one long run by dynamic programming.
+
+    With ranked merges, the tokens of a prefix end in exactly one token t for which the
+    tokens of what precedes t may stand before t. So ``last[i]`` (the last token of the
+    first i bytes) follows from earlier entries: try the tokens that end at i, keep the
+    one that may follow ``last[i - len(t)]``. A prefix that ends the word ends in a token
+    with the word-end mark, found the same way. Cost: run length x longest token.
+    """
+
+    END = "</w>"
+
+    def __init__(self, tokenizer):
+        import json
+        model = json.loads(tokenizer.to_str())["model"]
+        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" "))
+                  for m in model["merges"]]
+        self.tokenizer = tokenizer
+        self.rank = {m: i for i, m in enumerate(merges)}
+        self.made_of = {}
+        for a, b in merges:
+            self.made_of.setdefault(a + b, (a, b))
+        self.level = {a + b: self.rank[a, b] for a, b in reversed(merges)}
+        self.vocab = set(model["vocab"])
+        self.longest = max(len(t.removesuffix(self.END)) for t in self.vocab)
+        self.fits: dict[tuple[str, str], bool] = {}
+
+    def may_follow(self, a: str, b: str) -> bool:
+        """Whether encoding the bytes of a and b together gives back a, b."""
+        key = (a, b)
+        if key not in self.fits:
+            if len(self.fits) > 500_000:
+                self.fits.clear()
+            self.fits[key] = self._encode(self._symbols(a) + self._symbols(b)) == [a, b]
+        return self.fits[key]
+
+    def _symbols(self, token: str) -> list[str]:
+        if token.endswith(self.END):
+            body = token.removesuffix(self.END)
+            return [*body[:-1], body[-1] + self.END]
+        return list(token)
+
+    def _encode(self, symbols: list[str]) -> list[str]:
+        while len(symbols) > 1:
+            best = min(zip(symbols, symbols[1:]),
+                       key=lambda p: self.rank.get(p, 1 << 60))
+            if best not in self.rank:
+                break
+            out, i = [], 0
+            while i < len(symbols):
+                if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best:
+                    out.append(symbols[i] + symbols[i + 1])
+                    i += 2
+                else:
+                    out.append(symbols[i])
+                    i += 1
+            symbols = out
+        return symbols
+
+    def counts(self, run: str) -> list[int]:
+        """Counts of the prefixes of ``run``, from the empty one to the whole."""
+        plain = self.tokenizer.normalizer.normalize_str
+        chars = [plain(c) for c in run]
+        one = self.tokenizer.pre_tokenizer.pre_tokenize_str("".join(chars))
+        if plain(run) != "".join(chars) or len(one) != 1 or "<|" in run:
+            # letters that compose, or several pieces: count each prefix by the library
+            return [len(self.tokenizer.encode(run[:i], add_special_tokens=False))
+                    for i in range(len(run) + 1)]
+        text = one[0][0]                      # one character for each byte
+        ends, at = [], 0
+        for c in chars:
+            at += len(c.encode())
+            ends.append(at)
+        last: list[str | None] = [None] * (len(text) + 1)
+        many = [0] * (len(text) + 1)
+        for i in range(1, len(text) + 1):
+            for j in range(max(0, i - self.longest), i):
+                t = text[j:i]
+                if t in self.vocab and (j == 0 and self._whole(t) or
+                                        j > 0 and last[j] and self.may_follow(last[j], t)):
+                    last[i], many[i] = t, many[j] + 1
+                    break
+        out = [0]
+        for i in ends:
+            for j in range(max(0, i - self.longest), i):
+                t = text[j:i] + self.END
+                if t in self.vocab and (j == 0 and self._whole(t) or
+                                        j > 0 and last[j] and self.may_follow(last[j], t)):
+                    out.append(many[j] + 1)
+                    break
+            else:
+                raise ValueError("no token ends this prefix")
+        return out
+
+    def _whole(self, token: str) -> bool:
+        key = ("", token)
+        if key not in self.fits:
+            self.fits[key] = self._encode(self._symbols(token)) == [token]
+        return self.fits[key]
