@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from seedwise.llm import line_rules, mixing, packing, token_counts
+from seedwise.llm import line_rules, mixing, packing, simhash, token_counts
 from seedwise.llm.common import documents
 
 
+def op1_simhash_near_dedup(spark, sf):
+    return simhash.near_duplicates(documents(spark, sf))
+
+
 def op2_best_fit_packing(spark, sf):
     packed = packing.pack(documents(spark, sf), keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -23,7 +27,7 @@ def op10_line_rules(spark, sf):
     return line_rules.line_rules(documents(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_source_mixing, op9_token_counts,
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op4_source_mixing, op9_token_counts,
                                    op10_line_rules)}
 
 SQL = {"op4_source_mixing": mixing.SQL}
