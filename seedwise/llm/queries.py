@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seedwise.llm import line_rules, mixing, packing, simhash, token_counts
+from seedwise.llm import line_rules, mixing, packing, simhash, spotsigs, token_counts
 from seedwise.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op2_best_fit_packing(spark, sf):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_spotsigs(spark, sf):
+    return spotsigs.edited_likeness(documents(spark, sf))
+
+
 def op4_source_mixing(spark, sf):
     return mixing.mix_report(documents(spark, sf))
 
@@ -27,7 +31,8 @@ def op10_line_rules(spark, sf):
     return line_rules.line_rules(documents(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op4_source_mixing, op9_token_counts,
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op3_spotsigs,
+                                   op4_source_mixing, op9_token_counts,
                                    op10_line_rules)}
 
 SQL = {"op4_source_mixing": mixing.SQL}
