@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from seedwise.llm import line_rules, mixing, packing, simhash, spotsigs, token_counts
-from seedwise.llm.common import documents
+from seedwise.llm import (cotraining, line_rules, mixing, packing, simhash, spotsigs,
+                          token_counts, toxicity)
+from seedwise.llm.common import documents, id_remainder, labels
 
 
 def op1_simhash_near_dedup(spark, sf):
@@ -23,6 +24,16 @@ def op4_source_mixing(spark, sf):
     return mixing.mix_report(documents(spark, sf))
 
 
+def op5_toxicity(spark, sf):
+    return toxicity.toxicity_scores(documents(spark, sf), labels(spark, sf))
+
+
+def op8_quality_classifier(spark, sf):
+    scored = cotraining.quality_scores(documents(spark, sf), labels(spark, sf))
+    held = (id_remainder(cotraining.HELD_OUT) == 0).alias("held_out")
+    return scored.select("doc_id", held, scored["quality_score"].alias("score"), "keep")
+
+
 def op9_token_counts(spark, sf):
     return token_counts.token_counts(documents(spark, sf))
 
@@ -32,7 +43,7 @@ def op10_line_rules(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op3_spotsigs,
-                                   op4_source_mixing, op9_token_counts,
+                                   op4_source_mixing, op5_toxicity, op8_quality_classifier, op9_token_counts,
                                    op10_line_rules)}
 
 SQL = {"op4_source_mixing": mixing.SQL}
