@@ -37,7 +37,7 @@ LEXICONS = {
              "dégoûtant dégueulasse asqueroso asquerosa payaso".split(),
     "abuse": "bastard bitch asshole shit fuck fucking damn arschloch scheiße salaud connard "
              "merde cabrón mierda puta".split(),
-    "threat": "kill die hang destroy hate töten hasse tuer haine matar odio".split(),
+    "threat": "kill murder destroy hate töten hasse tuer haine matar odio".split(),
 }
 STEM_LENGTHS = (4, 5, 6, 7)
 LEVELS = 3
@@ -54,7 +54,8 @@ class Learning:
     stems: int = 256              # word beginnings kept
     roots: int = 24               # voters made of them, one per common beginning
     least_rows: int = 4           # toxic rows a word beginning must be in
-    least_odds: float = 25.0      # and how much likelier it must be in toxic rows
+    least_odds: float = 25.0      # and how much likelier it must be in toxic rows,
+    least_sure: float = 3.0       # by so many standard errors of the log-odds
     rounds: int = 12              # of expectation-maximisation
 
 
@@ -112,6 +113,8 @@ def learn_stems(rows: DataFrame, learning: Learning) -> list[tuple[str, bool]]:
     odds = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("good") + 0.5) / (good + 1))
     best = (counts.where(F.col("bad") >= learning.least_rows)
             .withColumn("odds", odds).where(F.col("odds") >= learning.least_odds)
+            .where(F.log("odds") >= learning.least_sure * F.sqrt(1 / F.col("bad")
+                                                                 + 1 / (F.col("good") + 0.5)))
             .orderBy((F.log("odds") * F.sqrt("bad")).desc(), F.length("stem"), "stem")
             .limit(learning.stems).collect())
     return [(r["stem"], r["odds"] >= STRONG) for r in best]
