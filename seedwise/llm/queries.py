@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from seedwise.llm import (cotraining, line_rules, mixing, packing, simhash, spotsigs,
-                          token_counts, toxicity)
+                          suffix_dedup, token_counts, toxicity)
 from seedwise.llm.common import documents, id_remainder, labels
 
 
@@ -28,6 +28,10 @@ def op5_toxicity(spark, sf):
     return toxicity.toxicity_scores(documents(spark, sf), labels(spark, sf))
 
 
+def op6_suffix_dedup(spark, sf):
+    return suffix_dedup.removal_report(documents(spark, sf))
+
+
 def op8_quality_classifier(spark, sf):
     scored = cotraining.quality_scores(documents(spark, sf), labels(spark, sf))
     held = (id_remainder(cotraining.HELD_OUT) == 0).alias("held_out")
@@ -43,7 +47,7 @@ def op10_line_rules(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op3_spotsigs,
-                                   op4_source_mixing, op5_toxicity, op8_quality_classifier, op9_token_counts,
+                                   op4_source_mixing, op5_toxicity, op6_suffix_dedup, op8_quality_classifier, op9_token_counts,
                                    op10_line_rules)}
 
 SQL = {"op4_source_mixing": mixing.SQL}
