@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from seedwise.llm import (cotraining, line_rules, mixing, packing, simhash, spotsigs,
-                          suffix_dedup, token_counts, toxicity)
+from seedwise.llm import (cotraining, interpolation, line_rules, mixing, packing, simhash,
+                          spotsigs, suffix_dedup, token_counts, toxicity)
 from seedwise.llm.common import documents, id_remainder, labels
 
 
@@ -32,6 +32,10 @@ def op6_suffix_dedup(spark, sf):
     return suffix_dedup.removal_report(documents(spark, sf))
 
 
+def op7_deleted_interpolation(spark, sf):
+    return interpolation.model_scores(documents(spark, sf))
+
+
 def op8_quality_classifier(spark, sf):
     scored = cotraining.quality_scores(documents(spark, sf), labels(spark, sf))
     held = (id_remainder(cotraining.HELD_OUT) == 0).alias("held_out")
@@ -47,7 +51,8 @@ def op10_line_rules(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_best_fit_packing, op3_spotsigs,
-                                   op4_source_mixing, op5_toxicity, op6_suffix_dedup, op8_quality_classifier, op9_token_counts,
+                                   op4_source_mixing, op5_toxicity, op6_suffix_dedup,
+                                   op7_deleted_interpolation, op8_quality_classifier, op9_token_counts,
                                    op10_line_rules)}
 
 SQL = {"op4_source_mixing": mixing.SQL}
