@@ -212,17 +212,31 @@ def score_column(model: CoTrained):
     return pandas_udf(run, "double", PandasUDFType.SCALAR_ITER)
 
 
+def _scored(docs: DataFrame, labels: DataFrame, sample: Sample) -> DataFrame:
+    """(_row, quality_score): each row of ``docs`` as one struct, and its score."""
+    score = score_column(fit_quality(docs, labels, sample))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return docs.select(row, score(text_or_empty(), F.col("lang").cast("string"),
+                                  F.col("source").cast("string")).alias("quality_score"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(),
                    reject_below: float = REJECT_BELOW) -> DataFrame:
-    """All columns of ``docs`` plus ``quality_score`` (0 to 1) and ``keep``.
+    """Per row: doc_id, held_out (kept out of training), score (0 to 1), keep.
 
     Null texts are scored as empty, null languages and sources as empty strings; without
-    usable labels every score is the same; an empty table gives no rows.
+    usable labels every score is the same; repeated rows are scored each; an empty table
+    gives no rows; other columns are not read.
     """
-    score = score_column(fit_quality(docs, labels, sample))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.select(F.struct(*cols).alias("_row"), score(
-        text_or_empty(), F.col("lang").cast("string"), F.col("source").cast("string"))
-        .alias("quality_score"))
-    return out.select("_row.*", F.col("quality_score").alias("quality_score"),
-                      (F.col("quality_score") >= reject_below).alias("keep"))
+    slim = docs.select("doc_id", "text", "lang", "source")
+    return _scored(slim, labels, sample).select(
+        "_row.doc_id", (id_remainder(HELD_OUT, "_row.doc_id") == 0).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= reject_below).alias("keep"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(),
+              reject_below: float = REJECT_BELOW) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, columns as they are."""
+    return _scored(docs, labels, sample).where(
+        F.col("quality_score") >= reject_below).select("_row.*")

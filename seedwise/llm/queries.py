@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from seedwise.llm import (cotraining, interpolation, line_rules, mixing, packing, simhash,
                           spotsigs, suffix_dedup, token_counts, toxicity)
-from seedwise.llm.common import documents, id_remainder, labels
+from seedwise.llm.common import documents, labels
 
 
 def op1_simhash_near_dedup(spark, sf):
@@ -37,9 +37,7 @@ def op7_deleted_interpolation(spark, sf):
 
 
 def op8_quality_classifier(spark, sf):
-    scored = cotraining.quality_scores(documents(spark, sf), labels(spark, sf))
-    held = (id_remainder(cotraining.HELD_OUT) == 0).alias("held_out")
-    return scored.select("doc_id", held, scored["quality_score"].alias("score"), "keep")
+    return cotraining.quality_scores(documents(spark, sf), labels(spark, sf))
 
 
 def op9_token_counts(spark, sf):

@@ -58,7 +58,8 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint as a signed long. A null text is one without words."""
+    """(id, h, fp): a hash of the text, and the fingerprint as a signed long. A null text is
+    one without words."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -66,11 +67,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             fps = [fingerprint(raw, shingle) for raw in utf8_column(batch, "_text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f - ((f >> 63) << 64) for f in fps], pa.int64())],
-                names=["_id", "fp"])
+                [batch.column(0), batch.column(1),
+                 pa.array([f - ((f >> 63) << 64) for f in fps], pa.int64())],
+                names=["_id", "h", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"_id {id_type}, fp long").withColumnRenamed("_id", id_col)
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("h"), text.alias("_text"))
+    return rows.mapInArrow(run, f"_id {id_type}, h long, fp long").withColumnRenamed("_id", id_col)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -163,6 +166,14 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     return links.distinct()
 
 
+def _classes(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """(_fp, _root): the component of every distinct fingerprint of ``rows``."""
+    known = stage(rows.select("fp").distinct(), "distinct-fingerprints")
+    nodes = components(near_links(known, radius, bucket))
+    return known.join(nodes, known["fp"] == nodes["node"], "left") \
+        .select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("_root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id that is
@@ -173,22 +184,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives no rows; other columns are not read.
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    known = rows.groupBy("fp").agg(F.min(id_col).alias("_least"))
-    known = stage(known, "distinct-fingerprints")
-    nodes = components(near_links(known, radius, bucket))
-    rooted = known.join(nodes, known["fp"] == nodes["node"], "left") \
-        .select("fp", "_least", F.coalesce("root", "fp").alias("_root"))
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    classes = rooted.join(least, "_root").select(F.col("fp").alias("_fp"), "component_id")
-    return (rows.join(classes, rows["fp"] == classes["_fp"])
+    classes = stage(_classes(rows, radius, bucket), "classes")
+    per_print = rows.groupBy("fp").agg(F.min(id_col).alias("_least"))
+    least = per_print.join(classes, per_print["fp"] == classes["_fp"]) \
+        .groupBy("_root").agg(F.min("_least").alias("component_id"))
+    named = classes.join(least, "_root").select("_fp", "component_id")
+    return (rows.join(named, rows["fp"] == named["_fp"])
             .select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                     "component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, in the columns of ``docs``."""
-    marked = near_duplicates(docs, id_col, text_col, shingle, radius)
-    kept = marked.where(F.col(id_col) == F.col("component_id")).select(
-        F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
+    """One row of ``docs`` for each component, that of the smallest id (null ids last, then
+    the smallest text hash), with the columns of ``docs``."""
+    rows = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    classes = stage(_classes(rows, radius, BUCKET), "classes")
+    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "h")
+    per_print = rows.groupBy("fp").agg(F.min(first).alias("one"))
+    kept = per_print.join(classes, per_print["fp"] == classes["_fp"]) \
+        .groupBy("_root").agg(F.min("one").alias("one")).select("one.id", "one.h")
+    kept = stage(kept, "kept")
+    copies = rows.groupBy(F.col(id_col).alias("_i"), F.col("h").alias("_h")) \
+        .agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(id_col).alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_th"))
+    held = held.join(kept, held["_id"].eqNullSafe(kept["id"]) & (held["_th"] == kept["h"]), "left_semi")
+    if copies.isEmpty():
+        return held.select("_row.*")
+    # rows that agree in id and text: any one of them stays
+    twice = stage(copies, "repeated-rows")
+    same = held["_id"].eqNullSafe(twice["_i"]) & (held["_th"] == twice["_h"])
+    once = held.join(twice, same, "left_anti")
+    return once.unionByName(held.join(twice, same, "left_semi").dropDuplicates(["_id", "_th"])) \
+        .select("_row.*")
