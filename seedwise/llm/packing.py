@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, utf8_column
-from seedwise.llm.tokens import WordIds, load
+from seedwise.llm.tokens import WordIds, per_process
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -63,7 +63,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import zlib
 
         import pyarrow as pa
-        table = WordIds(load(vocabulary))
+        table = per_process("ids", vocabulary, WordIds)
         end, step = struct.pack("<I", end_id), 4 * max_tokens
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []

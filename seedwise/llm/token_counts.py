@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import text_or_empty, utf8_column
-from seedwise.llm.tokens import PrefixSteps, load
+from seedwise.llm.tokens import PrefixSteps, per_process
 
 SCHEMA = "n_bytes long, n_chars long, n_tokens long, chars_in_limit long, prefix_steps binary"
 
@@ -38,7 +38,7 @@ def prefix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        table = PrefixSteps(load(vocabulary))
+        table = per_process("steps", vocabulary, PrefixSteps)
         for batch in batches:
             raws = utf8_column(batch, "_text")
             for lo, hi in _slices(raws):

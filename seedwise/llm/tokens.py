@@ -10,10 +10,12 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+import types
 import unicodedata
 
 #: Most characters remembered by one table before it is emptied.
-MEMORY_CHARS = 4_000_000
+MEMORY_CHARS = 6_000_000
 #: Longer words are not remembered.
 MEMORY_WORD = 64
 
@@ -28,6 +30,15 @@ def load(path: str | None):
     return Tokenizer.from_file(path)
 
 
+def per_process(name: str, path: str | None, make):
+    """``make(tokenizer)``, kept for the later tasks of a worker process."""
+    kept = sys.modules.setdefault("seedwise_worker_state", types.ModuleType("seedwise_worker_state"))
+    key = f"{name}:{path}"
+    if key not in kept.__dict__:
+        kept.__dict__[key] = make(load(path))
+    return kept.__dict__[key]
+
+
 class WordIds:
     """word -> its ids as little-endian unsigned 32-bit bytes.
 
