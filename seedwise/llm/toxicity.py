@@ -190,22 +190,18 @@ class Voters:
 class LabelModel:
     """prior P(toxic), P(fires | clean or toxic) per voter, correlations within the classes.
 
-    A voter that does not fire abstains. Among the voters that fire on a row, each one's
-    evidence is divided by one plus its correlation with the others; a row on which none
-    fires has the evidence of that silence.
+    Firing and staying silent are both evidence. Each voter's evidence is divided by one
+    plus its correlations with the voters that do the same on the row.
     """
     prior: float
     fires: np.ndarray             # 2 x voters
-    silence: np.ndarray           # P(no voter fires | clean or toxic)
     correlation: np.ndarray       # voters x voters, mean over the classes, not negative
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """P(toxic) of rows of 0 / 1 votes."""
         lo, hi = self.fires
-        discount = 1 / (1 + votes @ self.correlation)
-        gain = (votes * discount) @ np.log(hi / lo)
-        silent = ~votes.any(axis=1)
-        gain = np.where(silent, np.log(self.silence[1] / self.silence[0]), gain)
+        gain = ((votes / (1 + votes @ self.correlation)) @ np.log(hi / lo)
+                + ((1 - votes) / (1 + (1 - votes) @ self.correlation)) @ np.log((1 - hi) / (1 - lo)))
         return sigmoid(np.log(self.prior / (1 - self.prior)) + gain)
 
 
@@ -221,30 +217,30 @@ def fit_label_model(patterns: DataFrame, voters: Voters, learning: Learning) ->
     def sums(model: LabelModel | None):
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
-            total = np.zeros((2, m + 2, m + 2))
+            total = np.zeros((2, m + 1, m + 1))
             for batch in batches:
                 v = bits_of(batch.column(0).to_numpy(), m)
                 n = batch.column(2).to_numpy().astype(float)
                 label = batch.column(1).to_pandas().to_numpy(dtype=float)
                 guess = model.posterior(v) if model else np.clip(v[:, :-4].sum(axis=1), 0, 1) * .8 + .05
                 p = np.where(np.isnan(label), guess, label)
-                one = np.hstack([v, ~v.any(axis=1)[:, None], np.ones((len(v), 1))])
+                one = np.hstack([v, np.ones((len(v), 1))])
                 for y, w in ((0, n * (1 - p)), (1, n * p)):
                     total[y] += (one * w[:, None]).T @ one
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(total.size), pa.int32()), pa.array(total.ravel())],
                 names=["i", "s"])
         got = patterns.mapInArrow(run, "i int, s double").groupBy("i").agg(F.sum("s").alias("s"))
-        flat = np.zeros(2 * (m + 2) ** 2)
-        for r in got.collect():        # 2 (voters + 2)^2 numbers
+        flat = np.zeros(2 * (m + 1) ** 2)
+        for r in got.collect():        # 2 (voters + 1)^2 numbers
             flat[r["i"]] = r["s"]
-        return flat.reshape(2, m + 2, m + 2)
+        return flat.reshape(2, m + 1, m + 1)
 
     model = None
     for _ in range(learning.rounds):
         total = sums(model)
         size = total[:, -1, -1]
-        fires = (total[:, -1, :-1] + [[0.02], [0.5]] * np.ones((2, m + 1))) / (size[:, None] + 1.0)
+        fires = (total[:, -1, :m] + [[0.02], [0.5]] * np.ones((2, m))) / (size[:, None] + 1.0)
         fires = np.clip(fires, 1e-5, 1 - 1e-5)
         prior = float(np.clip(size[1] / max(1.0, size.sum()), 1e-4, 0.5))
         rho = np.zeros((m, m))
@@ -254,7 +250,7 @@ def fit_label_model(patterns: DataFrame, voters: Voters, learning: Learning) ->
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             rho += np.where(sd[:, None] * sd > 1e-6, cov / np.outer(sd, sd), 0) / 2
         np.fill_diagonal(rho, 0)
-        new = LabelModel(prior, fires[:, :m], fires[:, m], np.clip(rho, 0, 1))
+        new = LabelModel(prior, fires, np.clip(rho, 0, 1))
         done = model is not None and np.abs(new.fires - model.fires).max() < 1e-4
         model = new
         if done:
