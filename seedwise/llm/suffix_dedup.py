@@ -16,7 +16,7 @@ somewhere else, in the same text or another; strings never cross texts.
    so that first bytes, the sample rank at the shift and the last 31 bytes decide whether
    all 200 bytes agree. Memory is bounded by the block, not by the corpus.
 4. A gram with more kinds than ``BUCKET`` (a passage's edge in very many texts) is not
-   gathered: its windows are counted by 128-bit digest, pre-aggregated, over all tasks.
+   gathered: its windows are counted by 128-bit digest, in packed ranges, over all tasks.
 
 Texts cross the network twice, compressed, each time to meet small per-document lists.
 """
@@ -34,6 +34,8 @@ LENGTH = 200
 GRAM = 40
 #: Kinds of one gram that are sorted in one block.
 BUCKET = 512
+#: Windows in one range of digests, for fuller grams.
+RANGE_WINDOWS = 500_000
 #: Bytes of one sorted block.
 BLOCK = 1 << 20
 #: Texts are hashed in stretches of this many bytes.
@@ -49,7 +51,7 @@ _POS = 22                       # low bits of an anchor key that hold its positi
 class _Hasher:
     """Polynomial hashes modulo 2^64 of all substrings of a stretch, from prefix sums."""
 
-    def __init__(self):
+    def __init__(self, seed: int = 7):
         import numpy as np
         def powers(base):
             factors = np.full(STRETCH + LENGTH + 1, base, dtype=np.uint64)
@@ -57,7 +59,7 @@ class _Hasher:
             return np.cumprod(factors, dtype=np.uint64)
 
         self.up, self.down = powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
-        values = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
+        values = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64)
         self.values = values * np.uint64(2) + np.uint64(1)
 
     def prefix(self, x):
@@ -280,23 +282,134 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _digest_buckets(contexts: DataFrame, length: int) -> DataFrame:
-    """The same marks for grams of very many kinds, window by window."""
+    """The same marks for grams of very many kinds: windows counted by 128-bit digest.
+
+    Kinds are gathered in packs of bounded size; a pack asks, for each range of digests and
+    in one row, which of its digests occur twice anywhere."""
+    total = contexts.agg(F.sum(F.length("content") - (length - 1))).first()[0] or 0
+    ranges = max(1, -(-int(total) // RANGE_WINDOWS))
+    packs = stage(_packs(contexts, length), "packs")
+    asked = packs.select("pack", "one", "two").mapInArrow(
+        lambda batches: _ask(batches, ranges), "range int, pack long, one binary, two binary")
+    dealt = asked.repartition(ranges, "range").sortWithinPartitions("range")
+    answers = stage(dealt.mapInArrow(_answer, "range int, pack long, twice binary"), "twice")
+    own = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "twice")).alias("answers"))
+    return packs.join(own, "pack").select("ids", "hs", "firsts", "many", "one", "answers").mapInArrow(
+        lambda batches: _told(batches, ranges), "_id long, _h int, a long, b long")
+
+
+def _packs(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import xxhash
+        from pyspark import TaskContext
+        hashers = _Hasher(7), _Hasher(11)
+        task, made = TaskContext.get().partitionId(), 0
+
+        def work(rows):
+            nonlocal made
+            made += 1
+            x = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
+            many = np.array([len(r[3]) - length + 1 for r in rows])
+            begin = np.cumsum(many + length - 1) - (many + length - 1)
+            at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - begin, many)
+            one, two = (h.between(h.prefix(x), at, at + length) for h in hashers)
+            name = xxhash.xxh64_intdigest(f"{task}:{made}") >> 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name], pa.int64()), pa.array([[r[0] for r in rows]], pa.list_(pa.int64())),
+                 pa.array([[r[1] for r in rows]], pa.list_(pa.int32())),
+                 pa.array([[r[2] >> 20 for r in rows]], pa.list_(pa.int64())),
+                 pa.array([many.tolist()], pa.list_(pa.int32())),
+                 pa.array([one.tobytes()], pa.binary()), pa.array([two.tobytes()], pa.binary())],
+                names=["pack", "ids", "hs", "firsts", "many", "one", "two"])
+
+        rows, size = [], 0
         for batch in batches:
-            for i, h, w, content in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                n = len(content) - length + 1
-                digests = [xxhash.xxh3_128_digest(content[p:p + length]) for p in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i] * n, pa.int64()), pa.array([h] * n, pa.int32()),
-                     pa.array(range(w >> 20, (w >> 20) + n), pa.int64()),
-                     pa.array(digests, pa.binary())], names=["_id", "_h", "a", "d"])
-
-    windows = contexts.select("_id", "_h", "w", "content").mapInArrow(
-        run, "_id long, _h int, a long, d binary").withColumn("d", F.hex("d"))
-    twice = windows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d")
-    return windows.join(twice, "d").select("_id", "_h", "a", F.col("a").alias("b"))
+            for r in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if size + len(r[3]) > min(BLOCK, STRETCH) and rows:
+                    yield work(rows)
+                    rows, size = [], 0
+                rows.append(r)
+                size += len(r[3])
+        if rows:
+            yield work(rows)
+
+    return contexts.select("_id", "_h", "w", "content").mapInArrow(
+        run, "pack long, ids array<long>, hs array<int>, firsts array<long>, many array<int>, "
+             "one binary, two binary")
+
+
+def _by_range(one, ranges: int):
+    import numpy as np
+    own = ((one >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
+    order = np.argsort(own, kind="stable")
+    cut = np.flatnonzero(np.diff(own[order])) + 1
+    return [(int(own[p[0]]), p) for p in np.split(order, cut) if len(p)]
+
+
+def _ask(batches: Iterator, ranges: int) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        for name, one, two in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+            parts = _by_range(one, ranges)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r for r, _ in parts], pa.int32()), pa.array([name] * len(parts), pa.int64()),
+                 pa.array([one[p].tobytes() for _, p in parts], pa.binary()),
+                 pa.array([two[p].tobytes() for _, p in parts], pa.binary())],
+                names=["range", "pack", "one", "two"])
+
+
+def _answer(batches: Iterator) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
+
+    def work(rows):
+        one = np.concatenate([np.frombuffer(r[2], np.uint64) for r in rows])
+        two = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
+        order = np.lexsort((two, one))
+        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+        twice = np.zeros(len(one), dtype=np.uint8)
+        twice[order[1:][same]] = 1
+        twice[order[:-1][same]] = 1
+        parts = np.split(twice, np.cumsum([len(r[2]) // 8 for r in rows])[:-1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([np.packbits(t).tobytes() for t in parts], pa.binary())],
+            names=["range", "pack", "twice"])
+
+    rows: list = []
+    for batch in batches:
+        for r in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if rows and rows[-1][0] != r[0]:
+                yield work(rows)
+                rows = []
+            rows.append(r)
+    if rows:
+        yield work(rows)
+
+
+def _told(batches: Iterator, ranges: int) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        for ids, hs, firsts, many, one, answers in zip(
+                *(batch.column(k).to_pylist() for k in range(6))):
+            one = np.frombuffer(one, np.uint64)
+            told = {a["range"]: a["twice"] for a in answers}
+            found = np.zeros(len(one), dtype=bool)
+            for r, p in _by_range(one, ranges):
+                found[p] = np.unpackbits(np.frombuffer(told[r], np.uint8), count=len(p)) > 0
+            out = [(i, h, first + a, first + b) for i, h, first, flags in
+                   zip(ids, hs, firsts, np.split(found, np.cumsum(many)[:-1]))
+                   for a, b in _runs(flags)]
+            cols = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
+                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
+                names=["_id", "_h", "a", "b"])
 
 
 # ------------------------------------------------------------------ whole operator
