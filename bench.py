@@ -20,8 +20,9 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
-HEADLINE = ["onehot_features", "categorical_features", "training_set", "auc_raw",
-            "topk_scores", "expand_by_trees", "expand_by_logistic", "leaf_onehot"]
+HEADLINE = ["onehot_features", "onehot_features_wide", "categorical_features", "training_set", "auc_raw",
+            "topk_scores", "expand_by_trees", "expand_by_logistic", "leaf_onehot",
+            "expand_from_table"]
 
 
 def main() -> None:
@@ -31,7 +32,7 @@ def main() -> None:
     from seedwise.session import build_session
     from seedwise.plans.catalog import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, driver_memory="16g")
     # One untimed warm-up pass of the same queries on the smallest data set, so
     # JIT and generated-code caches are warm (steady-state timings).
     warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))

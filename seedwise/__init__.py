@@ -3,7 +3,7 @@
 Sub-packages: ``sources`` (scans, text lists, sinks), ``functions`` (column
 expressions, vectors), ``operators`` (encoders, populations, models,
 evaluation, ranking, numbering, joins), ``plans`` (end-to-end jobs, the query
-catalogue), ``streaming`` (none: the jobs are batch only).
+catalogue).
 """
 
 __version__ = "0.1.0"

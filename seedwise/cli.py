@@ -5,12 +5,15 @@
     python -m seedwise.cli expand      --features PATH --seeds FILE --out PATH --codes 70,72
                                        [--model gbt|lr] [--target N] [--inclusive]
                                        [--iterations 50 --depth 3] [--sample hash|bernoulli]
-                                       [--scores-table PATH]
+                                       [--scores-path PATH | --scores-table NAME]
+                                       [--holdout 0.2] [--lookback DAYS]
     python -m seedwise.cli leaf        --features PATH --out PATH --codes 70,72
+                                       [--model-path PATH] [--save-to PATH] [--lookback DAYS]
     python -m seedwise.cli seedcheck   --seeds FILE --sql "SELECT id, value FROM …"
 
 ``--as-of`` defaults to today; the expansion reads the newest non-empty
-partition before it. The master comes from ``spark-submit`` or SEEDWISE_MASTER.
+partition before it, however old unless ``--lookback`` bounds it. The master and all
+other settings come from ``spark-submit``; SEEDWISE_MASTER sets a master for a trial.
 """
 
 from __future__ import annotations
@@ -60,13 +63,19 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--iterations", type=int)
     e.add_argument("--depth", type=int)
     e.add_argument("--sample", choices=["hash", "bernoulli"], default="hash")
-    e.add_argument("--scores-table", help="also write every candidate's score (K3)")
+    e.add_argument("--scores-path", help="also write every candidate's score (K3)")
+    e.add_argument("--scores-table", help="the same into a catalogue table")
+    e.add_argument("--holdout", type=float, default=0.0, help="share kept out of the fit")
+    e.add_argument("--lookback", type=int)
 
     lf = sub.add_parser("leaf", parents=[common])
     lf.add_argument("--features", required=True)
     lf.add_argument("--out", required=True)
     lf.add_argument("--codes", type=_codes, required=True)
     lf.add_argument("--table")
+    lf.add_argument("--lookback", type=int)
+    lf.add_argument("--model-path", help="use saved trees and leaf code")
+    lf.add_argument("--save-to", help="keep the fitted trees and leaf code")
 
     s = sub.add_parser("seedcheck", parents=[common])
     s.add_argument("--seeds", required=True)
@@ -86,11 +95,14 @@ def main(argv: list[str] | None = None) -> int:
         exp = runs.run_expansion(spark, args.features, args.seeds, args.out, args.as_of,
                                  args.codes, model=args.model, target_size=args.target,
                                  inclusive=args.inclusive, gbt_params=gbt or None,
-                                 scores_path=args.scores_table, sample_method=args.sample)
-        print(exp.counts, exp.ratio)
+                                 scores_path=args.scores_path, scores_table=args.scores_table,
+                                 sample_method=args.sample, holdout=args.holdout,
+                                 max_lookback_days=args.lookback)
+        print(exp.counts, exp.ratio, exp.summary)
     elif args.job == "leaf":
         print(runs.run_leaf_build(spark, args.features, args.out, args.as_of, args.codes,
-                                  table=args.table))
+                                  table=args.table, max_lookback_days=args.lookback,
+                                  model_path=args.model_path, save_to=args.save_to))
     elif args.job == "seedcheck":
         print(runs.run_seed_check(spark, args.seeds, args.sql))
     return 0

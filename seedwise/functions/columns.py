@@ -16,8 +16,9 @@ def _c(col: str | Column) -> Column:
 
 
 def token_array(col: str | Column, sep: str = ",") -> Column:
-    """split a delimited string and drop empty tokens (F5); NULL stays NULL."""
-    return F.filter(F.split(_c(col), sep), non_empty)
+    """split a delimited string and drop empty tokens (F5); NULL stays NULL.
+    ``sep`` is plain text, not a pattern."""
+    return F.filter(F.split(_c(col), rf"\Q{sep}\E"), non_empty)
 
 
 def tokens_or_empty(col: str | Column, sep: str = ",") -> Column:
@@ -59,9 +60,18 @@ def multi_hot(idx: str | Column, n: int) -> Column:
     NULL or empty indices give all zeros; ``n == 0`` gives an empty array."""
     if n <= 0:
         return F.array().cast("array<int>")
-    arr = F.coalesce(_c(idx), F.array().cast("array<int>"))
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda i: F.array_contains(arr, i).cast("int"))
+    given = F.filter(F.coalesce(_c(idx), F.array().cast("array<int>")),
+                     lambda i: i.between(0, n - 1))
+    hot = F.array_sort(F.array_distinct(given))
+
+    def block(i: Column, k: Column) -> Column:
+        # the zeros since the position before, then the one: linear in the width
+        before = F.when(k > 0, F.get(hot, k - 1)).otherwise(F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(0), i - before - 1), F.array(F.lit(1)))
+
+    last = F.coalesce(F.get(hot, F.size(hot) - 1), F.lit(-1))
+    return F.concat(F.flatten(F.transform(hot, block)),
+                    F.array_repeat(F.lit(0), F.lit(n - 1) - last))
 
 
 def binarise(score: str | Column, threshold: float = 0.5) -> Column:

@@ -8,6 +8,8 @@ model is JVM-side; the vocabulary is W short strings (the feature width), not da
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -15,15 +17,27 @@ from pyspark.sql import functions as F
 
 from seedwise.functions.columns import tokens_or_empty
 
-# Above this width the per-slot "binary" attribute metadata (V7) is skipped: the
-# metadata is driver-side JSON, and tree predictions agree without it.
-MAX_BINARY_ATTR_WIDTH = 100_000
+
+def _checked(toks: Column, width: int) -> Column:
+    """The tokens, or an error when one is no position in [0, width)."""
+    def wrong(t: Column) -> Column:
+        i = t.try_cast("int")
+        return i.isNull() | (i < 0) | (i >= width)
+    bad = F.filter(toks, wrong)
+    return F.when(F.size(bad) > 0, F.raise_error(F.concat(
+        F.lit("position "), F.get(bad, F.lit(0)), F.lit(f" outside the width {width}")))
+        .cast("array<string>")).otherwise(toks)
 
 
 def positions_to_vector(df: DataFrame, positions: str, width: int,
-                        out: str = "features") -> DataFrame:
+                        out: str = "features", slots: Sequence[int] | None = None) -> DataFrame:
     """``positions`` is a comma-delimited string ("1,5,9") or an array of
-    ints/strings; NULL or empty gives an all-zero vector of size ``width``."""
+    ints/strings; NULL or empty gives an all-zero vector of size ``width``. A position
+    outside [0, width) is an error when the row is computed.
+
+    With ``slots`` the vector has one entry for each of these positions, in their order,
+    and the other positions are left out (for slots that training rows never set).
+    """
     dtype = dict(df.dtypes)[positions]
     if dtype == "string":
         toks = tokens_or_empty(positions)
@@ -32,14 +46,14 @@ def positions_to_vector(df: DataFrame, positions: str, width: int,
                           F.array().cast("array<string>"))
     tmp = "_pos_tokens"
     model = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(width)], inputCol=tmp, outputCol=out, binary=True)
-    return model.transform(df.withColumn(tmp, toks)).drop(tmp)
+        [str(i) for i in (range(width) if slots is None else slots)], inputCol=tmp, outputCol=out, binary=True)
+    return model.transform(df.withColumn(tmp, _checked(toks, width))).drop(tmp)
 
 
 def with_binary_attrs(df: DataFrame, col: str, width: int) -> DataFrame:
     """V7: mark every slot of vector ``col`` as a 2-valued category, so tree
-    learners split on ``in {0}`` / ``in {1}``. Skipped above ``MAX_BINARY_ATTR_WIDTH``."""
-    if width <= 0 or width > MAX_BINARY_ATTR_WIDTH:
+    learners split on ``in {0}`` / ``in {1}``, whatever the width."""
+    if width <= 0:
         return df
     meta = {"ml_attr": {"attrs": {"binary": [{"idx": i, "name": f"f{i}"} for i in range(width)]},
                         "num_attrs": width}}

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest look-up side (rows) that is broadcast. A dictionary row is a few dozen
-# bytes, so 2M rows stay well below the usual 8-64 MB broadcast budget.
+# Largest look-up side that is broadcast: rows, and bytes where the caller knows them
+# (a dictionary of long strings can be large at few rows).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Copies of a large look-up side when it cannot be broadcast; a hot key on the
 # big side is then spread over this many tasks.
@@ -34,13 +35,14 @@ def _condition(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], small_rows: int,
                 how: str = "left", null_safe: Sequence[str] = (),
-                salt_from: str | None = None,
+                salt_from: str | None = None, small_bytes: int | None = None,
                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Join a big table to a look-up table on ``keys`` and keep the big side's
     columns plus the small side's non-key columns.
 
-    A look-up of known size ``small_rows <= max_rows`` is broadcast: no shuffle of
+    A look-up of known size, at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES``
+    bytes (``small_bytes``; unknown counts as 64 a row), is broadcast: no shuffle of
     the big side, and its partitioning survives the join. A larger look-up is
     copied ``salt_buckets`` times and joined on (keys, salt), where the salt comes
     from ``salt_from`` on the big side; a key that holds a third of all rows then
@@ -49,9 +51,11 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], small_row
     s = small.alias("_lk")
     b = big.alias("_bg")
     extra = [c for c in small.columns if c not in keys]
-    if small_rows <= max_rows or salt_from is None:
+    size = small_bytes if small_bytes is not None else 64 * small_rows
+    fits = small_rows <= max_rows and size <= MAX_BROADCAST_BYTES
+    if fits or salt_from is None:
         cond = _condition(b, s, keys, null_safe)
-        right = F.broadcast(s) if small_rows <= max_rows else s
+        right = F.broadcast(s) if fits else s
         return b.join(right, cond, how).select(
             *[b[c] for c in big.columns], *[s[c] for c in extra])
     salted_big = b.withColumn(

@@ -50,7 +50,7 @@ def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     group_cols = list(group_cols)
     if max_rows is not None and max_rows <= SINGLE_TASK_ROWS:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        out = df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("int"))
+        out = df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("bigint"))
         for c in sum_cols:
             prev = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
             out = out.withColumn(f"{c}_before", F.coalesce(prev, F.lit(0)))
@@ -81,7 +81,7 @@ def ordered_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
 
     # ``offsets`` has one row per (bucket, group) present: at most buckets + groups.
     out = local.join(F.broadcast(offsets), ["_bucket", *group_cols])
-    out = out.withColumn(idx_col, (F.col("_off") + F.col("_pos")).cast("int"))
+    out = out.withColumn(idx_col, (F.col("_off") + F.col("_pos")).cast("bigint"))
     for c in sum_cols:
         out = out.withColumn(f"{c}_before", F.col(f"_off_{c}") + F.col(f"_pre_{c}"))
     keep = [c for c in df.columns] + [idx_col] + [f"{c}_before" for c in sum_cols]
@@ -103,5 +103,5 @@ def _index_from_row_ids(bucketed: DataFrame, columns: Sequence[str], group_cols:
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     # one row per (bucket, group) present: at most buckets + groups rows
     out = rid.join(F.broadcast(offsets), ["_bucket", *group_cols])
-    idx = (F.col("_off") + F.col("_rid") - F.col("_first")).cast("int")
+    idx = (F.col("_off") + F.col("_rid") - F.col("_first")).cast("bigint")
     return out.withColumn(idx_col, idx).select(*columns, idx_col)

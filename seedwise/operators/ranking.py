@@ -16,7 +16,7 @@ def rank_order(score: str = "score", id_col: str = "user_id") -> list[Column]:
 
 # Largest k served by ``TakeOrderedAndProject``, where every task keeps k rows and
 # one task merges them; a larger k is cut from a distributed numbering instead.
-TAKE_ORDERED_MAX = 1_000_000
+TAKE_ORDERED_MAX = 10_000
 
 
 def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "user_id") -> DataFrame:

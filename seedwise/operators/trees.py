@@ -8,6 +8,8 @@ then one projection, with no shuffle and no join.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +72,7 @@ def leaf_dictionary(values: DataFrame, max_rows: int | None = None) -> DataFrame
     """``(tree_id, leaf_value, idx)``, values numbered ascending inside a tree.
     ``max_rows`` (trees * 2^depth) bounds a tree's entries."""
     return ordered_index(values, ["tree_id"], [F.col("leaf_value").asc()], idx_col="idx",
-                         max_rows=max_rows)
+                         max_rows=max_rows).withColumn("idx", F.col("idx").cast("int"))
 
 
 def leaf_value_map(model: GBTRegressionModel, vectors: DataFrame, per_leaf: DataFrame,
@@ -79,20 +81,22 @@ def leaf_value_map(model: GBTRegressionModel, vectors: DataFrame, per_leaf: Data
                    ) -> dict[tuple[int, float], float]:
     """(tree, leaf index) -> leaf value for every observed leaf.
 
-    One representative row per (tree, leaf) (the smallest id, so the choice is
-    deterministic) is scored by the per-tree models; at most ``trees * 2^depth``
-    rows are scored and collected, whatever the data size.
+    One representative vector per (tree, leaf) (that of the smallest id; rows of one id
+    keep their own vectors) is scored by the per-tree models; at most ``trees * 2^depth``
+    rows are scored and collected, whatever the data size. ``per_leaf`` holds the vector
+    column ``features`` beside the leaf indices, or is computed from ``vectors`` here.
     """
-    reps = (per_leaf.select(id_col, F.posexplode(col).alias("tree_id", "leaf"))
-                    .groupBy("tree_id", "leaf").agg(F.min(id_col).alias(id_col)))
-    rep_rows = reps.collect()
-    if max_entries is not None and len(rep_rows) > max_entries:
-        raise ValueError(f"{len(rep_rows)} observed leaves, above {max_entries}")
-    sample = vectors.select(id_col, features).join(
-        F.broadcast(reps.select(id_col).distinct()), id_col, "left_semi")
-    scored = {r[id_col]: r["tree_scores"] for r in
-              tree_scores(model, sample, features).select(id_col, "tree_scores").collect()}
-    return {(r["tree_id"], float(r["leaf"])): scored[r[id_col]][r["tree_id"]] for r in rep_rows}
+    if features not in per_leaf.columns:
+        per_leaf = tree_leaves(model, vectors, features, col)
+    reps = (per_leaf.select(id_col, features, F.posexplode(col).alias("tree_id", "leaf"))
+                    .groupBy("tree_id", "leaf")
+                    .agg(F.min_by(F.col(features), F.col(id_col)).alias(features)))
+    scored = tree_scores(model, reps, features).select(
+        "tree_id", "leaf", F.get("tree_scores", F.col("tree_id")).alias("value"))
+    rows = scored.limit(max_entries + 1).collect() if max_entries is not None else scored.collect()
+    if max_entries is not None and len(rows) > max_entries:
+        raise ValueError(f"more than {max_entries} observed leaves")
+    return {(r["tree_id"], float(r["leaf"])): r["value"] for r in rows}
 
 
 def tree_values_from_leaves(per_leaf: DataFrame, values: dict[tuple[int, float], float],
@@ -153,11 +157,23 @@ class LeafCode:
     @classmethod
     def fit(cls, per_tree: DataFrame, n_trees: int, col: str = "tree_scores",
             max_entries: int | None = None) -> "LeafCode":
-        rows = leaf_dictionary(leaf_values(per_tree, col), max_entries).collect()
+        entries = leaf_dictionary(leaf_values(per_tree, col), max_entries)
+        rows = (entries if max_entries is None else entries.limit(max_entries + 1)).collect()
         if max_entries is not None and len(rows) > max_entries:
-            raise ValueError(f"leaf dictionary has {len(rows)} entries, above {max_entries}")
+            raise ValueError(f"leaf dictionary has more than {max_entries} entries")
         return cls(rows, n_trees)
 
+    def to_json(self) -> str:
+        """The code as text, so that a later day's leaves take the same slots."""
+        return json.dumps({"widths": self.widths, "slots": [sorted(s.items()) for s in self.slots]})
+
+    @classmethod
+    def from_json(cls, text: str) -> "LeafCode":
+        d = json.loads(text)
+        code = cls([], len(d["slots"]), widths=d["widths"])
+        code.slots = [{float(k): int(v) for k, v in s} for s in d["slots"]]
+        return code
+
     @property
     def width(self) -> int:
         return sum(self.widths)

@@ -328,6 +328,15 @@ def q_onehot_features(spark, sf):
     return oh
 
 
+def q_onehot_features_wide(spark, sf):
+    """E1 on domains far above the inline limit: the join path of the encoder."""
+    o = P.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("user_id"), "o_custkey",
+        F.date_format("o_orderdate", "yyyyMMdd").alias("day"))
+    oh, _ = jobs.onehot_job(o, ["o_custkey", "day"], keep=())
+    return oh
+
+
 def q_feature_size_check(spark, sf):
     oh, _ = _onehot(spark, sf)
     return oh.agg(F.countDistinct("feature_size").alias("n_widths"),
@@ -382,7 +391,8 @@ def q_array_to_vector_rows(spark, sf):
     from pyspark.ml.functions import vector_to_array
     e = P.table(spark, sf, "embeddings")
     v = e.select("vec_id", dense_to_vector("embedding").alias("vec"))
-    return v.select("vec_id", F.size(vector_to_array("vec")).alias("dimension"))
+    return v.select("vec_id", F.posexplode(vector_to_array("vec")).alias("position", "value")) \
+        .withColumn("value", F.round("value", ROUND))
 
 
 # ------------------------------------------------------------------ models (rows-only)
@@ -409,6 +419,59 @@ def q_lr_hard_score(spark, sf):
     return _expansion(spark, sf, "lr", hard_lr=True).scores
 
 
+def q_lr_mean_score(spark, sf):
+    """L3: with a free intercept the mean score of the training rows is their mean label."""
+    exp = _expansion(spark, sf, "lr")
+    return exp.training.agg(F.round(F.avg("score"), 3).alias("mean_score"))
+
+
+def q_training_report_totals(spark, sf):
+    """The matrix rows add up to the training labels."""
+    r = jobs.expansion_report(_expansion(spark, sf, "gbt"))
+    return r.select((F.col("tp") + F.col("fn")).alias("positives"),
+                    (F.col("fp") + F.col("tn")).alias("negatives"))
+
+
+def q_expand_by_trees_ids(spark, sf):
+    return _expansion(spark, sf, "gbt").ranked.select("user_id")
+
+
+def q_expand_by_logistic_ids(spark, sf):
+    return _expansion(spark, sf, "lr").ranked.select("user_id")
+
+
+def q_expand_from_table_ids(spark, sf):
+    return q_expand_from_table(spark, sf).select("user_id")
+
+
+def q_gbt_roundtrip_equal(spark, sf):
+    """Users whose score is the same before and after saving the model."""
+    r = q_gbt_model_roundtrip(spark, sf)
+    return r.where(F.col("score_before") == F.col("score_after")).select("user_id")
+
+
+def q_tree_scores_add_up(spark, sf):
+    """V8, L2: users whose weighted per-tree values add up to the ensemble's score."""
+    oh, width = _encoded(spark, sf)
+    lf = jobs.leaf_job(oh, width=width)
+    both = trees.tree_scores(lf.model, trees.score_gbt(lf.model, lf.vectors))
+    weighted = F.aggregate(F.arrays_zip(F.col("tree_scores").alias("v"), F.array(
+        *[F.lit(float(w)) for w in lf.model.treeWeights]).alias("w")), F.lit(0.0),
+        lambda a, x: a + x["v"] * x["w"])
+    return both.where(F.abs(weighted - F.col("score")) < 1e-9).select("user_id")
+
+
+def q_leaf_onehot_hot(spark, sf):
+    """Hot slots per user, one for each tree."""
+    return q_leaf_onehot(spark, sf).select("user_id", F.size(F.filter(
+        F.split("feature", ","), lambda x: x == "1")).alias("n_hot"))
+
+
+def q_leaf_sink_users(spark, sf):
+    """K2: the users read back from the leaf-feature table."""
+    return q_leaf_sink_roundtrip(spark, sf).select("user_id", "stat_date")
+
+
 def q_training_report(spark, sf):
     return jobs.expansion_report(_expansion(spark, sf, "gbt"))
 
@@ -494,6 +557,9 @@ def q_feature_sink_roundtrip(spark, sf):
     sinks.write_day_partition(oh, path, first)
     sinks.write_day_partition(oh, path, second)
     sinks.write_day_partition(oh, path, first)      # replaces only its own partition
+    third = sinks.day_key(AS_OF, 2)
+    sinks.write_day_partition(oh, path, third)
+    sinks.write_day_partition(oh.limit(0), path, third)      # an empty result empties the day
     return sinks.read_day_partitions(spark, path)
 
 

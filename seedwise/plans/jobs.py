@@ -16,40 +16,31 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seedwise.functions.columns import hash_below
 from seedwise.functions.vectors import positions_to_vector, with_binary_attrs
 from seedwise.operators import encode, evaluate, linear, populations, ranking, trees
 from seedwise.operators.populations import SeedSet
 from seedwise.plans.profile import CYCLE_TOKEN, READER_CODES
 
-
-# ---------------------------------------------------------------- E1 / E2
-def _long(profile: DataFrame, layout, id_col: str, keep, persist: bool) -> DataFrame:
-    """The long (user, column, value) table, read by the dictionary and the
-    encoder. By default it is recomputed from the profile (a columnar scan plus
-    an explode is cheaper than caching users x tokens rows); ``persist=True``
-    keeps it when the profile itself is expensive to derive."""
-    long_df = encode.long_values(profile, layout, id_col, keep)
-    return long_df.persist(StorageLevel.MEMORY_AND_DISK) if persist else long_df
+HOLDOUT_SEED = 23
 
 
+# ---------------------------------------------------------------- E1 / E2
 def onehot_job(profile: DataFrame, columns: Sequence[str], keep=("cycle", "reader"),
-               id_col: str = "user_id", persist_long: bool = False
-               ) -> tuple[DataFrame, encode.Encoding]:
+               id_col: str = "user_id") -> tuple[DataFrame, encode.Encoding]:
     """One-hot feature table ``(id, feature_size, feature, cycle, reader)``."""
     layout = encode.onehot_layout(profile, columns)
-    long_df = _long(profile, layout, id_col, keep, persist_long)
-    enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
-    return encode.onehot_features(profile, enc, id_col, keep, long_df=long_df), enc
+    enc = encode.fit_encoding(profile, layout, id_col)
+    return encode.onehot_features(profile, enc, id_col, keep), enc
 
 
 def categorical_job(profile: DataFrame, singles: Sequence[str], multis: Sequence[str],
-                    keep=("cycle", "reader"), id_col: str = "user_id",
-                    persist_long: bool = False) -> tuple[DataFrame, encode.Encoding]:
+                    keep=("cycle", "reader"), id_col: str = "user_id"
+                    ) -> tuple[DataFrame, encode.Encoding]:
     """Categorical feature table ``(id, feature "2:0,…,arity:idx", cycle, reader)``."""
     layout = encode.categorical_layout(profile, singles, multis)
-    long_df = _long(profile, layout, id_col, keep, persist_long)
-    enc = encode.fit_encoding(profile, layout, id_col, long_df=long_df)
-    return encode.categorical_features(profile, enc, id_col, keep, long_df=long_df), enc
+    enc = encode.fit_encoding(profile, layout, id_col)
+    return encode.categorical_features(profile, enc, id_col, keep), enc
 
 
 def feature_width(features: DataFrame) -> int:
@@ -72,6 +63,8 @@ class Expansion:
     ratio: float
     width: int
     cached: list = None
+    summary: dict | None = None          # expansion size and evaluation, if asked for
+    holdout: DataFrame | None = None     # scored training rows that the fit never saw
 
     def release(self) -> None:
         """Unpersist the training rows once the scores have been written."""
@@ -83,9 +76,25 @@ class Expansion:
         return evaluate.threshold_count(self.scores)
 
 
-def _decode(df: DataFrame, width: int, binary_attrs: bool) -> DataFrame:
-    out = positions_to_vector(df, "feature", width, "features")
-    return with_binary_attrs(out, "features", width) if binary_attrs else out
+#: From this width on, training rows are decoded over the slots they set: a slot that is
+#: zero in all of them can never be split on, so the model is the same.
+COMPACT_FROM = 10_000
+
+
+def _used_slots(train: DataFrame, width: int) -> list[int] | None:
+    """The positions set in at least one training row, ascending; None for narrow tables.
+    The learner keeps statistics per slot on the driver anyway, so the list adds little."""
+    if width < COMPACT_FROM:
+        return None
+    tokens = train.select(F.explode(F.split("feature", ",")).alias("t")).where("t != ''")
+    return sorted(int(r["t"]) for r in tokens.distinct().collect())
+
+
+def _decode(df: DataFrame, width: int, binary_attrs: bool,
+            slots: list[int] | None = None) -> DataFrame:
+    out = positions_to_vector(df, "feature", width, "features", slots)
+    n = width if slots is None else len(slots)
+    return with_binary_attrs(out, "features", n) if binary_attrs else out
 
 
 def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_size: int = 0,
@@ -93,7 +102,8 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
            cycle_token: int = CYCLE_TOKEN, reader_codes: Sequence[int] | None = READER_CODES,
            sample_method: str = "hash", per_positive: int = populations.NEGATIVES_PER_POSITIVE,
            gbt_params: dict | None = None, lr_params: dict | None = None,
-           hard_lr: bool = False, binary_attrs: bool = True) -> Expansion:
+           hard_lr: bool = False, binary_attrs: bool = True,
+           holdout: float = 0.0) -> Expansion:
     """E3 (``model="gbt"``) / E4 (``model="lr"``) on an encoded feature table.
 
     Positives: rows passing the IN-list whose id is a seed (any cycle).
@@ -102,6 +112,8 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
     unless ``inclusive``. The cycle filter is a column expression, so it is
     applied before any vector is built. ``reader_codes=None``: the rows were
     already filtered on their code (as :func:`seedwise.plans.runs.load_features` does).
+    ``holdout``: share of the training rows, chosen by a hash of the id, that the fit
+    never sees and :func:`expansion_report` evaluates on.
     """
     if reader_codes is not None:
         features = populations.code_filter(features, "reader", reader_codes)
@@ -113,8 +125,13 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
     positives = populations.seed_users(users, seeds)
     others = populations.candidates(users, seeds, cycle_token, inclusive=False)
     negatives = populations.negative_sample(others, ratio, method=sample_method)
-    train = populations.training_set(positives, negatives, ("user_id", "feature"))
-    train = _decode(train, width, binary_attrs).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = populations.training_set(positives, negatives, ("user_id", "feature"))
+    held = None
+    if holdout:
+        out = hash_below("user_id", holdout, HOLDOUT_SEED)
+        held, rows = rows.where(out), rows.where(~out)
+    slots = _used_slots(rows, width)
+    train = _decode(rows, width, binary_attrs, slots).persist(StorageLevel.MEMORY_AND_DISK)
 
     if model == "gbt":
         fitted = trees.fit_gbt(train, **(gbt_params or {}))
@@ -126,15 +143,17 @@ def expand(features: DataFrame, seeds: SeedSet, *, model: str = "gbt", target_si
         raise ValueError(f"unknown model {model!r}")
 
     cands = populations.candidates(users, seeds, cycle_token, inclusive)
-    scored = score(_decode(cands, width, False)).select("user_id", "score")
+    scored = score(_decode(cands, width, False, slots)).select("user_id", "score")
     return Expansion(scores=scored, ranked=ranking.top_k(scored, target_size),
                      training=score(train), model=fitted, counts=counts,
-                     ratio=ratio, width=width, cached=[train])
+                     ratio=ratio, width=width, cached=[train],
+                     holdout=None if held is None else score(_decode(held, width, False, slots)))
 
 
 def expansion_report(exp: Expansion) -> DataFrame:
-    """L5 on the training rows of an expansion."""
-    return evaluate.training_report(exp.training.select("score", "label"))
+    """L5 on the held-out rows of an expansion, or without any on its training rows."""
+    rows = exp.training if exp.holdout is None else exp.holdout
+    return evaluate.training_report(rows.select("score", "label"))
 
 
 # ---------------------------------------------------------------- E5
@@ -154,9 +173,13 @@ class LeafFeatures:
 
 def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int = CYCLE_TOKEN,
              reader_codes: Sequence[int] | None = READER_CODES, gbt_params: dict | None = None,
-             key: str = "value", binary_attrs: bool = True) -> LeafFeatures:
-    """E5: train trees on a 50/50 hash split of the cycle users, then encode each
-    user as the concatenated one-hot of the leaf reached in every tree.
+             key: str = "value", binary_attrs: bool = True, label_col: str | None = None,
+             model=None, code: trees.LeafCode | None = None) -> LeafFeatures:
+    """E5: train trees on a 50/50 hash split of the cycle users (or on ``label_col``), then
+    encode each user as the concatenated one-hot of the leaf reached in every tree.
+
+    With a fitted ``model`` nothing is trained; with its ``code`` too, every day's leaves
+    take the same slots (a leaf that the code lacks has no hot slot).
 
     ``key="value"`` slots leaves by their value (equal-valued leaves of a tree
     share a slot); ``key="index"`` uses Spark's leaf index instead.
@@ -164,19 +187,24 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     width = width if width is not None else feature_width(features)
     if reader_codes is not None:
         features = populations.code_filter(features, "reader", reader_codes)
-    users = (features.where(populations.in_cycle("cycle", cycle_token))
-                     .select("user_id", "feature"))
-    split = populations.hash_split(users)
-    labelled = split.withColumn("label", F.when(F.col("half") == 0, 1.0).otherwise(0.0))
+    users = features.where(populations.in_cycle("cycle", cycle_token))
+    if label_col is None:
+        split = populations.hash_split(users.select("user_id", "feature"))
+        labelled = split.withColumn("label", F.when(F.col("half") == 0, 1.0).otherwise(0.0))
+    else:
+        labelled = users.select("user_id", "feature", F.col(label_col).cast("double").alias("label"))
     train = _decode(labelled, width, binary_attrs).persist(StorageLevel.MEMORY_AND_DISK)
-    model = trees.fit_gbt(train, **(gbt_params or {}))
+    if model is None:
+        model = trees.fit_gbt(train, **(gbt_params or {}))
     vec = train.select("user_id", "features")
     # one leafCol pass gives every tree's leaf index for every row
-    per_leaf = trees.tree_leaves(model, vec).select("user_id", "tree_leaves")
+    per_leaf = trees.tree_leaves(model, vec).select("user_id", "features", "tree_leaves")
     per_leaf = per_leaf.persist(StorageLevel.MEMORY_AND_DISK)
     n_trees = len(model.trees)
     max_entries = n_trees * (2 ** model.getMaxDepth())
-    if key == "value":
+    if code is not None:
+        pass
+    elif key == "value":
         code = trees.LeafCode.by_leaf_index(model, vec, per_leaf, max_entries=max_entries)
     elif key == "index":
         code = trees.LeafCode.fit(per_leaf, n_trees, col="tree_leaves", max_entries=max_entries)

@@ -2,13 +2,15 @@
 
 The SQL restates each operator's meaning independently of the Spark plan, over
 the driver's views (customer, orders, events, documents, labels, embeddings …).
-Queries whose result depends on a fitted model have no entry (rows-only check).
+Queries whose values depend on a fitted model have no entry (rows-only check); their
+companions check what holds for any right model: ids, totals, sums and means.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from seedwise.constants import GBT_ITERATIONS
 from seedwise.plans import catalog as C
 from seedwise.plans import profile as P
 
@@ -17,7 +19,6 @@ _CYC = f"coalesce(contains(cycle, ',{P.CYCLE_TOKEN},'), false)"
 _TWO32 = "4294967296.0"
 _AS_OF = int(C.AS_OF.strftime("%Y%m%d"))
 _YESTERDAY = int((C.AS_OF - dt.timedelta(days=1)).strftime("%Y%m%d"))
-_FLOOR = int((C.AS_OF - dt.timedelta(days=366)).strftime("%Y%m%d"))
 
 
 def _toks(col: str) -> str:
@@ -32,8 +33,8 @@ BASE = f"""
 agg AS (
   SELECT o_custkey,
          list_sort(list_distinct(list(month(o_orderdate)))) AS m,
-         list_sort(list_distinct(list(o_orderpriority) FILTER (WHERE o_totalprice > {P.HIGH_PRICE}))) AS p,
-         list_sort(list_distinct(list(o_orderstatus) FILTER (WHERE o_totalprice > {P.HIGH_PRICE}))) AS s
+         list_sort(list_distinct(list(o_orderpriority))) AS p,
+         list_sort(list_distinct(list(o_orderstatus))) AS s
   FROM orders GROUP BY o_custkey),
 profile AS (
   SELECT c.c_custkey AS user_id, {_wrap('a.m')} AS cycle,
@@ -167,7 +168,7 @@ SQL: dict[str, str] = {
     "latest_partition": f"""
 WITH e AS (SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date FROM events
            WHERE event_type = '{C.EVENT_TYPE}' AND value > {C.EVENT_MIN_VALUE}),
-m AS (SELECT max(stat_date) AS d FROM e WHERE stat_date < {_AS_OF} AND stat_date >= {_FLOOR})
+m AS (SELECT max(stat_date) AS d FROM e WHERE stat_date < {_AS_OF})
 SELECT stat_date, count(*) AS n_rows FROM e WHERE stat_date = (SELECT d FROM m) GROUP BY stat_date""",
     "seed_source": _w("SELECT id FROM seeds"),
     "seed_from_table": _w("SELECT id FROM seeds"),
@@ -235,11 +236,32 @@ FROM (SELECT count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
     "auc_binarised": _auc("CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END", "auc_binarised"),
     "topk_scores": _w("SELECT user_id, score FROM top_scored"),
     "all_ranked": _w("SELECT user_id, score, row_number() OVER (ORDER BY score DESC, user_id ASC) AS rank FROM scored"),
-    "array_to_vector_rows": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dimension FROM embeddings",
+    "array_to_vector_rows": f"""SELECT vec_id, CAST(i AS INTEGER) AS position,
+  round(CAST(embedding[i + 1] AS DOUBLE), {C.ROUND}) AS value
+FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings)""",
+    "onehot_features_wide": """
+WITH k AS (SELECT o_custkey AS v, row_number() OVER (ORDER BY o_custkey) - 1 AS i
+           FROM (SELECT DISTINCT o_custkey FROM orders)),
+d AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i
+      FROM (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS v FROM orders)),
+n AS (SELECT (SELECT count(*) FROM k) AS nk, (SELECT count(*) FROM d) AS nd)
+SELECT o.o_orderkey AS user_id, CAST(n.nk + n.nd AS INTEGER) AS feature_size,
+       CAST(k.i AS VARCHAR) || ',' || CAST(n.nk + d.i AS VARCHAR) AS feature
+FROM orders o, n, k, d WHERE k.v = o.o_custkey AND d.v = strftime(o.o_orderdate, '%Y%m%d')""",
+    "lr_mean_score": _w("""SELECT round(avg(label), 3) AS mean_score FROM
+  (SELECT 1.0 AS label FROM ru WHERE is_seed UNION ALL SELECT 0.0 AS label FROM negatives)""", _ratio_cte(10)),
+    "training_report_totals": _w("""SELECT (SELECT count(*) FROM ru WHERE is_seed) AS positives,
+  (SELECT count(*) FROM negatives) AS negatives""", _ratio_cte(10)),
+    "leaf_onehot_hot": _w(f"SELECT user_id, CAST({GBT_ITERATIONS} AS INTEGER) AS n_hot FROM ru WHERE cyc"),
+    "leaf_sink_users": _w(f"SELECT user_id, CAST({_AS_OF} AS BIGINT) AS stat_date FROM ru WHERE cyc"),
     "feature_sink_roundtrip": _w(f"""SELECT *, CAST({_AS_OF} AS BIGINT) AS stat_date FROM onehot
 UNION ALL SELECT *, CAST({_YESTERDAY} AS BIGINT) AS stat_date FROM onehot""", ONEHOT),
     "score_sink_roundtrip": _w(f"SELECT user_id, score, CAST({_YESTERDAY} AS BIGINT) AS stat_date FROM scored"),
     "score_file_roundtrip": _w("SELECT user_id, score FROM top_scored"),
     "id_file_roundtrip": _w("SELECT CAST(user_id AS VARCHAR) AS user_id FROM top_scored"),
 }
+for _name in ("expand_by_trees_ids", "expand_by_logistic_ids", "expand_from_table_ids"):
+    SQL[_name] = _w("SELECT user_id FROM ru WHERE cyc AND NOT is_seed")
+SQL["gbt_roundtrip_equal"] = _w("SELECT user_id FROM ru")
+SQL["tree_scores_add_up"] = _w("SELECT user_id FROM ru WHERE cyc")
 SQL["latest_partition_table"] = SQL["latest_partition"]

@@ -6,8 +6,8 @@ One row per customer:
 - ``cycle``      = comma-wrapped ascending set of order months (``,1,3,7,``)
 - ``segment``    = ``c_mktsegment`` (single, string)
 - ``nation``     = ``c_nationkey`` (single, int; also the IN-list code ``reader``)
-- ``priorities`` = comma-wrapped ascending set of ``o_orderpriority`` over orders
-  above the price cut (multi; NULL when there is none)
+- ``priorities`` = comma-wrapped ascending set of ``o_orderpriority`` over all orders
+  (multi; NULL for a customer without orders)
 - ``statuses``   = the same for ``o_orderstatus``
 
 Orders are aggregated per customer before the join: the sets are bounded
@@ -25,7 +25,6 @@ from seedwise.constants import CYCLE_TOKEN  # noqa: F401  (users holding month 7
 from seedwise.functions.columns import wrap_tokens
 
 # Values of the test-data stand-ins (our choices for the driver tables).
-HIGH_PRICE = 300000             # orders above this price feed the multi columns
 SEED_BALANCE = 9000             # seeds: customers with a balance above this
 READER_CODES = (1, 3, 4, 6, 7, 9, 12, 13, 15, 16, 18, 20, 21, 22)   # literal IN-list on `reader`
 
@@ -39,11 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def profile_view(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    high = F.col("o_totalprice") > F.lit(HIGH_PRICE)
     per_customer = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
         F.array_sort(F.collect_set(F.month("o_orderdate"))).alias("_m"),
-        F.array_sort(F.collect_set(F.when(high, F.col("o_orderpriority")))).alias("_p"),
-        F.array_sort(F.collect_set(F.when(high, F.col("o_orderstatus")))).alias("_s"))
+        F.array_sort(F.collect_set("o_orderpriority")).alias("_p"),
+        F.array_sort(F.collect_set("o_orderstatus")).alias("_s"))
     cust = customer.select(F.col("c_custkey").alias("user_id"),
                            F.col("c_mktsegment").alias("segment"),
                            F.col("c_nationkey").alias("nation"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,28 +17,30 @@ def day_key(day: dt.date, days_back: int = 0) -> int:
     return int((day - dt.timedelta(days=days_back)).strftime("%Y%m%d"))
 
 
-def write_day_partition(df: DataFrame, path: str, key: int, fmt: str = "parquet",
+def write_day_partition(df: DataFrame, path: str | None, key: int, fmt: str = "parquet",
                         table: str | None = None) -> None:
     """K1: replace one ``stat_date`` partition and leave the others alone.
 
-    With ``table`` the rows go to a catalog table (created partitioned on first
-    use, later inserted by position with dynamic overwrite); otherwise to ``path``.
+    With ``table`` the rows go to a catalog table (created partitioned at ``path`` on
+    first use, then inserted by position); otherwise to ``path``. Either way the
+    overwrite is static, so a day rewritten with no rows is empty afterwards.
     """
-    out = df.withColumn(PART_COL, F.lit(key).cast("bigint"))
     spark = df.sparkSession
-    if table is not None:
-        if not spark.catalog.tableExists(table):
-            out.write.format(fmt).partitionBy(PART_COL).saveAsTable(table)
-            return
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if table is None:
+        # static: an empty result empties the day, other days are not touched
+        df.write.mode("overwrite").format(fmt).save(f"{path}/{PART_COL}={key}")
         return
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART_COL).format(fmt).save(path))
+    if not spark.catalog.tableExists(table):
+        first = (df.withColumn(PART_COL, F.lit(key).cast("bigint")).limit(0).write.format(fmt)
+                 .partitionBy(PART_COL))
+        (first.option("path", path) if path else first).saveAsTable(table)
+    view = f"seedwise_day_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PART_COL} = {key}) "
+                  f"SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def read_day_partitions(spark, path: str, fmt: str = "parquet") -> DataFrame:
@@ -51,7 +54,7 @@ def leaf_feature_rows(df: DataFrame, onehot: str = "onehot") -> DataFrame:
     return df.select("user_id", F.array_join(F.col(onehot), ",").alias("feature"))
 
 
-def write_scores_table(df: DataFrame, path: str, as_of: dt.date, fmt: str = "parquet",
+def write_scores_table(df: DataFrame, path: str | None, as_of: dt.date, fmt: str = "parquet",
                        table: str | None = None) -> int:
     """K3: ``(user_id, score)`` into the partition of the day before ``as_of``."""
     key = day_key(as_of, 1)

@@ -50,8 +50,9 @@ def sql_scan(spark: SparkSession, query: str) -> DataFrame:
         raise ValueError(f"column 0 must be bigint, got {fields[0].dataType.simpleString()}")
     if not isinstance(fields[1].dataType, T.StringType):
         raise ValueError(f"column 1 must be string, got {fields[1].dataType.simpleString()}")
-    return df.select(F.col(fields[0].name).cast("string").alias("id"),
-                     F.col(fields[1].name).alias("value"))
+    # by position: the names may repeat or hold dots
+    named = df.toDF(*[f"c{i}" for i in range(len(fields))])
+    return named.select(F.col("c0").cast("string").alias("id"), F.col("c1").alias("value"))
 
 
 def seed_from_table(source: DataFrame | str, id_col: str = "user_id",
@@ -62,11 +63,11 @@ def seed_from_table(source: DataFrame | str, id_col: str = "user_id",
 
 
 def _key(d: dt.date) -> int:
-    return int(d.strftime("%Y%m%d"))
+    return d.year * 10_000 + d.month * 100 + d.day
 
 
 def latest_partition(df: DataFrame, as_of: dt.date, *, part_col: str = "stat_date",
-                     where: Column | None = None, max_lookback_days: int = 366,
+                     where: Column | None = None, max_lookback_days: int | None = None,
                      probe: bool = True) -> tuple[int | None, DataFrame]:
     """S3: the newest ``part_col`` (``yyyyMMdd`` bigint) before ``as_of`` whose rows,
     after ``where``, are not empty; returns (key, rows of that partition).
@@ -74,11 +75,13 @@ def latest_partition(df: DataFrame, as_of: dt.date, *, part_col: str = "stat_dat
     Probing goes back in windows of 1, 2, 4, … days, so a daily table whose
     newest partition is yesterday costs one pruned scan of one partition, and a
     gap of g days costs about log2(g) small scans. Each probe is one aggregate
-    job returning a single scalar. No data within ``max_lookback_days`` gives
-    ``(None, <empty frame>)``. ``probe=False`` runs a single ``max`` instead.
+    job returning a single scalar. The search goes back to the first day there is;
+    ``max_lookback_days`` bounds it. No data gives ``(None, <empty frame>)``. ``probe=False`` runs a single ``max`` instead.
     """
     pred = where if where is not None else F.lit(True)
-    floor_key = _key(as_of - dt.timedelta(days=max_lookback_days))
+    floor = (dt.date(1, 1, 1) if max_lookback_days is None
+             else as_of - dt.timedelta(days=max_lookback_days))
+    floor_key = _key(floor)
     if not probe:
         # One aggregate over every candidate partition: better when the key is a
         # derived column (no partition pruning to gain from probing).
@@ -89,14 +92,15 @@ def latest_partition(df: DataFrame, as_of: dt.date, *, part_col: str = "stat_dat
         return int(found), df.where((F.col(part_col) == int(found)) & pred)
     hi = as_of - dt.timedelta(days=1)
     span = 1
-    floor = as_of - dt.timedelta(days=max_lookback_days)
     while hi >= floor:
-        lo = max(floor, hi - dt.timedelta(days=span - 1))
+        lo = floor if span > (hi - floor).days else hi - dt.timedelta(days=span - 1)
         found = (df.where((F.col(part_col) >= _key(lo)) & (F.col(part_col) <= _key(hi)) & pred)
                    .agg(F.max(part_col).alias("k")).first()["k"])
         if found is not None:
             key = int(found)
             return key, df.where((F.col(part_col) == key) & pred)
+        if lo == floor:
+            break
         hi = lo - dt.timedelta(days=1)
         span *= 2
     return None, df.where(F.lit(False))

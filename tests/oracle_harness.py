@@ -85,7 +85,7 @@ def main(argv):
         spark = SparkSession.builder.master("local[8]").getOrCreate()
     else:
         from seedwise.session import build_session
-        spark = build_session("local[8]", shuffle_partitions=8)
+        spark = build_session("local[8]", shuffle_partitions=8, driver_memory="8g")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

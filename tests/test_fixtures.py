@@ -1,6 +1,6 @@
-"""The two inline tables of the reference's test mode, with hand-worked outputs,
-plus edge rows (FIXTURES.md F-A, F-B, F-C)."""
+"""Small profiles of our own with hand-worked outputs, plus edge rows (FIXTURES.md)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from seedwise.operators import encode
@@ -8,51 +8,85 @@ from seedwise.plans import jobs
 from seedwise.sources.tables import profile_scan
 
 
-def _fa(spark):
-    rows = [(0, 3, "male", 5, ",1,2,3,", ",a,d,", 2),
-            (1, 7, "female", 8, ",3,", ",b,", 1),
-            (2, 7, "other", 7, ",2,3,", ",a,b,", 6),
-            (3, 7, "female", 6, ",2,", ",c,", 9)]
-    df = spark.createDataFrame(rows, "uid int, active_cycle int, sex string, "
-                                     "marriage_status int, intr1 string, intr2 string, "
-                                     "app_code int")
-    return profile_scan(df, ["sex", "marriage_status", "intr1", "intr2"], id_col="uid",
-                        cycle_col="active_cycle",
-                        reader_col="app_code")
-
-
-def _fb(spark):
-    rows = [(0, 3, "male,other", 5, 70), (1, 7, "female", 6, 70),
-            (2, 7, "female", 5, 70), (3, 7, "female", 6, 70)]
-    df = spark.createDataFrame(rows, "uid int, active_cycle int, sex string, "
-                                     "marriage_status int, app_code int")
-    return profile_scan(df, ["sex", "marriage_status"], id_col="uid",
-                        cycle_col="active_cycle",
-                        reader_col="app_code")
+def _readers(spark):
+    """Wrapped lists with one to three tokens, repeated ints, one missing code."""
+    rows = [(11, 2, "tram", 40, ",red,blue,", ",n,", 5),
+            (12, 9, "bike", 15, ",blue,", ",n,s,w,", None),
+            (13, 9, "walk", 40, None, ",w,s,", 5),
+            (14, 4, "bike", 22, ",green,red,", None, 8),
+            (15, 9, "tram", 15, ",red,red,", ",e,", 8)]
+    df = spark.createDataFrame(rows, "uid int, phase int, travel string, minutes int, "
+                                     "colours string, winds string, code int")
+    return profile_scan(df, ["travel", "minutes", "colours", "winds"], id_col="uid",
+                        cycle_col="phase", reader_col="code")
 
 
 def test_categorical_fixture(spark):
-    out, enc = jobs.categorical_job(_fa(spark), ["sex", "marriage_status"], ["intr1", "intr2"])
+    out, enc = jobs.categorical_job(_readers(spark), ["travel", "minutes"], ["colours", "winds"])
     got = {r["user_id"]: r["feature"] for r in out.collect()}
+    # colours blue 0, green 1, red 2; winds e 0, n 1, s 2, w 3;
+    # travel bike 0, tram 1, walk 2; minutes 15 0, 22 1, 40 2
     assert got == {
-        0: "2:1,2:1,2:1,2:1,2:0,2:0,2:1,3:1,4:0",
-        1: "2:0,2:0,2:1,2:0,2:1,2:0,2:0,3:0,4:3",
-        2: "2:0,2:1,2:1,2:1,2:1,2:0,2:0,3:2,4:2",
-        3: "2:0,2:1,2:0,2:0,2:0,2:1,2:0,3:0,4:1",
+        11: "2:1,2:0,2:1,2:0,2:1,2:0,2:0,3:1,3:2",
+        12: "2:1,2:0,2:0,2:0,2:1,2:1,2:1,3:0,3:0",
+        13: "2:0,2:0,2:0,2:0,2:0,2:1,2:1,3:2,3:2",
+        14: "2:0,2:1,2:1,2:0,2:0,2:0,2:0,3:0,3:1",
+        15: "2:0,2:0,2:1,2:1,2:0,2:0,2:0,3:1,3:0",
     }
-    assert enc.arity == [3, 4, 3, 4] and enc.width == 14
+    assert enc.arity == [3, 3, 3, 4] and enc.width == 13
     assert dict(out.dtypes) == {"user_id": "bigint", "feature": "string",
                                 "cycle": "string", "reader": "string"}
-    assert {r["user_id"]: r["cycle"] for r in out.collect()}[0] == "3"
+    readers = {r["user_id"]: r["reader"] for r in out.collect()}
+    assert readers[12] is None and readers[14] == "8"
 
 
 def test_onehot_fixture(spark):
-    out, enc = jobs.onehot_job(_fb(spark), ["sex", "marriage_status"])
+    out, enc = jobs.onehot_job(_readers(spark), ["travel", "minutes"])
     got = {r["user_id"]: (r["feature_size"], r["feature"]) for r in out.collect()}
-    assert got == {0: (5, "1,2,3"), 1: (5, "0,4"), 2: (5, "0,3"), 3: (5, "0,4")}
+    assert got == {11: (6, "1,5"), 12: (6, "0,3"), 13: (6, "2,5"), 14: (6, "0,4"), 15: (6, "1,3")}
     assert [f.multi for f in enc.layout] == [True, False]
     assert dict(out.dtypes)["feature_size"] == "int"
-    assert {r["reader"] for r in out.collect()} == {"70"}
+
+
+@pytest.mark.parametrize("inline", [True, False])
+def test_one_output_row_per_input_row(spark, inline):
+    rows = [(1, ",a,", 5, "p"), (1, ",b,", 6, "q"), (1, ",a,", 5, "p"), (None, ",a,b,", None, "r")]
+    df = spark.createDataFrame(rows, "user_id long, t string, n int, note string")
+    layout = encode.onehot_layout(df, ["t", "n"])
+    enc = encode.fit_encoding(df, layout)
+    got = sorted((r["feature"], r["note"]) for r in
+                 encode.onehot_features(df, enc, keep=("note",), inline=inline).collect())
+    assert got == [("0,1,4", "r"), ("0,2", "p"), ("0,2", "p"), ("1,3", "q")]
+    layout2 = encode.categorical_layout(df, ["n"], ["t"])
+    enc2 = encode.fit_encoding(df, layout2)
+    got2 = sorted((r["feature"], r["note"]) for r in
+                  encode.categorical_features(df, enc2, keep=("note",), inline=inline).collect())
+    assert got2 == [("2:0,2:1,3:1", "q"), ("2:1,2:0,3:0", "p"), ("2:1,2:0,3:0", "p"),
+                    ("2:1,2:1,3:2", "r")]
+    assert sorted(r["idx"] for r in encode.multi_index(df, enc, "t").collect()) == [
+        [0], [0], [0, 1], [1]]
+    assert encode.onehot_index(df, enc).count() == 8
+
+
+def test_decimals_in_order_and_times_of_one_text(spark):
+    big = spark.createDataFrame([(1, "9999999999999999999.9"), (2, "10000000000000000000.1"),
+                                 (3, "-2.5"), (4, "-10.0"), (5, None)], "user_id long, s string") \
+        .select("user_id", F.col("s").cast("decimal(30,1)").alias("d"))
+    enc = encode.fit_encoding(big, encode.onehot_layout(big, ["d"]))
+    order = {r["val"]: r["idx"] for r in enc.dictionary.collect()}
+    assert order == {"-10.0": 0, "-2.5": 1, "9999999999999999999.9": 2,
+                     "10000000000000000000.1": 3, None: 4}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:                               # 02:30 local time exists twice on this day
+        t = spark.range(2).select("id", F.timestamp_seconds(
+            F.lit(1698539400) - 3600 + F.col("id") * 3600).alias("at")).withColumnRenamed("id", "user_id")
+        out, enc = encode.index_single(t, "at", ["user_id"])
+        assert sorted((r["user_id"], r["idx"]) for r in out.collect()) == [(0, 0), (1, 1)]
+        oh = encode.onehot_features(t, encode.fit_encoding(t, encode.onehot_layout(t, ["at"])), keep=())
+        assert sorted(r["feature"] for r in oh.collect()) == ["0", "1"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_dictionary_order_native_and_null_last(spark):
@@ -105,11 +139,13 @@ def test_given_dictionary_skip_or_error(spark):
     layout = encode.categorical_layout(old, ["k"], ["t"])
     enc = encode.fit_encoding(old, layout)
     keep = ()
-    got = encode.categorical_features(new, enc, keep=keep).first()["feature"]
-    assert got == "2:1,2:0"                      # c and z are skipped
+    for inline in (True, False):
+        got = encode.categorical_features(new, enc, keep=keep, inline=inline, unseen="skip")
+        assert got.first()["feature"] == "2:1,2:0"                      # c and z are skipped
+        with pytest.raises(Exception, match="not in the dictionary"):
+            encode.categorical_features(new, enc, keep=keep, inline=inline).collect()
     unseen = sorted((r["col_name"], r["value"]) for r in encode.unseen_values(new, enc).collect())
     assert unseen == [("k", "z"), ("t", "c")]
-    import pytest
     with pytest.raises(ValueError):
         encode.require_known(new, enc)
     encode.require_known(old, enc)
@@ -119,6 +155,5 @@ def test_feature_width_is_checked(spark):
     ok = spark.createDataFrame([(1, 5, "0,3"), (2, 5, "")], "user_id long, feature_size int, feature string")
     assert jobs.feature_width(ok) == 5
     mixed = spark.createDataFrame([(1, 5, "0"), (2, 6, "1")], "user_id long, feature_size int, feature string")
-    import pytest
     with pytest.raises(ValueError):
         jobs.feature_width(mixed)
