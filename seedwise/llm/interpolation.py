@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from seedwise.llm.common import id_remainder, stage, text_or_empty, utf8_column
 
 #: Text bytes of one block.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Tokens per hash range: sets the number of ranges from the size of the corpus.
 RANGE_TOKENS = 500_000
 KEPT, DELETED, HELD_OUT = 0, 1, 2

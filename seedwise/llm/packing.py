@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, utf8_column
-from seedwise.llm.tokens import WordIds, per_process
+from seedwise.llm.tokens import WordIds, groups, per_process
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -67,8 +67,10 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         end, step = struct.pack("<I", end_id), 4 * max_tokens
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
-            for key, raw in zip(ids, utf8_column(batch, "_text")):
-                tokens = table.of_text(raw) + end
+            raws = utf8_column(batch, "_text")
+            encoded = (t for lo, hi in groups(raws) for t in table.of_texts(raws[lo:hi]))
+            for key, tokens in zip(ids, encoded):
+                tokens += end
                 for n, at in enumerate(range(0, len(tokens), step)):
                     part = tokens[at:at + step]
                     rows.append((key, n, at // 4, len(part) // 4, zlib.crc32(part),

@@ -39,7 +39,7 @@ RANGE_WINDOWS = 500_000
 #: Bytes of one sorted block.
 BLOCK = 1 << 20
 #: Texts are hashed in stretches of this many bytes.
-STRETCH = 1 << 21
+STRETCH = 1 << 20
 # A perfect difference set modulo 31 (every residue is a difference).
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)

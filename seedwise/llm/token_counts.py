@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import text_or_empty, utf8_column
-from seedwise.llm.tokens import PrefixSteps, per_process
+from seedwise.llm.tokens import PrefixSteps, groups, per_process
 
 SCHEMA = "n_bytes long, n_chars long, n_tokens long, chars_in_limit long, prefix_steps binary"
 
@@ -41,10 +41,9 @@ def prefix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         table = per_process("steps", vocabulary, PrefixSteps)
         for batch in batches:
             raws = utf8_column(batch, "_text")
-            for lo, hi in _slices(raws):
+            for lo, hi in groups(raws):
                 rows = []
-                for raw in raws[lo:hi]:
-                    steps = table.of_text(raw)
+                for raw, steps in zip(raws[lo:hi], table.of_texts(raws[lo:hi])):
                     counts = np.frombuffer(steps, dtype="<i2")
                     total = int(counts.sum(dtype=np.int64))
                     inside = len(counts) if total <= limit and len(counts) < limit \
@@ -63,18 +62,6 @@ def prefix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(run, f"_id {id_type}, {SCHEMA}").withColumnRenamed("_id", id_col)
 
 
-def _slices(raws: list[bytes], most: int = 8 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``most`` bytes."""
-    lo = size = 0
-    for i, raw in enumerate(raws):
-        size += len(raw)
-        if size > most:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(raws):
-        yield lo, len(raws)
-
-
 def longest_within(steps, budget: int) -> int:
     """Length in code points of the longest prefix of at most ``budget`` tokens."""
     import numpy as np

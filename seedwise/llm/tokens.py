@@ -13,9 +13,12 @@ import struct
 import sys
 import types
 import unicodedata
+from itertools import chain
 
-#: Most characters remembered by one table before it is emptied.
-MEMORY_CHARS = 6_000_000
+#: Bytes of keys that a table remembers in one generation: whole words, and the stems or
+#: prefixes that are dearer to find. Some 25 bytes of memory each.
+WORD_BYTES = 1_000_000
+STEM_BYTES = 2_500_000
 #: Longer words are not remembered.
 MEMORY_WORD = 64
 
@@ -39,6 +42,78 @@ def per_process(name: str, path: str | None, make):
     return kept.__dict__[key]
 
 
+class Library:
+    """The library's ids of many short pieces, in few calls.
+
+    Pieces of letters are joined by spaces: each is one word, whose last token alone has
+    the word-end mark, which is where the ids are cut. Where the marks do not add up (a
+    letter that is normalised to something else), the pieces are encoded one by one.
+    """
+
+    CHUNK = 1000
+
+    def __init__(self, tokenizer):
+        import json
+
+        import numpy as np
+        self.tokenizer = tokenizer
+        vocab = json.loads(tokenizer.to_str())["model"]["vocab"]
+        self.closes = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith(RunCounter.END)]] = True
+
+    def encode(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """piece -> ids as little-endian unsigned 32-bit bytes."""
+        out: dict[bytes, bytes] = {}
+        for own, ids, ends in self._chunks(pieces):
+            raw, start = ids.tobytes(), 0
+            for p, end in zip(own, (4 * ends).tolist()):
+                out[p] = raw[start:end]
+                start = end
+        return out
+
+    def count(self, pieces: list[bytes]) -> dict[bytes, int]:
+        """piece -> number of ids."""
+        import numpy as np
+        out: dict[bytes, int] = {}
+        for own, _, ends in self._chunks(pieces):
+            out.update(zip(own, np.diff(ends, prepend=0).tolist()))
+        return out
+
+    def _chunks(self, pieces: list[bytes]):
+        """(pieces, their ids in a row, where each one's ids end)."""
+        import numpy as np
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        plain = [(p, t) for p, t in zip(pieces, texts) if t.isalpha()]
+        single = [(p, t) for p, t in zip(pieces, texts) if not t.isalpha()]
+        chunks = [plain[i:i + self.CHUNK] for i in range(0, len(plain), self.CHUNK)]
+        for chunk, e in zip(chunks, self._batch([" ".join([t for _, t in c]) for c in chunks])):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(chunk):
+                yield [p for p, _ in chunk], ids, ends
+            else:
+                single += chunk
+        if single:
+            encoded = self._batch([t for _, t in single])
+            ids = np.array([i for e in encoded for i in e.ids], dtype="<u4")
+            yield [p for p, _ in single], ids, np.cumsum([len(e) for e in encoded])
+
+    def _batch(self, texts: list[str]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+
+
+def groups(raws: list[bytes], most: int = 1 << 19):
+    """Ranges of texts of about ``most`` bytes, looked up together."""
+    lo = size = 0
+    for i, raw in enumerate(raws):
+        size += len(raw)
+        if size > most:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+    if lo < len(raws):
+        yield lo, len(raws)
+
+
 class WordIds:
     """word -> its ids as little-endian unsigned 32-bit bytes.
 
@@ -48,17 +123,14 @@ class WordIds:
     """
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.words = _Generations()
-        self.stems = _Generations()
+        self.library = Library(tokenizer)
+        self.words = _Generations(WORD_BYTES)
+        self.stems = _Generations(STEM_BYTES)
 
-    def of_text(self, raw: bytes) -> bytes:
-        parts = raw.split() if b"<|" in raw else raw.lower().split()
-        try:
-            return b"".join(map(self.words.young.__getitem__, parts))
-        except KeyError:
-            ids = self._find(dict.fromkeys(parts))
-            return b"".join(map(ids.__getitem__, parts))
+    def of_texts(self, raws: list[bytes]) -> list[bytes]:
+        split = [raw.split() if b"<|" in raw else raw.lower().split() for raw in raws]
+        ids = self._find(dict.fromkeys(chain.from_iterable(split)))
+        return [b"".join(map(ids.__getitem__, parts)) for parts in split]
 
     def _find(self, distinct) -> dict[bytes, bytes]:
         ids, missing = self.words.find(distinct)
@@ -67,9 +139,7 @@ class WordIds:
         cuts = {w: _cut(w) for w in missing}
         stems, new = self.stems.find(dict.fromkeys(p for c in cuts.values() for p in c))
         if new:
-            encoded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            made = {w: struct.pack(f"<{len(e)}I", *e.ids) for w, e in zip(new, encoded)}
+            made = self.library.encode(new)
             self.stems.keep(made)
             stems.update(made)
         whole = {w: b"".join([stems[p] for p in c]) for w, c in cuts.items()}
@@ -96,7 +166,8 @@ class _Generations:
     """A bounded table: when the young generation is full it becomes the old one, and what
     is asked for again moves back."""
 
-    def __init__(self):
+    def __init__(self, most: int):
+        self.most = most
         self.young: dict = {}
         self.old: dict = {}
         self.size = 0
@@ -122,7 +193,7 @@ class _Generations:
             if len(k) <= MEMORY_WORD:
                 self.young[k] = v
                 self.size += len(k)
-        if self.size > MEMORY_CHARS:
+        if self.size > self.most:
             self.old, self.young, self.size = self.young, {}, 0
 
 
@@ -137,62 +208,84 @@ class PrefixSteps:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.library = Library(tokenizer)
         self.runs: RunCounter | None = None
-        self.words = _Generations()
-        self.prefixes = _Generations()
-
-    def of_text(self, raw: bytes) -> bytes:
-        """One signed little-endian 16-bit step per code point of the text."""
-        if b"<|" not in raw:
-            raw = raw.lower()
-        parts = raw.translate(_SPACES).split(b" ")
-        try:
-            return b"\0\0".join(map(self.words.young.__getitem__, parts))
-        except KeyError:
-            steps = self._find(dict.fromkeys(parts))
-            return b"\0\0".join(map(steps.__getitem__, parts))
+        self.words = _Generations(WORD_BYTES)
+        self.prefixes = _Generations(STEM_BYTES)
+
+    def of_texts(self, raws: list[bytes]) -> list[bytes]:
+        """Per text, one signed little-endian 16-bit step per code point."""
+        split = [(raw if b"<|" in raw else raw.lower()).translate(_SPACES).split(b" ")
+                 for raw in raws]
+        steps = self._find(dict.fromkeys(chain.from_iterable(split)))
+        return [b"\0\0".join(map(steps.__getitem__, parts)) for parts in split]
 
     def _find(self, distinct) -> dict[bytes, bytes]:
         steps, missing = self.words.find(distinct)
         if not missing:
             return steps
-        whole = {}
         pieces = {w: _cut(w) if len(w) <= MEMORY_WORD else
                   [r.encode("utf-8") for r in safe_runs(w.decode("utf-8", "replace"))]
                   for w in missing}
-        short = {p: [p[:i] for i in _ends(p)] for c in pieces.values() for p in c
-                 if len(p) <= MEMORY_WORD}
-        counts, new = self.prefixes.find(dict.fromkeys(q for c in short.values() for q in c))
-        if new:
-            encoded = self.tokenizer.encode_batch_fast(
-                [q.decode("utf-8", "replace") for q in new], add_special_tokens=False)
-            made = {q: len(e) for q, e in zip(new, encoded)}
-            self.prefixes.keep(made)
-            counts.update(made)
-        for w, cut in pieces.items():
-            out: list[int] = []
-            for p in cut:
-                if p in short:
-                    many = [counts[q] for q in short[p]]
-                    out.extend(map(int.__sub__, many, [0, *many[:-1]]))
-                else:
-                    self.runs = self.runs or RunCounter(self.tokenizer)
-                    many = self.runs.counts(p.decode("utf-8", "replace"))
-                    out.extend(map(int.__sub__, many[1:], many[:-1]))
-            whole[w] = struct.pack(f"<{len(out)}h", *out)
+        found = self._prefixes({p for c in pieces.values() for p in c if len(p) <= MEMORY_WORD})
+        whole = {w: b"".join([found[p][1] if p in found else self._run(p) for p in c])
+                 for w, c in pieces.items()}
         self.words.keep(whole)
         steps.update(whole)
         return steps
 
 
+    def _prefixes(self, pieces: set[bytes]) -> dict[bytes, tuple[int, bytes]]:
+        """piece -> (count, steps). Each piece is cut back to its longest known prefix; the
+        counts of the prefixes between come from the library, once each."""
+        young, old = self.prefixes.young, self.prefixes.old
+        back: dict[bytes, tuple[int, bytes]] = {b"": (0, b"")}
+        fresh: dict[bytes, tuple[int, bytes] | None] = {}
+        ways = []
+        for p in pieces:
+            way, q = [], p
+            while q not in fresh and q not in back:
+                known = young.get(q) or old.get(q)
+                if known is not None:
+                    back[q] = known
+                    break
+                fresh[q] = None
+                way.append(q)
+                q = _shorter(q)
+            way.append(q)
+            ways.append(way)
+        count = self.library.count(list(fresh))
+        for way in ways:
+            q = way.pop()
+            n, steps = fresh.get(q) or back[q]
+            for q in reversed(way):
+                more = count[q]
+                steps += _STEP.get(more - n) or struct.pack("<h", more - n)
+                n = more
+                fresh[q] = (n, steps)
+        self.prefixes.keep(fresh)
+        del back[b""]
+        out = {p: fresh.get(p) or back.get(p) or (0, b"") for p in pieces}
+        self.prefixes.keep({q: v for q, v in back.items() if q not in young})
+        return out
+
+    def _run(self, piece: bytes) -> bytes:
+        self.runs = self.runs or RunCounter(self.tokenizer)
+        many = self.runs.counts(piece.decode("utf-8", "replace"))
+        steps = list(map(int.__sub__, many[1:], many[:-1]))
+        return struct.pack(f"<{len(steps)}h", *steps)
+
+
+_STEP = {n: struct.pack("<h", n) for n in range(-8, 9)}
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 
-def _ends(word: bytes) -> list[int]:
-    """Byte offsets after each code point."""
-    if word.isascii():
-        return list(range(1, len(word) + 1))
-    return [i for i in range(1, len(word) + 1) if i == len(word) or word[i] & 0xC0 != 0x80]
+def _shorter(word: bytes) -> bytes:
+    """Without the last code point."""
+    end = len(word) - 1
+    while end > 0 and word[end] & 0xC0 == 0x80:
+        end -= 1
+    return word[:end]
 
 
 def _kind(ch: str) -> str:

@@ -39,10 +39,10 @@ HARD = ["a" * 300, "the" * 60, "=-" * 100 + " x  y\n\nz ", "ñéç" * 40, "数
 @pytest.mark.parametrize("text", HARD)
 def test_count_at_every_prefix(library, text):
     text = text[:600]
-    steps = tokens.PrefixSteps(library).of_text(text.encode())
+    steps = tokens.PrefixSteps(library).of_texts([text.encode()])[0]
     counts = [token_counts.count_at(steps, i) for i in range(len(text) + 1)]
     assert counts == [len(ids(library, text[:i])) for i in range(len(text) + 1)]
-    assert np.frombuffer(tokens.WordIds(library).of_text(text.encode()), "<u4").tolist() == \
+    assert np.frombuffer(tokens.WordIds(library).of_texts([text.encode()])[0], "<u4").tolist() == \
         ids(library, text)
     for budget in (0, 1, 5, 10_000):
         cut = token_counts.longest_within(np.frombuffer(steps, "<i2"), budget)
@@ -57,10 +57,11 @@ def test_long_runs_by_dynamic_programming(library):
 
 
 def test_small_memory_gives_the_same(library, monkeypatch):
-    monkeypatch.setattr(tokens, "MEMORY_CHARS", 50)
+    monkeypatch.setattr(tokens, "WORD_BYTES", 20)
+    monkeypatch.setattr(tokens, "STEM_BYTES", 50)
     table = tokens.WordIds(library)
     for text in ["some words here, some there." * 3, "and, and other; words"] * 3:
-        assert np.frombuffer(table.of_text(text.encode()), "<u4").tolist() == ids(library, text)
+        assert np.frombuffer(table.of_texts([text.encode()])[0], "<u4").tolist() == ids(library, text)
 
 
 def test_token_counts_of_a_table(spark, library):
