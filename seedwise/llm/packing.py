@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, utf8_column
-from seedwise.llm.tokens import WordIds, groups, per_process
+from seedwise.llm.tokens import KEY_BYTES, WordIds, groups, per_process
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -53,7 +53,7 @@ class Slot:
 # ------------------------------------------------------------------ pieces
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  max_tokens: int = 2048, end_id: int = 0, vocabulary: str | None = None,
-                 keep_ids: bool = True) -> DataFrame:
+                 keep_ids: bool = True, key_bytes: int = KEY_BYTES) -> DataFrame:
     """Each text as ids plus ``end_id``, cut into pieces of ``max_tokens`` (the last one
     shorter). A null text counts as empty and is the end id alone."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -63,7 +63,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import zlib
 
         import pyarrow as pa
-        table = per_process("ids", vocabulary, WordIds)
+        table = per_process(WordIds, vocabulary, key_bytes)
         end, step = struct.pack("<I", end_id), 4 * max_tokens
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
@@ -214,15 +214,17 @@ def assign(pieces: DataFrame, order_cols: list[str], capacity: Capacity = Capaci
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          capacity: Capacity = Capacity(), rule: str = "norm", vocabulary: str | None = None,
-         keep_ids: bool = True) -> DataFrame:
+         keep_ids: bool = True, key_bytes: int = KEY_BYTES) -> DataFrame:
     """One row per piece: ``id_col``, piece, start, length, ids_crc32, ids (null unless
     ``keep_ids``), sequence_id, offset.
 
     Null texts count as empty (one end id); repeated rows are packed each; null ids are
     passed on; an empty table gives no rows; other columns are not read. Pieces without
-    ids are written to the shared folder once, since ranks need two readings.
+    ids are written to the shared folder once, since ranks need two readings. ``key_bytes``
+    bounds each worker's table of words (some 70 bytes of memory each, in all).
     """
-    pieces = token_pieces(docs, id_col, text_col, capacity.max_tokens, 0, vocabulary, keep_ids)
+    pieces = token_pieces(docs, id_col, text_col, capacity.max_tokens, 0, vocabulary, keep_ids,
+                          key_bytes)
     pieces = stage(pieces, "pieces")
     return assign(pieces, [id_col, "piece", "start", "ids_crc32"], capacity, rule)
 

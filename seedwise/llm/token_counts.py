@@ -38,7 +38,7 @@ def prefix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        table = per_process("steps", vocabulary, PrefixSteps)
+        table = per_process(PrefixSteps, vocabulary)
         for batch in batches:
             raws = utf8_column(batch, "_text")
             for lo, hi in groups(raws):

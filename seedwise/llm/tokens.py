@@ -15,10 +15,9 @@ import types
 import unicodedata
 from itertools import chain
 
-#: Bytes of keys that a table remembers in one generation: whole words, and the stems or
-#: prefixes that are dearer to find. Some 25 bytes of memory each.
-WORD_BYTES = 1_000_000
-STEM_BYTES = 2_500_000
+#: Bytes of keys that a table remembers in one of its two generations: some 20 bytes of
+#: memory each. Whole words take two fifths of it on top.
+KEY_BYTES = 5_000_000
 #: Longer words are not remembered.
 MEMORY_WORD = 64
 
@@ -33,12 +32,12 @@ def load(path: str | None):
     return Tokenizer.from_file(path)
 
 
-def per_process(name: str, path: str | None, make):
-    """``make(tokenizer)``, kept for the later tasks of a worker process."""
+def per_process(make, path: str | None, key_bytes: int = KEY_BYTES):
+    """``make(tokenizer, key_bytes)``, kept for the later tasks of a worker process."""
     kept = sys.modules.setdefault("seedwise_worker_state", types.ModuleType("seedwise_worker_state"))
-    key = f"{name}:{path}"
+    key = f"{make.__name__}:{path}:{key_bytes}"
     if key not in kept.__dict__:
-        kept.__dict__[key] = make(load(path))
+        kept.__dict__[key] = make(load(path), key_bytes)
     return kept.__dict__[key]
 
 
@@ -122,10 +121,10 @@ class WordIds:
     keeps the words of its two last generations, so its memory is bounded.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, key_bytes: int = KEY_BYTES):
         self.library = Library(tokenizer)
-        self.words = _Generations(WORD_BYTES)
-        self.stems = _Generations(STEM_BYTES)
+        self.words = _Generations(key_bytes * 2 // 5)
+        self.stems = _Generations(key_bytes)
 
     def of_texts(self, raws: list[bytes]) -> list[bytes]:
         split = [raw.split() if b"<|" in raw else raw.lower().split() for raw in raws]
@@ -206,12 +205,12 @@ class PrefixSteps:
     once. Runs of more than MEMORY_WORD letters or signs use :class:`RunCounter`.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, key_bytes: int = KEY_BYTES):
         self.tokenizer = tokenizer
         self.library = Library(tokenizer)
         self.runs: RunCounter | None = None
-        self.words = _Generations(WORD_BYTES)
-        self.prefixes = _Generations(STEM_BYTES)
+        self.words = _Generations(key_bytes * 2 // 5)
+        self.prefixes = _Generations(key_bytes)
 
     def of_texts(self, raws: list[bytes]) -> list[bytes]:
         """Per text, one signed little-endian 16-bit step per code point."""
@@ -228,19 +227,20 @@ class PrefixSteps:
                   [r.encode("utf-8") for r in safe_runs(w.decode("utf-8", "replace"))]
                   for w in missing}
         found = self._prefixes({p for c in pieces.values() for p in c if len(p) <= MEMORY_WORD})
-        whole = {w: b"".join([found[p][1] if p in found else self._run(p) for p in c])
+        whole = {w: b"".join([_steps(found[p]) if p in found else self._run(p) for p in c])
                  for w, c in pieces.items()}
         self.words.keep(whole)
         steps.update(whole)
         return steps
 
 
-    def _prefixes(self, pieces: set[bytes]) -> dict[bytes, tuple[int, bytes]]:
-        """piece -> (count, steps). Each piece is cut back to its longest known prefix; the
-        counts of the prefixes between come from the library, once each."""
+    def _prefixes(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """piece -> the counts of its prefixes, one byte each. Each piece is cut back to its
+        longest known prefix; the counts of the prefixes between come from the library, once
+        each."""
         young, old = self.prefixes.young, self.prefixes.old
-        back: dict[bytes, tuple[int, bytes]] = {b"": (0, b"")}
-        fresh: dict[bytes, tuple[int, bytes] | None] = {}
+        back: dict[bytes, bytes] = {b"": b""}
+        fresh: dict[bytes, bytes] = {}
         ways = []
         for p in pieces:
             way, q = [], p
@@ -249,24 +249,20 @@ class PrefixSteps:
                 if known is not None:
                     back[q] = known
                     break
-                fresh[q] = None
+                fresh[q] = b""
                 way.append(q)
                 q = _shorter(q)
-            way.append(q)
-            ways.append(way)
+            if way:
+                ways.append((way, q))
         count = self.library.count(list(fresh))
-        for way in ways:
-            q = way.pop()
-            n, steps = fresh.get(q) or back[q]
+        for way, q in ways:
+            counts = fresh.get(q) or back[q]
             for q in reversed(way):
-                more = count[q]
-                steps += _STEP.get(more - n) or struct.pack("<h", more - n)
-                n = more
-                fresh[q] = (n, steps)
+                counts += _BYTE[count[q]]
+                fresh[q] = counts
+        out = {p: fresh.get(p) or back[p] for p in pieces}
         self.prefixes.keep(fresh)
-        del back[b""]
-        out = {p: fresh.get(p) or back.get(p) or (0, b"") for p in pieces}
-        self.prefixes.keep({q: v for q, v in back.items() if q not in young})
+        self.prefixes.keep({q: v for q, v in back.items() if q and q not in young})
         return out
 
     def _run(self, piece: bytes) -> bytes:
@@ -276,7 +272,14 @@ class PrefixSteps:
         return struct.pack(f"<{len(steps)}h", *steps)
 
 
-_STEP = {n: struct.pack("<h", n) for n in range(-8, 9)}
+_BYTE = [bytes([n]) for n in range(256)]       # a piece has at most MEMORY_WORD tokens
+
+
+def _steps(counts: bytes) -> bytes:
+    """16-bit steps from prefix counts."""
+    return struct.pack(f"<{len(counts)}h", *map(int.__sub__, counts, b"\0" + counts[:-1]))
+
+
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 

@@ -56,10 +56,12 @@ def test_long_runs_by_dynamic_programming(library):
         assert run.counts(text) == [len(ids(library, text[:i])) for i in range(len(text) + 1)]
 
 
-def test_small_memory_gives_the_same(library, monkeypatch):
-    monkeypatch.setattr(tokens, "WORD_BYTES", 20)
-    monkeypatch.setattr(tokens, "STEM_BYTES", 50)
-    table = tokens.WordIds(library)
+def test_small_memory_gives_the_same(library):
+    table, steps = tokens.WordIds(library, 50), tokens.PrefixSteps(library, 50)
+    for text in ["some words here, some there. " * 3, "and, and other; words", "there some"] * 3:
+        got = steps.of_texts([text.encode()])[0]
+        assert [token_counts.count_at(got, i) for i in range(len(text) + 1)] == [
+            len(ids(library, text[:i])) for i in range(len(text) + 1)]
     for text in ["some words here, some there." * 3, "and, and other; words"] * 3:
         assert np.frombuffer(table.of_texts([text.encode()])[0], "<u4").tolist() == ids(library, text)
 
