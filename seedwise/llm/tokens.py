@@ -42,11 +42,13 @@ def per_process(make, path: str | None, key_bytes: int = KEY_BYTES):
 
 
 class Library:
-    """The library's ids of many short pieces, in few calls.
+    """The library's ids of many short pieces, by the shortest of its ways that is right.
 
-    Pieces of letters are joined by spaces: each is one word, whose last token alone has
-    the word-end mark, which is where the ids are cut. Where the marks do not add up (a
-    letter that is normalised to something else), the pieces are encoded one by one.
+    Pieces of ASCII letters go straight to its BPE model: normalising and cutting leave
+    them as they are. Other pieces of letters are joined by spaces in one call: each is one
+    word, whose last token alone has the word-end mark, which is where the ids are cut.
+    Where the marks do not add up (a letter that is normalised to something else), and for
+    all other pieces, each is encoded on its own.
     """
 
     CHUNK = 1000
@@ -56,46 +58,58 @@ class Library:
 
         import numpy as np
         self.tokenizer = tokenizer
+        self.model = tokenizer.model
         vocab = json.loads(tokenizer.to_str())["model"]["vocab"]
         self.closes = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
         self.closes[[i for t, i in vocab.items() if t.endswith(RunCounter.END)]] = True
 
     def encode(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """piece -> ids as little-endian unsigned 32-bit bytes."""
+        tokenize, pack = self.model.tokenize, struct.pack
         out: dict[bytes, bytes] = {}
-        for own, ids, ends in self._chunks(pieces):
+        rest = []
+        for p in pieces:
+            if p.isalpha() and p.islower():
+                t = tokenize(p.decode())
+                out[p] = pack(f"<{len(t)}I", *[x.id for x in t])
+            else:
+                rest.append(p)
+        for own, ids, ends in self._chunks(rest):
             raw, start = ids.tobytes(), 0
-            for p, end in zip(own, (4 * ends).tolist()):
-                out[p] = raw[start:end]
+            for i, end in zip(own, (4 * ends).tolist()):
+                out[rest[i]] = raw[start:end]
                 start = end
         return out
 
-    def count(self, pieces: list[bytes]) -> dict[bytes, int]:
-        """piece -> number of ids."""
+    def count(self, pieces: list[bytes]) -> list[int]:
+        """Number of ids of each piece."""
         import numpy as np
-        out: dict[bytes, int] = {}
-        for own, _, ends in self._chunks(pieces):
-            out.update(zip(own, np.diff(ends, prepend=0).tolist()))
+        tokenize = self.model.tokenize
+        out = [len(tokenize(p.decode())) if p.isalpha() and p.islower() else 0 for p in pieces]
+        rest = [i for i, n in enumerate(out) if not n]
+        for own, _, ends in self._chunks([pieces[i] for i in rest]):
+            for i, n in zip(own, np.diff(ends, prepend=0).tolist()):
+                out[rest[i]] = n
         return out
 
     def _chunks(self, pieces: list[bytes]):
-        """(pieces, their ids in a row, where each one's ids end)."""
+        """(places of pieces, their ids in a row, where each one's ids end)."""
         import numpy as np
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        plain = [(p, t) for p, t in zip(pieces, texts) if t.isalpha()]
-        single = [(p, t) for p, t in zip(pieces, texts) if not t.isalpha()]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        single = [i for i, t in enumerate(texts) if not t.isalpha()]
         chunks = [plain[i:i + self.CHUNK] for i in range(0, len(plain), self.CHUNK)]
-        for chunk, e in zip(chunks, self._batch([" ".join([t for _, t in c]) for c in chunks])):
+        for chunk, e in zip(chunks, self._batch([" ".join([texts[i] for i in c]) for c in chunks])):
             ids = np.array(e.ids, dtype="<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(chunk):
-                yield [p for p, _ in chunk], ids, ends
+                yield chunk, ids, ends
             else:
                 single += chunk
         if single:
-            encoded = self._batch([t for _, t in single])
+            encoded = self._batch([texts[i] for i in single])
             ids = np.array([i for e in encoded for i in e.ids], dtype="<u4")
-            yield [p for p, _ in single], ids, np.cumsum([len(e) for e in encoded])
+            yield single, ids, np.cumsum([len(e) for e in encoded])
 
     def _batch(self, texts: list[str]):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
@@ -188,10 +202,10 @@ class _Generations:
         return found, missing
 
     def keep(self, new: dict) -> None:
-        for k, v in new.items():
-            if len(k) <= MEMORY_WORD:
-                self.young[k] = v
-                self.size += len(k)
+        if any(len(k) > MEMORY_WORD for k in new):
+            new = {k: v for k, v in new.items() if len(k) <= MEMORY_WORD}
+        self.young.update(new)
+        self.size += sum(map(len, new))
         if self.size > self.most:
             self.old, self.young, self.size = self.young, {}, 0
 
@@ -214,25 +228,46 @@ class PrefixSteps:
 
     def of_texts(self, raws: list[bytes]) -> list[bytes]:
         """Per text, one signed little-endian 16-bit step per code point."""
+        import numpy as np
         split = [(raw if b"<|" in raw else raw.lower()).translate(_SPACES).split(b" ")
                  for raw in raws]
-        steps = self._find(dict.fromkeys(chain.from_iterable(split)))
-        return [b"\0\0".join(map(steps.__getitem__, parts)) for parts in split]
+        counts, long = self._find(dict.fromkeys(chain.from_iterable(split)))
+        out = []
+        for parts in split:
+            if long and not long.keys().isdisjoint(parts):
+                out.append(b"\0\0".join([long[w] if w in long else _steps(counts[w])
+                                         for w in parts]))
+                continue
+            # counts within the word, 0 for white space: a step is the difference
+            own = np.frombuffer(b"\0".join(map(counts.__getitem__, parts)), dtype=np.uint8)
+            steps = np.diff(own.astype("<i2"), prepend=np.int16(0))
+            steps[own == 0] = 0
+            out.append(steps.astype("<i2").tobytes())
+        return out
 
-    def _find(self, distinct) -> dict[bytes, bytes]:
-        steps, missing = self.words.find(distinct)
+    def _find(self, distinct) -> tuple[dict[bytes, bytes], dict[bytes, bytes]]:
+        """word -> the counts of its prefixes, one byte each; and for words above
+        MEMORY_WORD bytes -> their steps."""
+        counts, missing = self.words.find(distinct)
         if not missing:
-            return steps
-        pieces = {w: _cut(w) if len(w) <= MEMORY_WORD else
+            return counts, {}
+        long = {w: b"" for w in missing if len(w) > MEMORY_WORD}
+        pieces = {w: _cut(w) if w not in long else
                   [r.encode("utf-8") for r in safe_runs(w.decode("utf-8", "replace"))]
                   for w in missing}
         found = self._prefixes({p for c in pieces.values() for p in c if len(p) <= MEMORY_WORD})
-        whole = {w: b"".join([_steps(found[p]) if p in found else self._run(p) for p in c])
-                 for w, c in pieces.items()}
+        whole = {}
+        for w, cut in pieces.items():
+            if w in long:
+                long[w] = b"".join([_steps(found[p]) if p in found else self._run(p) for p in cut])
+            elif len(cut) == 1:
+                whole[w] = found[w]
+            else:
+                stem, signs = found[cut[0]], found[cut[1]]
+                whole[w] = stem + bytes([stem[-1] + n for n in signs])
         self.words.keep(whole)
-        steps.update(whole)
-        return steps
-
+        counts.update(whole)
+        return counts, long
 
     def _prefixes(self, pieces: set[bytes]) -> dict[bytes, bytes]:
         """piece -> the counts of its prefixes, one byte each. Each piece is cut back to its
@@ -241,25 +276,26 @@ class PrefixSteps:
         young, old = self.prefixes.young, self.prefixes.old
         back: dict[bytes, bytes] = {b"": b""}
         fresh: dict[bytes, bytes] = {}
+        order: list[bytes] = []
         ways = []
         for p in pieces:
-            way, q = [], p
+            q, start = p, len(order)
             while q not in fresh and q not in back:
                 known = young.get(q) or old.get(q)
                 if known is not None:
                     back[q] = known
                     break
                 fresh[q] = b""
-                way.append(q)
-                q = _shorter(q)
-            if way:
-                ways.append((way, q))
-        count = self.library.count(list(fresh))
-        for way, q in ways:
+                order.append(q)
+                q = q[:-1] if q[-1] < 0x80 else _shorter(q)
+            if len(order) > start:
+                ways.append((start, len(order), q))
+        count = self.library.count(order)
+        for start, end, q in ways:
             counts = fresh.get(q) or back[q]
-            for q in reversed(way):
-                counts += _BYTE[count[q]]
-                fresh[q] = counts
+            for i in range(end - 1, start - 1, -1):
+                counts += _BYTE[count[i]]
+                fresh[order[i]] = counts
         out = {p: fresh.get(p) or back[p] for p in pieces}
         self.prefixes.keep(fresh)
         self.prefixes.keep({q: v for q, v in back.items() if q and q not in young})
