@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from seedwise.functions.columns import multi_hot, non_empty
 from seedwise.operators.joins import lookup_join
 from seedwise.operators.numbering import ordered_index
+from seedwise.session import cut_lineage
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -159,12 +160,6 @@ class Encoding:
     dictionary: DataFrame           # pos, col_name, val, ord_l, ord_d, ord_s, idx
     arity: list[int] = field(default_factory=list)
     size_bytes: int = 0
-    cached: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        """Unpersist the working sets once the encoded table has been written."""
-        for df in self.cached:
-            df.unpersist()
 
     @property
     def width(self) -> int:
@@ -196,7 +191,7 @@ def fit_encoding(df: DataFrame, layout: Sequence[Feature], id_col: str = "user_i
     The numbering is exact and deterministic (ascending native value, then the
     string, NULL last). The distinct values are counted per column first (the
     arity, one row per column), and that checked count picks the numbering
-    path. The small dictionary is persisted for the encoders.
+    path. The small dictionary is written to the checkpoint folder for the encoders.
     """
     layout = list(layout)
     long_df = long_df if long_df is not None else long_values(df, layout, id_col)
@@ -213,12 +208,11 @@ def fit_encoding(df: DataFrame, layout: Sequence[Feature], id_col: str = "user_i
         [F.col(c).asc_nulls_last() for c in (*_ORDER, "val")], idx_col="idx",
         max_rows=max(counts.values(), default=0))
     names = F.element_at(F.array(*[F.lit(f.name) for f in layout]), F.col("pos") + 1)
-    dictionary = numbered.withColumn("col_name", names).select(
-        "col_name", *_VALUE, F.col("idx").cast("int").alias("idx")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    dictionary = cut_lineage(numbered.withColumn("col_name", names).select(
+        "col_name", *_VALUE, F.col("idx").cast("int").alias("idx")))
+    values.unpersist()
     return Encoding(layout, dictionary, [counts.get(i, 0) for i in range(len(layout))],
-                    size_bytes=sum(int(r["b"] or 0) + 64 * int(r["n"]) for r in sizes),
-                    cached=[values, dictionary])
+                    size_bytes=sum(int(r["b"] or 0) + 64 * int(r["n"]) for r in sizes))
 
 
 def _array_literal(values: Sequence, dtype: str) -> Column:

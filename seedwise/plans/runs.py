@@ -35,7 +35,6 @@ def run_onehot_build(spark: SparkSession, profile_source: DataFrame | str, colum
     features, enc = jobs.onehot_job(prof, columns)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(features, out_path, key, table=table)
-    enc.release()
     return key
 
 
@@ -50,7 +49,6 @@ def run_categorical_build(spark: SparkSession, profile_source: DataFrame | str,
     features, enc = jobs.categorical_job(prof, singles, multis)
     key = sinks.day_key(as_of)
     sinks.write_day_partition(features, out_path, key, table=table)
-    enc.release()
     return key
 
 
