@@ -42,6 +42,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def tidy(run):
+    """``run``, giving freed memory back at the end of a task: a worker process is kept for
+    later tasks, and what its allocators hold would count against the executor."""
+    def wrapped(batches):
+        import ctypes
+
+        import pyarrow as pa
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):      # not this C library
+                pass
+    return wrapped
+
+
 def words(raw: bytes) -> list[bytes]:
     """Words of a UTF-8 text; ``bytes.split`` cuts at exactly space and \\t \\n \\v \\f \\r."""
     return raw.split()

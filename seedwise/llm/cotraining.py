@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import id_remainder, text_or_empty, utf8_column
+from seedwise.llm.common import id_remainder, text_or_empty, tidy, utf8_column
 from seedwise.llm.linear_model import LinearModel, fit, platt, sigmoid
 
 
@@ -187,7 +187,7 @@ def _features(rows: DataFrame) -> DataFrame:
                 names=["_doc", "_y", "_held", "content", "metadata"])
 
     kind = rows.schema["_doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_doc {kind}, _y double, _held boolean, "
+    return rows.mapInArrow(tidy(run), f"_doc {kind}, _y double, _held boolean, "
                                 "content array<double>, metadata array<double>")
 
 
@@ -209,7 +209,7 @@ def score_column(model: CoTrained):
             yield pd.Series(out)
 
     from pyspark.sql.pandas.functions import PandasUDFType
-    return pandas_udf(run, "double", PandasUDFType.SCALAR_ITER)
+    return pandas_udf(tidy(run), "double", PandasUDFType.SCALAR_ITER)
 
 
 def _scored(docs: DataFrame, labels: DataFrame, sample: Sample) -> DataFrame:

@@ -24,10 +24,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import id_remainder, stage, text_or_empty, utf8_column
+from seedwise.llm.common import id_remainder, stage, text_or_empty, tidy, utf8_column
 
 #: Text bytes of one block.
-BLOCK = 4 << 20
+BLOCK = 8 << 20
 #: Tokens per hash range: sets the number of ranges from the size of the corpus.
 RANGE_TOKENS = 500_000
 KEPT, DELETED, HELD_OUT = 0, 1, 2
@@ -120,7 +120,7 @@ def blocks(docs: DataFrame, role: Column, id_col: str = "doc_id",
 
     rows = docs.select(F.col(id_col).alias("_id"), role.cast("int").alias("_role"),
                        text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"block long, role int, ids array<{kind}>, lengths array<int>, "
+    return rows.mapInArrow(tidy(run), f"block long, role int, ids array<{kind}>, lengths array<int>, "
                                 "tokens binary, words binary")
 
 
@@ -186,7 +186,7 @@ def _requests(table: DataFrame, ranges: int) -> DataFrame:
                         names=["n", "range", "block", "role", "keys", "counts"])
 
     return table.select("block", "role", "lengths", "tokens", "words").mapInArrow(
-        run, "n int, range int, block long, role int, keys binary, counts binary")
+        tidy(run), "n int, range int, block long, role int, keys binary, counts binary")
 
 
 def _answers(requests: DataFrame, ranges: int) -> DataFrame:
@@ -232,7 +232,7 @@ def _answers(requests: DataFrame, ranges: int) -> DataFrame:
             yield emit(rows)
 
     dealt = requests.repartition(2 * ranges, "n", "range").sortWithinPartitions("n", "range")
-    return dealt.mapInArrow(run, "n int, range int, block long, every binary, kept binary, "
+    return dealt.mapInArrow(tidy(run), "n int, range int, block long, every binary, kept binary, "
                                  "tokens_all long, types_all long, tokens_kept long, types_kept long")
 
 
@@ -316,7 +316,7 @@ def _histogram(joined: DataFrame, ranges: int, texts_kept: int, tokens_kept: int
                     names=["b", "q2", "q1", "n"])
 
     cells = joined.select("lengths", "tokens", "words", "answers").mapInArrow(
-        run, "b long, q2 long, q1 long, n long")
+        tidy(run), "b long, q2 long, q1 long, n long")
     return cells.groupBy("b", "q2", "q1").agg(F.sum("n").alias("n"))
 
 
@@ -383,6 +383,6 @@ def model_scores(docs: DataFrame, role: Column | None = None, id_col: str = "doc
     joined = table.join(grouped, "block").select(
         "role", "ids", "lengths", "tokens", "words",
         F.transform("answers", lambda a: F.struct(a["n"], a["range"], a["every"])).alias("answers"))
-    out = joined.mapInArrow(run, f"_id {kind}, held_out boolean, n_tokens long, n_known long, "
+    out = joined.mapInArrow(tidy(run), f"_id {kind}, held_out boolean, n_tokens long, n_known long, "
                                  "train_tokens long, base_score double, score double")
     return out.withColumnRenamed("_id", id_col)

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, utf8_column
+from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, tidy, utf8_column
 from seedwise.llm.tokens import KEY_BYTES, WordIds, groups, per_process
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, ids binary"
@@ -82,7 +82,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"_id {id_type}, {PIECE_SCHEMA}").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {id_type}, {PIECE_SCHEMA}").withColumnRenamed("_id", id_col)
 
 
 # ------------------------------------------------------------------ plan

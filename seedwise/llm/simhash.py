@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import stage, text_or_empty, utf8_column
+from seedwise.llm.common import stage, text_or_empty, tidy, utf8_column
 from seedwise.llm.components import components
 
 SHINGLE = 3
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("h"), text.alias("_text"))
-    return rows.mapInArrow(run, f"_id {id_type}, h long, fp long").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {id_type}, h long, fp long").withColumnRenamed("_id", id_col)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -112,7 +112,7 @@ def _small_bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
                 [pa.array([p[0] for p in links], pa.int64()),
                  pa.array([p[1] for p in links], pa.int64())], names=["u", "v"])
 
-    return buckets.select("fps").mapInArrow(run, "u long, v long")
+    return buckets.select("fps").mapInArrow(tidy(run), "u long, v long")
 
 
 def _full_bucket_links(rows: DataFrame, masks: list[int], radius: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _full_bucket_links(rows: DataFrame, masks: list[int], radius: int) -> DataFr
                     [pa.array(x ^ np.int64(fp)), pa.array(np.full(len(x), fp)), pa.array(close)],
                     names=["point", "fp", "close"])
 
-    points = rows.select("fp", "t").mapInArrow(run, "point long, fp long, close boolean")
+    points = rows.select("fp", "t").mapInArrow(tidy(run), "point long, fp long, close boolean")
     hub = points.where("close").groupBy("point").agg(F.min("fp").alias("hub"))
     return (points.select("point", "fp").join(hub, "point").where("fp != hub")
             .select(F.greatest("fp", "hub").alias("u"), F.least("fp", "hub").alias("v")).distinct())

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, utf8_column
+from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, tidy, utf8_column
 
 LENGTH = 200
 GRAM = 40
@@ -37,7 +37,7 @@ BUCKET = 512
 #: Windows in one range of digests, for fuller grams.
 RANGE_WINDOWS = 500_000
 #: Bytes of one sorted block.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Texts are hashed in stretches of this many bytes.
 STRETCH = 1 << 20
 # A perfect difference set modulo 31 (every residue is a difference).
@@ -171,7 +171,7 @@ def unit_table(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                      pa.array(c.view(np.int64)), pa.array(w)], names=["_id", "_h", "g", "c", "w"])
 
     return texts.select("_id", "_h", "_text").mapInArrow(
-        run, "_id long, _h int, g long, c long, w long")
+        tidy(run), "_id long, _h int, g long, c long, w long")
 
 
 # ------------------------------------------------------------------ one block of suffixes
@@ -278,7 +278,7 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
     n = shuffle_partitions(contexts.sparkSession)
     ordered = contexts.select("g", "_id", "_h", "w", "content").repartition(n, "g") \
         .sortWithinPartitions("g")
-    return ordered.mapInArrow(run, "_id long, _h int, a long, b long")
+    return ordered.mapInArrow(tidy(run), "_id long, _h int, a long, b long")
 
 
 def _digest_buckets(contexts: DataFrame, length: int) -> DataFrame:
@@ -336,7 +336,7 @@ def _packs(contexts: DataFrame, length: int) -> DataFrame:
             yield work(rows)
 
     return contexts.select("_id", "_h", "w", "content").mapInArrow(
-        run, "pack long, ids array<long>, hs array<int>, firsts array<long>, many array<int>, "
+        tidy(run), "pack long, ids array<long>, hs array<int>, firsts array<long>, many array<int>, "
              "one binary, two binary")
 
 
@@ -431,7 +431,7 @@ def _packed(rows: DataFrame) -> DataFrame:
                  pa.array([pack.compress(r) for r in utf8_column(batch, "_text")], pa.binary())],
                 names=["_id", "_h", "_z"])
 
-    return rows.select("_id", "_h", "_text").mapInArrow(run, "_id long, _h int, _z binary")
+    return rows.select("_id", "_h", "_text").mapInArrow(tidy(run), "_id long, _h int, _z binary")
 
 
 def repeated_marks(rows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -477,7 +477,7 @@ def _contexts(asked: DataFrame, length: int) -> DataFrame:
                     names=["_id", "_h", "g", "w", "full", "content"])
 
     return asked.select("_id", "_h", "_z", "asks").mapInArrow(
-        run, "_id long, _h int, g long, w long, full boolean, content binary")
+        tidy(run), "_id long, _h int, g long, w long, full boolean, content binary")
 
 
 def covered(marks, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -531,7 +531,7 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema[id_col].dataType.simpleString()
     packed = _with_id(rows, id_col).join(marks, ["_id", "_h"], "left")
     out = packed.select("_doc", "_z", "marks").mapInArrow(
-        run, f"_doc {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        tidy(run), f"_doc {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("_doc", id_col)
 
 
@@ -549,7 +549,7 @@ def _with_id(rows: DataFrame, id_col: str) -> DataFrame:
                 names=["_id", "_h", "_doc", "_z"])
 
     return rows.select("_id", "_h", F.col(id_col).alias("_doc"), "_text").mapInArrow(
-        run, f"_id long, _h int, _doc {kind}, _z binary")
+        tidy(run), f"_id long, _h int, _doc {kind}, _z binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
