@@ -42,7 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # a small table of words: the workers still hold what the earlier stages loaded
-    return packing.pack(docs, keep_ids=False, key_bytes=1_000_000).drop("ids")
+    return packing.pack(docs, keep_ids=False, key_bytes=300_000).drop("ids")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats),
