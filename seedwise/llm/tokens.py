@@ -131,14 +131,13 @@ class WordIds:
     """word -> its ids as little-endian unsigned 32-bit bytes.
 
     A word met for the first time is cut before its closing signs (a letter and a sign
-    never share a token), so that "word," needs no second encoding of "word". Each table
+    never share a token), so that "word," needs no second encoding of "word". The table
     keeps the words of its two last generations, so its memory is bounded.
     """
 
     def __init__(self, tokenizer, key_bytes: int = KEY_BYTES):
         self.library = Library(tokenizer)
-        self.words = _Generations(key_bytes * 2 // 5)
-        self.stems = _Generations(key_bytes)
+        self.words = _Generations(key_bytes * 7 // 5)
 
     def of_texts(self, raws: list[bytes]) -> list[bytes]:
         split = [raw.split() if b"<|" in raw else raw.lower().split() for raw in raws]
@@ -149,14 +148,15 @@ class WordIds:
         ids, missing = self.words.find(distinct)
         if not missing:
             return ids
-        cuts = {w: _cut(w) for w in missing}
-        stems, new = self.stems.find(dict.fromkeys(p for c in cuts.values() for p in c))
-        if new:
-            made = self.library.encode(new)
-            self.stems.keep(made)
-            stems.update(made)
-        whole = {w: b"".join([stems[p] for p in c]) for w, c in cuts.items()}
+        cuts = {w: c for w in missing if w[-1] in _SIGNS and len(c := _cut(w)) > 1}
+        parts, fresh = self.words.find(dict.fromkeys(
+            [p for c in cuts.values() for p in c] + [w for w in missing if w not in cuts]))
+        made = self.library.encode(fresh)
+        parts.update(made)
+        self.words.keep(made)
+        whole = {w: parts[stem] + parts[signs] for w, (stem, signs) in cuts.items()}
         self.words.keep(whole)
+        ids.update(parts)
         ids.update(whole)
         return ids
 
