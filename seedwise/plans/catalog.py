@@ -422,7 +422,8 @@ def q_lr_hard_score(spark, sf):
 def q_lr_mean_score(spark, sf):
     """L3: with a free intercept the mean score of the training rows is their mean label."""
     exp = _expansion(spark, sf, "lr")
-    return exp.training.agg(F.round(F.avg("score"), 3).alias("mean_score"))
+    return exp.training.agg(F.round(F.avg("label"), ROUND).alias("mean_label"),
+                            (F.abs(F.avg("score") - F.avg("label")) < 1e-4).alias("score_agrees"))
 
 
 def q_training_report_totals(spark, sf):

