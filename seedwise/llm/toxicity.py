@@ -302,6 +302,14 @@ def learnable(labels: DataFrame, hold_out: int = HOLD_OUT) -> DataFrame:
             .groupBy(F.col("doc_id").alias("_lid")).agg(F.max("toxic").cast("int").alias("label")))
 
 
+def training_rows(noted: DataFrame, learning: Learning) -> DataFrame:
+    """The rows that train the classifier, drawn by the hash of the id alone: labelled and
+    unlabelled rows have the same share in the sample as in the table, at every size."""
+    return (noted.where(id_remainder(HOLD_OUT, "_id") != 1)
+            .orderBy(F.xxhash64("_id"), "_id", "mask").limit(learning.training)
+            .select("mask", "hits", "stats", "label"))
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(),
                     predict_at: float = PREDICT_AT) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, and posterior (of the label model).
@@ -320,15 +328,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Lea
     noted = stage(noted.join(known, F.col("_id") == F.col("_lid"), "left").drop("_lid"), "votes")
     patterns = stage(noted.groupBy("mask", "label").agg(F.count(F.lit(1)).alias("n")), "patterns")
     label_model = fit_label_model(patterns, voters, learning)
-    rows = (noted.where(id_remainder(HOLD_OUT, "_id") != 1)
-            .orderBy(F.col("label").isNull(), F.xxhash64("_id"), "_id", "mask")
-            .limit(learning.training).select("mask", "hits", "stats", "label").collect())
+    rows = training_rows(noted, learning).collect()
     made = Toxicity(voters, label_model, None)
     x = made.features([r["hits"] for r in rows], [r["stats"] for r in rows])
-    guess = label_model.posterior(bits_of([r["mask"] for r in rows], voters.count)) \
+    y = label_model.posterior(bits_of([r["mask"] for r in rows], voters.count)) \
         if rows else np.zeros(0)
-    y = np.array([guess[i] if r["label"] is None else 0.1 * guess[i] + 0.9 * r["label"]
-                  for i, r in enumerate(rows)])
     made.model = fit(x, y, l2=1.0)
     score = _score_column(made)
     out = noted.withColumn("_s", score("mask", "hits", "stats"))

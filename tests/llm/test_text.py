@@ -324,6 +324,30 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert a == pytest.approx(b)
 
 
+def test_classifier_learns_posteriors_of_a_sample_drawn_by_hash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    seen = {}
+
+    def spy_fit(x, y, **more):
+        seen["y"] = y
+        return fit(x, y, **more)
+
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", spy_fit)
+    learning = toxicity.Learning(training=250)       # fewer than the labelled learning rows
+    docs, known = documents(spark, MID), labels(spark, MID)
+    posteriors = np.array([r.posterior for r in toxicity.toxicity_scores(
+        docs, known, learning).collect()])
+    assert toxicity.learnable(known).count() > len(seen["y"]) == 250
+    assert max(np.abs(posteriors - y).min() for y in seen["y"]) < 1e-9
+    noted = docs.select(F.col("doc_id").alias("_id"), F.lit(0).alias("mask"), F.lit(0).alias("hits"),
+                        F.lit(0).alias("stats")).join(
+        toxicity.learnable(known), F.col("_id") == F.col("_lid"), "left")
+    whole = noted.where("label is not null").count() / noted.where("crc32(string(_id)) % 3 != 1").count()
+    share = toxicity.training_rows(noted, learning).where("label is not null").count() / 250
+    assert abs(share - whole) < 0.1
+
+
 def test_label_model_finds_accuracies_and_correlation(spark):
     rnd = np.random.default_rng(3)
     voters = toxicity.Voters(["x"], [[0]] * 6, list("abcdef"))
