@@ -30,11 +30,10 @@ _SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is removed when it is in more documents of its host than ``documents`` and
-    than ``share`` of the host's; a document is rejected when removal leaves fewer than
-    ``kept_share`` of its words."""
+    """A line is removed when it is in more documents of its host than ``documents``, however
+    many the host has; a document is rejected when removal leaves fewer than ``kept_share``
+    of its words."""
     documents: int = 10
-    share: float = 0.002
     kept_share: float = 0.3
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -125,16 +124,9 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def frequent_lines(table: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     """(host, line) found in too many distinct documents of the host."""
-    own = table.select("host", "text_hash", "lines.line")
-    hosts = (own.select("host", "text_hash").distinct()
-             .groupBy("host").agg(F.count(F.lit(1)).alias("_docs")))
-    counts = (own.select("host", "text_hash", F.explode("line").alias("line")).distinct()
-              .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
-              .where(F.col("n_docs") > limits.documents))
-    h = hosts.withColumnRenamed("host", "_host")
-    return (counts.join(h, counts["host"].eqNullSafe(h["_host"]))
-            .where(F.col("n_docs") > limits.share * F.col("_docs"))
-            .select("host", "line", "n_docs"))
+    return (table.select("host", "text_hash", F.explode("lines.line").alias("line")).distinct()
+            .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+            .where(F.col("n_docs") > limits.documents))
 
 
 def line_rules(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:

@@ -212,6 +212,28 @@ def test_frequent_lines_deplete(spark):
     assert copies == {True}
 
 
+def test_limit_does_not_rise_with_the_host(spark):
+    """A line in 300 documents of a host of 200,000 goes like one in 11 of a small host."""
+    from pyspark.sql import functions as F
+    own = "a line of its own with enough words to stand on two feet here {}"
+    menu = "home about contact imprint privacy terms shop news and " * 4
+    n = 200_000
+    number = F.col("id").cast("string")
+    big = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit("big").alias("source"),
+        F.when(F.col("id") < 300, F.concat(F.lit(menu + "\nu"), F.translate(number, "0123456789", "abcdefghij")))
+        .otherwise(F.concat(F.lit(own.format("")), F.translate(number, "0123456789", "abcdefghij")))
+        .alias("text"))
+    small = spark.createDataFrame([(n + i, "small", menu + "\nv" + chr(97 + i)) for i in range(11)]
+                                  + [(n + 20 + i, "fewer", menu + "\nv" + chr(97 + i)) for i in range(10)],
+                                  "doc_id long, source string, text string")
+    out = line_rules.line_rules(big.unionByName(small))
+    removed = {r.doc_id: (r.n_removed_words, r.kept) for r in
+               out.where(f"doc_id < 300 or doc_id >= {n}").collect()}
+    assert removed == {i: (0, False) if i >= n + 20 else (36, False) for i in removed}
+    assert out.where(f"doc_id >= 300 and doc_id < {n} and n_removed_words > 0").count() == 0
+
+
 # ------------------------------------------------------------------ language model
 @pytest.mark.parametrize("tokens_per_range", [500_000, 4000])
 def test_model_scores(spark, monkeypatch, tokens_per_range):
