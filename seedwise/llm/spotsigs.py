@@ -34,7 +34,7 @@ ANCHORS = (
     "al como con del el es esta lo los las más no para por se su una y"
 ).split()
 CHAIN = 2
-#: Words looked at behind an anchor for its chain.
+#: A content word without an anchor in so many words behind it stands for itself.
 REACH = 8
 SPLIT = r"[\x20\x09-\x0D]+"
 EDGE_SIGNS = ".,;:!?()\"'|#*$%&<>"
@@ -45,23 +45,39 @@ def _tokens(text: Column) -> Column:
     return F.filter(F.split(spaced, SPLIT), lambda w: w != "")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once and not at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spots(tokens: Column) -> Column:
-    def chain(w: Column, i: Column) -> Column:
-        behind = F.slice(tokens, i + 2, REACH)
-        content = F.filter(behind, lambda c: ~c.isin(ANCHORS))
-        return (F.when(w.isin(ANCHORS), F.when(F.size(content) >= CHAIN, F.hash(
-                    w, *[F.get(content, F.lit(k)) for k in range(CHAIN)])))
-                .when(~F.exists(behind, lambda c: c.isin(ANCHORS)), F.hash(w)))
-    return F.transform(tokens, chain)
+    marked = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i"),
+                                                       w.isin(ANCHORS).alias("anchor")))
+
+    def signatures(anchors: Column, content: Column) -> Column:
+        # the j-th anchor, at position i, has i - j content words before it; the c-th
+        # content word, at position i, has i - c anchors before it
+        chains = F.transform(anchors, lambda s, j: F.when(
+            s["i"] - j + CHAIN <= F.size(content),
+            F.hash(s["w"], *[F.get(content, s["i"] - j + k)["w"] for k in range(CHAIN)])))
+        alone = F.transform(content, lambda s, c: F.when(
+            F.coalesce(F.get(anchors, s["i"] - c)["i"] > s["i"] + REACH, F.lit(True)),
+            F.hash(s["w"])))
+        return F.array_compact(F.concat(chains, alone))
+
+    found = _bound(marked, lambda m: _bound(
+        F.filter(m, lambda s: s["anchor"]), lambda anchors: _bound(
+            F.filter(m, lambda s: ~s["anchor"]), lambda content: signatures(anchors, content))))
+    return _bound(found, lambda f: F.when(F.size(f) > 0, f).otherwise(
+        F.transform(tokens, lambda w: F.hash(w))))
 
 
 def signature_set(text: Column) -> Column:
-    """Sorted distinct signature hashes of a text. A word with no anchor among the ``REACH``
-    words behind it stands for itself, so tables and lists without common words, and very
-    short texts, have signatures too; a text without words has the empty set."""
-    # the array of words is bound once by a one-element transform
-    spots = F.get(F.transform(F.array(_tokens(text)), _spots), F.lit(0))
-    return F.sort_array(F.array_distinct(F.array_compact(spots)))
+    """Sorted distinct signature hashes of a text. An anchor's chain is searched to the end of
+    the text. A content word with no anchor among the ``REACH`` words behind it stands for
+    itself, so tables and lists without common words have signatures too; where a whole text
+    yields none, each of its words does. Only a text without words has the empty set."""
+    return F.sort_array(F.array_distinct(_bound(_tokens(text), _spots)))
 
 
 def as_string(signatures: Column) -> Column:

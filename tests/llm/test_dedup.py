@@ -113,6 +113,38 @@ def test_edited_texts_and_next_documents(spark):
     assert all(len(v) == 1 for v in same.values())
 
 
+def test_chains_reach_to_the_end_and_no_text_with_words_is_empty(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(7)
+    common = ["the", "of", "to", "and", "der", "la"]
+    texts = ["Eser thed nt of.", "Edstou reinan ed for.", "This.", "the of and", "of the to", "",
+             "!? ...", None, "the first word", "a b", "the " * 30 + "deep sea", "word " * 20]
+    texts += [" ".join(rnd.choice(common) if rnd.random() < p else f"w{rnd.randrange(9)}"
+                       for _ in range(rnd.randrange(1, 80))) for p in (0.1, 0.5, 0.9) for _ in range(40)]
+    spans, wanted = set(), []
+    for t in texts:
+        w = words(t.lower().translate(str.maketrans(dict.fromkeys(spotsigs.EDGE_SIGNS, " ")))) if t else []
+        own = set()
+        for i, x in enumerate(w):
+            content = [y for y in w[i + 1:] if y not in spotsigs.ANCHORS][:2]
+            if x in spotsigs.ANCHORS:
+                own |= {(x, *content)} if len(content) == 2 else set()
+            elif not any(y in spotsigs.ANCHORS for y in w[i + 1:i + 9]):
+                own.add((x,))
+        wanted.append(own or {(x,) for x in w})
+        spans |= wanted[-1]
+    spans = sorted(spans)
+    hashed = spark.createDataFrame([(k, list(s)) for k, s in enumerate(spans)], "k int, s array<string>") \
+        .select("k", F.when(F.size("s") == 3, F.hash(*[F.get("s", F.lit(j)) for j in range(3)]))
+                .otherwise(F.hash(F.get("s", F.lit(0)))).alias("h")).collect()
+    number = {spans[r.k]: r.h for r in hashed}
+    got = {r.doc_id: r for r in spotsigs.fingerprints(frame(spark, texts)).collect()}
+    for i, own in enumerate(wanted):
+        assert got[i].signatures == sorted({number[s] for s in own}), texts[i]
+    assert [i for i in got if not got[i].fingerprint] == [5, 6, 7]
+    assert len({got[i].fingerprint for i in (0, 1, 2, 3)}) == 4
+
+
 def test_spot_classes_match_all_pairs(spark):
     base = documents(spark, SF).limit(40).collect()
     rnd = random.Random(5)
