@@ -8,7 +8,8 @@ the last return the columns of ``documents``:
 3. repeats: bytes covered by a 200-byte string found anywhere else go, and rows that lose
    their whole text;
 4. mixing: every row comes out as often as its source's target rate and draw say;
-5. packing: the rows become pieces of at most 2048 tokens, placed in sequences.
+5. packing: the rows become pieces of at most 2048 tokens, with their ids, placed in
+   sequences; ``packing.sequences`` joins the pieces of the result to the packed corpus.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # a small table of words: the workers still hold what the earlier stages loaded
-    return packing.pack(docs, keep_ids=False, key_bytes=300_000).drop("ids")
+    return packing.pack(docs, key_bytes=300_000)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats),

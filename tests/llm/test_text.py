@@ -107,6 +107,19 @@ def test_packing_of_a_table(spark, library):
         assert joined[r.sequence_id][4 * r.offset:4 * (r.offset + r.length)] == bytes(r.ids)
 
 
+def test_the_pipeline_ends_in_the_packed_corpus(spark, library):
+    import corpus_pipeline
+    docs = documents(spark, SF).limit(60)
+    want = {r.doc_id: ids(library, r.text) + [0] for r in docs.collect()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    rows = packed.collect()
+    joined = {r.sequence_id: bytes(r.ids) for r in packing.sequences(packed).collect()}
+    for r in rows:
+        own = np.frombuffer(joined[r.sequence_id], "<u4")[r.offset:r.offset + r.length]
+        assert own.tolist() == want[r.doc_id][r.start:r.start + r.length]
+    assert sum(r.length for r in rows) == sum(map(len, want.values()))
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(spark, rule):
     rnd = random.Random(8)
