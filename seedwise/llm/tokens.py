@@ -170,7 +170,7 @@ def _cut(word: bytes) -> list[bytes]:
     if stem == word or not stem:
         return [word]
     end = stem[-1:]
-    if end.isalpha() or end >= b"\x80" and _kind(stem.decode("utf-8", "replace")[-1]) == "L":
+    if end.isalpha() or end >= b"\x80" and _kind(_plain(stem.decode("utf-8", "replace")[-1])[-1]) == "L":
         return [stem, word[len(stem):]]
     return [word]
 
@@ -332,16 +332,26 @@ def _kind(ch: str) -> str:
     return "L" if cat[0] == "L" else "N" if cat[0] == "N" else "S"
 
 
+def _plain(ch: str) -> str:
+    """A character as the vocabulary's normaliser leaves it: composed, then in lower case,
+    which may be several characters (a dotted capital I ends in a combining mark)."""
+    return unicodedata.normalize("NFC", ch).lower()
+
+
 def safe_runs(word: str) -> list[str]:
     """Cut a long word where no token, composition or special string can span the cut:
-    beside a digit, or between a letter and a sign other than an apostrophe."""
+    beside a digit, or between a letter and a sign other than an apostrophe, and never
+    beside a character whose normal form begins or ends with a mark at the cut."""
     if "<|" in word or not unicodedata.is_normalized("NFC", word) or re.search(r"\s", word):
         return [word]
     out, start = [], 0
-    kinds = [_kind(c) for c in word]
+    edges = [(p[0], p[-1]) for p in map(_plain, word)]
+    kinds = [(_kind(a), _kind(b)) for a, b in edges]
+    marks = [unicodedata.category(a)[0] == "M" or unicodedata.category(b)[0] == "M"
+             for a, b in edges]
     for i in range(1, len(word)):
-        a, b = kinds[i - 1], kinds[i]
-        if "'" in (word[i - 1], word[i]) or unicodedata.category(word[i])[0] == "M":
+        a, b = kinds[i - 1][1], kinds[i][0]
+        if "'" in (word[i - 1], word[i]) or marks[i - 1] or marks[i]:
             continue
         if a != b or a == "N":
             out.append(word[start:i])

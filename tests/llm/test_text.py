@@ -49,6 +49,34 @@ def test_count_at_every_prefix(library, text):
         assert cut == max(i for i, c in enumerate(counts) if c <= budget)
 
 
+#: Letters whose lower case or normal form is another, longer or shorter string, marks, and
+#: forms of compatibility, beside signs, digits and apostrophes.
+ODD = ["\u0130", "\u0131", "\u01f0", "\u0149", "\u1e9e", "\u00df", "\ufb01", "\ufb03", "\u212a", "\u212b",
+       "\u2126", "\u0301", "\u0307", "\u0344", "\u0340", "\u0374", "\u037e", "\u0387", "\u1fbe", "\u1f71",
+       "\u03a3", "\u03c2", "\u0958", "\u09dc", "\u0e33", "\u1100", "\u1161", "\u11a8", "\uac00", "\uf900",
+       "\uff21", "\uff11", "\u00b2", "\u00bd", "\u2160", "\u24b6", "\U0001d400", "\u200d", "\ufe0f", "\u0e01"]
+SIGNS = [".", ",", "!", "?", ";", ":", "|", "'", "\"", "-", "(", "<|", "|>", "'s", "...", "?!", "1", "42"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_odd_letters_beside_signs(library, seed):
+    rnd = random.Random(seed)
+    texts = ["M\u0130?", "DE\u011e\u0130L M\u0130?", "\u0130.", "x" * 70 + "\u0130?", "\u0130?" * 40,
+             *[a + b + c for a in ODD for b in SIGNS[:8] for c in ("", "a", "\u0130")][seed::3]]
+    for _ in range(700):
+        size = rnd.choice([2, 4, 8, 60])
+        texts.append("".join(rnd.choice(rnd.choice([ODD, ODD, SIGNS, ["a", "B", "e", "the", " "]]))
+                             for _ in range(size)))
+    raws = [t.encode() for t in texts]
+    words_table, steps_table = tokens.WordIds(library), tokens.PrefixSteps(library)
+    for t, got, steps in zip(texts, words_table.of_texts(raws), steps_table.of_texts(raws)):
+        assert np.frombuffer(got, "<u4").tolist() == ids(library, t), t
+        step = np.frombuffer(steps, "<i2")
+        assert len(step) == len(t) and step.sum() == len(ids(library, t)), t
+        for i in {len(t) // 2, len(t) - 1, max(0, len(t) - 2)}:
+            assert step[:i].sum() == len(ids(library, t[:i])), t[:i]
+
+
 def test_long_runs_by_dynamic_programming(library):
     rnd = random.Random(4)
     run = tokens.RunCounter(library)
