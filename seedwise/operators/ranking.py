@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedwise.operators.numbering import ordered_index
+from seedwise.operators.selection import Wanted, cuts
 
 
 def rank_order(score: str = "score", id_col: str = "user_id") -> list[Column]:
@@ -15,7 +16,7 @@ def rank_order(score: str = "score", id_col: str = "user_id") -> list[Column]:
 
 
 # Largest k served by ``TakeOrderedAndProject``, where every task keeps k rows and
-# one task merges them; a larger k is cut from a distributed numbering instead.
+# one task merges them; a larger k is selected by histogram refinement.
 TAKE_ORDERED_MAX = 10_000
 
 
@@ -23,8 +24,8 @@ def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "user_i
     """The ``k`` best rows; ``k <= 0`` means every row.
 
     Small k: ``orderBy().limit(k)`` (``TakeOrderedAndProject``). k above
-    ``TAKE_ORDERED_MAX``: rows are numbered by ``ordered_index`` (range buckets)
-    and ``rank <= k`` is kept, so no task holds k rows. Every row: a
+    ``TAKE_ORDERED_MAX``: a few aggregates find the k-th score (and, among rows of that
+    score, the id that ends the list); a filter and a sort of k rows follow. Every row: a
     range-partitioned global sort.
     """
     order = rank_order(score, id_col)
@@ -32,8 +33,41 @@ def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "user_i
         return scored.orderBy(*order)
     if k <= TAKE_ORDERED_MAX:
         return scored.orderBy(*order).limit(k)
-    r = ordered_index(scored, [], order, idx_col="_r")
-    return r.where(F.col("_r") < k).drop("_r").orderBy(*order)
+    return _selected(scored, k, score, id_col).orderBy(*order)
+
+
+def _selected(scored: DataFrame, k: int, score: str, id_col: str) -> DataFrame:
+    """The k best rows in any order. ``scored`` is read once per aggregate."""
+    s = F.col(score).cast("double")
+    cut = cuts(scored, [Wanted(s, k)])[0]
+    if cut.odd:                         # null, NaN or infinite scores: number every row
+        r = ordered_index(scored, [], rank_order(score, id_col), idx_col="_r")
+        return r.where(F.col("_r") < k).drop("_r")
+    if cut.lo is None or cut.covered <= k:
+        return scored if cut.lo is None else scored.where(s >= F.lit(cut.lo))
+    ties, left = scored.where(s == F.lit(cut.lo)), k - cut.above
+    return scored.where(s > F.lit(cut.lo)).unionByName(_first_ids(ties, left, id_col))
+
+
+def _first_ids(ties: DataFrame, k: int, id_col: str) -> DataFrame:
+    """``k`` rows of the smallest ids, of more than k rows. Integral ids are selected by
+    their high and then their low 32 bits, which doubles hold exactly; others are numbered."""
+    if dict(ties.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint") \
+            or ties.where(F.col(id_col).isNull()).limit(1).count():
+        r = ordered_index(ties, [], [F.col(id_col).asc()], idx_col="_r")
+        return r.where(F.col("_r") < k).drop("_r")
+    long = F.col(id_col).cast("bigint")
+    out, rest = None, ties
+    for part in (F.shiftright(long, 32), long.bitwiseAND(F.lit(0xFFFFFFFF))):
+        small = -part.cast("double")
+        cut = cuts(rest, [Wanted(small, k)])[0]
+        if cut.covered <= k:
+            chosen = rest.where(small >= F.lit(cut.lo))
+            return chosen if out is None else out.unionByName(chosen)
+        before = rest.where(small > F.lit(cut.lo))
+        out = before if out is None else out.unionByName(before)
+        rest, k = rest.where(small == F.lit(cut.lo)), k - cut.above
+    return out.unionByName(rest.limit(k))       # rows of one id and one score: any of them
 
 
 def all_ranked(scored: DataFrame, score: str = "score", id_col: str = "user_id",
