@@ -42,6 +42,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def hash_sample(df: DataFrame, most: int, key: list[Column]) -> DataFrame:
+    """At most ``most`` distinct rows of ``df``, those of the least hash of ``key``, with all
+    columns and ``_copies``, the number of such rows.
+
+    The rows are counted first and cut to a hash below ``most`` / count and a margin, so what
+    the tasks send on is about ``most`` rows in all, not so many each; rows that repeat are
+    added up before that, however many there are.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    n = df.count()
+    if n > most:
+        # the number of rows below the share is binomial: eight deviations beyond the mean
+        share = min(1.0, (most + 8 * most ** 0.5 + 64) / n)
+        unit = F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 32))
+        df = df.where(unit < F.lit(int(share * (1 << 32))))
+    return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+            .orderBy(F.xxhash64(*key, F.lit("sample")), *key).limit(most))
+
+
+def slices(n: int, most: int = 1024):
+    """Parts of a batch: what a task makes of texts stays small."""
+    for lo in range(0, n, most):
+        yield slice(lo, min(n, lo + most))
+
+
 def tidy(run):
     """``run``, giving freed memory back at the end of a task: a worker process is kept for
     later tasks, and what its allocators hold would count against the executor."""

@@ -2,12 +2,15 @@
 
 Method: two classifiers look at a document through separate views, the text's content
 and the page's metadata. Both are fitted on labelled rows. In every round each names the
-rows of an unlabelled pool it is surest of, good and bad, and these enter the other's
-training set as pseudo-labels. At the end each view is calibrated (Platt scaling) on
-labelled rows kept apart, and the calibrated log-odds are combined.
-
-Fitting uses a bounded sample, chosen by a hash of the id: ``labelled`` and ``pool`` rows
-at most (see :class:`Sample`). Scoring reads all documents in one pass without a shuffle.
+unlabelled documents it is surest of, good and bad, and these enter the other's training
+set as pseudo-labels. At the end each view is calibrated (Platt scaling) on labelled rows
+kept apart, and the calibrated log-odds are combined.
+
+One pass over all texts writes the features; everything else reads these. Fitting uses a
+bounded sample of labelled rows (``Sample.labelled``, drawn by a hash of the row). The
+pseudo-labels of a round come from all unlabelled documents: one pass scores them by both
+views, a few aggregates find the scores that the surest lie above, and these rows alone
+come to the driver. Documents alike in all features count once there.
 """
 
 from __future__ import annotations
@@ -15,21 +18,22 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import id_remainder, text_or_empty, tidy, utf8_column
+from seedwise.llm.common import hash_sample, id_remainder, slices, stage, text_or_empty, tidy
 from seedwise.llm.linear_model import LinearModel, fit, platt, sigmoid
+from seedwise.operators.selection import Wanted, cuts
 
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the rows that fitting looks at, and the co-training schedule."""
+    """Bound of the labelled rows that fitting looks at, and the co-training schedule: the
+    rows that each view names in a round, among those it is at least so sure of."""
     labelled: int = 12_000
-    pool: int = 12_000
     rounds: int = 6
     per_round: int = 400
     sure: float = 0.9
@@ -37,8 +41,6 @@ class Sample:
 
 HELD_OUT = 5          # rows whose crc32(id) mod 5 is 0 are for calibration and tests only
 REJECT_BELOW = 0.35
-SOURCE_SLOTS = 16
-LANG_SLOTS = 8
 _LETTERS = re.compile(rb"[A-Za-z]")
 _UPPER = re.compile(rb"[A-Z]")
 _DIGIT = re.compile(rb"[0-9]")
@@ -62,21 +64,48 @@ def content_features(raw: bytes) -> list[float]:
             float(not tokens), raw.count(b"!!") / n, raw.count(b"|") / n]
 
 
-def metadata_features(raw: bytes, lang: str | None, source: str | None) -> list[float]:
-    """Where the page is from and how it is laid out: language, source, length, lines."""
+def layout_features(raw: bytes) -> list[float]:
+    """How the page is laid out: length and lines."""
     lines = [x.strip() for x in raw.split(b"\n")]
     full = [x for x in lines if x]
     k = max(1, len(full))
     lengths = [len(x) for x in full] or [0]
     mean = sum(lengths) / k
     ends = sum(1 for x in full if x[-1:] in b".?") / k
-    out = [np.log1p(len(raw)), np.log1p(len(full)), np.log1p(mean), np.log1p(max(lengths)),
-           len(set(full)) / k, ends, sum(1 for x in lengths if x < 30) / k,
-           (len(lines) - len(full)) / max(1, len(lines))]
-    slots = [0.0] * (LANG_SLOTS + SOURCE_SLOTS)
-    slots[zlib.crc32((lang or "").encode()) % LANG_SLOTS] = 1.0
-    slots[LANG_SLOTS + zlib.crc32((source or "").encode()) % SOURCE_SLOTS] = 1.0
-    return out + slots
+    return [np.log1p(len(raw)), np.log1p(len(full)), np.log1p(mean), np.log1p(max(lengths)),
+            len(set(full)) / k, ends, sum(1 for x in lengths if x < 30) / k,
+            (len(lines) - len(full)) / max(1, len(lines))]
+
+
+N_CONTENT, N_LAYOUT = len(content_features(b"")), len(layout_features(b""))
+
+
+@dataclass
+class Origins:
+    """A number for each language and each source of the fitting sample, and one for all
+    others: the metadata view has a weight for each."""
+    langs: dict = field(default_factory=dict)
+    sources: dict = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, langs, sources) -> "Origins":
+        return cls(*({v: i + 1 for i, v in enumerate(sorted({x or "" for x in own}))}
+                     for own in (langs, sources)))
+
+    @property
+    def width(self) -> int:
+        return len(self.langs) + len(self.sources) + 2
+
+    def matrix(self, layout: np.ndarray, langs, sources) -> np.ndarray:
+        """Layout features and one slot set for the language, one for the source."""
+        n = len(layout)
+        out = np.zeros((n, N_LAYOUT + self.width))
+        out[:, :N_LAYOUT] = layout
+        at = np.arange(n)
+        out[at, [N_LAYOUT + self.langs.get(v or "", 0) for v in langs]] = 1.0
+        out[at, [N_LAYOUT + len(self.langs) + 1 + self.sources.get(v or "", 0)
+                 for v in sources]] = 1.0
+        return out
 
 
 @dataclass
@@ -93,6 +122,7 @@ class View:
 class CoTrained:
     content: View
     metadata: View
+    origins: Origins
     prior: float
     weights: tuple[float, float]
 
@@ -104,36 +134,65 @@ class CoTrained:
         return sigmoid(z)
 
 
-def cotrain(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, calibrate: np.ndarray,
+@dataclass
+class Rows:
+    """Feature rows in memory: both views, and the key of each row."""
+    content: np.ndarray
+    layout: np.ndarray
+    langs: list
+    sources: list
+    keys: list
+
+    @classmethod
+    def of(cls, rows: list) -> "Rows":
+        return cls(np.array([r["content"] for r in rows], float).reshape(-1, N_CONTENT),
+                   np.array([r["layout"] for r in rows], float).reshape(-1, N_LAYOUT),
+                   [r["lang"] for r in rows], [r["source"] for r in rows], [r["key"] for r in rows])
+
+    def views(self, origins: Origins) -> tuple[np.ndarray, np.ndarray]:
+        return self.content, origins.matrix(self.layout, self.langs, self.sources)
+
+
+def cotrain(rows: Rows, y: np.ndarray, calibrate: np.ndarray, name_surest=None,
             sample: Sample = Sample()) -> CoTrained:
-    """``y`` is 1, 0 or nan (pool); ``calibrate`` marks labelled rows kept apart."""
-    views = (content, metadata)
-    labelled = ~np.isnan(y) & ~calibrate
-    pool = np.isnan(y)
-    given = [np.where(labelled, y, np.nan), np.where(labelled, y, np.nan)]
-    trust = [labelled.astype(float), labelled.astype(float)]
-
-    def train(k):
-        rows = ~np.isnan(given[k])
-        return fit(views[k][rows], given[k][rows], trust[k][rows])
-
-    models = [train(0), train(1)]
-    for _ in range(sample.rounds if labelled.any() and pool.any() else 0):
-        share = float(np.mean(y[labelled]))
-        for k in (0, 1):
-            p = models[k].probability(views[k])
-            free = pool & np.isnan(given[1 - k])
-            for label, sure, quota in ((1.0, p, share), (0.0, 1 - p, 1 - share)):
-                rows = np.flatnonzero(free & (sure >= sample.sure))
-                most = max(1, int(sample.per_round * quota))
-                rows = rows[np.argsort(-sure[rows], kind="stable")[:most]]
-                given[1 - k][rows] = label
-                trust[1 - k][rows] = 0.5
-        models = [train(0), train(1)]
-    c = calibrate & ~np.isnan(y)
-    share = np.clip(np.nanmean(y) if (~np.isnan(y)).any() else 0.5, 1e-3, 1 - 1e-3)
+    """``rows`` are labelled (``y`` is 1 or 0), ``calibrate`` marks those kept apart.
+
+    ``name_surest(models, origins, quotas, used)`` gives, for each of the two views and each
+    label, feature rows that the view is surest of among all unlabelled documents, at most
+    the quota; ``used[k]`` are the keys that view k has named before. None: no such
+    documents.
+    """
+    train = ~calibrate
+    origins = Origins.of([v for v, t in zip(rows.langs, train) if t],
+                         [v for v, t in zip(rows.sources, train) if t])
+    views = rows.views(origins)
+    xs = [[v[train]] for v in views]
+    ys = [[y[train]], [y[train]]]
+    trust = [[np.ones(int(train.sum()))], [np.ones(int(train.sum()))]]
+    used: tuple[set, set] = (set(), set())
+
+    def models():
+        return [fit(np.concatenate(xs[k]), np.concatenate(ys[k]), np.concatenate(trust[k]))
+                for k in (0, 1)]
+
+    current = models()
+    share = float(np.mean(y[train])) if train.any() else 0.5
+    quotas = {1: max(1, int(sample.per_round * share)), 0: max(1, int(sample.per_round * (1 - share)))}
+    for _ in range(sample.rounds if name_surest and train.any() else 0):
+        found = name_surest(current, origins, quotas, used)
+        if not any(len(r.keys) for r in found.values()):
+            break
+        for (k, label), named in found.items():
+            if named.keys:
+                used[k].update(named.keys)
+                xs[1 - k].append(named.views(origins)[1 - k])      # for the other view
+                ys[1 - k].append(np.full(len(named.keys), float(label)))
+                trust[1 - k].append(np.full(len(named.keys), 0.5))
+        current = models()
+    c = calibrate
+    share = np.clip(np.mean(y) if len(y) else 0.5, 1e-3, 1 - 1e-3)
     prior = float(np.log(share / (1 - share)))
-    done = [View(m, *platt(m.margin(x[c]), y[c])) for m, x in zip(models, views)]
+    done = [View(m, *platt(m.margin(x[c]), y[c])) for m, x in zip(current, views)]
     weights = (1.0, 1.0)
     if c.sum() >= 50 and 0 < y[c].mean() < 1:
         # views overlap, so their evidence is weighted rather than simply added
@@ -143,81 +202,131 @@ def cotrain(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, calibrate:
         prior = float(m.bias - (m.weights / m.scale) @ m.mean)
         done = [View(v.model, v.a, v.b - share0 + prior) for v, share0 in
                 zip(done, (np.log(share / (1 - share)),) * 2)]
-    return CoTrained(done[0], done[1], prior, weights)
+    return CoTrained(done[0], done[1], origins, prior, weights)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> CoTrained:
-    """Fit on at most ``sample.labelled`` labelled and ``sample.pool`` other rows, those with
-    the smallest hash of the id. Labels that are null or neither 0 nor 1 are ignored; of
-    several labels of one id the smallest counts."""
-    given = (labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.min("quality").cast("double").alias("_y")))
-    rows = docs.select(F.col("doc_id").alias("_doc"), text_or_empty().alias("_text"),
-                       F.col("lang").cast("string").alias("_lang"),
-                       F.col("source").cast("string").alias("_source"))
-    ids = rows.select("_doc").join(given, F.col("_doc") == F.col("_id"), "left")
-    order = [F.xxhash64("_doc"), F.col("_doc")]
-    chosen = ids.where("_y is not null").orderBy(*order).limit(sample.labelled).unionByName(
-        ids.where("_y is null").orderBy(*order).limit(sample.pool)).select(
-        F.col("_doc").alias("_pick"), "_y").dropDuplicates(["_pick"])
-    picked = rows.join(F.broadcast(chosen), F.col("_doc").eqNullSafe(F.col("_pick")))  # bounded
-    feature_rows = _features(picked.select(
-        F.col("_doc"), "_text", "_lang", "_source", "_y",
-        (id_remainder(HELD_OUT, "_doc") == 0).alias("_held")))
-    got = feature_rows.orderBy("_doc").limit(sample.labelled + sample.pool).collect()
-    y = np.array([np.nan if r["_y"] is None else r["_y"] for r in got], float)
-    held = np.array([r["_held"] for r in got], bool)
-    wide = len(content_features(b"")), len(metadata_features(b"", None, None))
-    content = np.array([r["content"] for r in got], float).reshape(-1, wide[0])
-    metadata = np.array([r["metadata"] for r in got], float).reshape(-1, wide[1])
-    return cotrain(content, metadata, y, held & ~np.isnan(y), sample)
+def feature_column():
+    """An Arrow UDF text -> (content, layout)."""
+    from pyspark.sql.functions import arrow_udf
+    from pyspark.sql.pandas.functions import ArrowUDFType
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        numbers = pa.list_(pa.float32())
+        for texts in batches:
+            for part in slices(len(texts)):
+                raws = texts[part].cast(pa.binary()).to_pylist()
+                yield pa.StructArray.from_arrays(
+                    [pa.array([content_features(r) for r in raws], numbers),
+                     pa.array([layout_features(r) for r in raws], numbers)], names=["content", "layout"])
+
+    return arrow_udf(tidy(run), "content array<float>, layout array<float>", ArrowUDFType.SCALAR_ITER)
+
 
+def feature_table(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The one pass over all texts, written: (_row, _id, lang, source, content, layout), where
+    ``_row`` holds the columns ``keep`` of each row."""
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
+    made = docs.select(row, F.col("doc_id").alias("_id"), F.col("lang").cast("string").alias("lang"),
+                       F.col("source").cast("string").alias("source"),
+                       feature_column()(text_or_empty()).alias("_f"))
+    return stage(made.select("_row", "_id", "lang", "source", "_f.content", "_f.layout"), "features")
 
-def _features(rows: DataFrame) -> DataFrame:
+
+def _margins(rows: DataFrame, models, origins: Origins) -> DataFrame:
+    """(key, a, b): the margins of the content and of the metadata view."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            raws = utf8_column(batch, "_text")
-            langs, sources = batch.column("_lang").to_pylist(), batch.column("_source").to_pylist()
+            n = batch.num_rows
+            content = np.array(batch.column("content").to_pylist(), float).reshape(n, N_CONTENT)
+            layout = np.array(batch.column("layout").to_pylist(), float).reshape(n, N_LAYOUT)
+            metadata = origins.matrix(layout, batch.column("lang").to_pylist(),
+                                      batch.column("source").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), batch.column("_y"), batch.column("_held"),
-                 pa.array([content_features(r) for r in raws], pa.list_(pa.float64())),
-                 pa.array([metadata_features(r, a, b) for r, a, b in zip(raws, langs, sources)],
-                          pa.list_(pa.float64()))],
-                names=["_doc", "_y", "_held", "content", "metadata"])
-
-    kind = rows.schema["_doc"].dataType.simpleString()
-    return rows.mapInArrow(tidy(run), f"_doc {kind}, _y double, _held boolean, "
-                                "content array<double>, metadata array<double>")
+                [batch.column("key"), pa.array(models[0].margin(content)),
+                 pa.array(models[1].margin(metadata))], names=["key", "a", "b"])
+
+    return rows.mapInArrow(tidy(run), "key long, a double, b double")
+
+
+def _key_in(keys) -> Column:
+    """``key`` is one of a few thousand numbers, given as one expression."""
+    return F.expr(f"key IN ({', '.join(map(str, sorted(keys)))})") if keys else F.lit(False)
+
+
+def _surest(pool: DataFrame, sample: Sample):
+    """``name_surest`` of :func:`cotrain` over the staged distinct feature rows ``pool``."""
+    least = float(np.log(sample.sure / (1 - sample.sure)))
+
+    def name(models, origins, quotas, used):
+        scored = stage(_margins(pool, models, origins), "margins")
+        sides = [(k, label, F.col("ab"[k]) * (1 if label else -1)) for k in (0, 1) for label in (1, 0)]
+        wanted = [Wanted(s, quotas[label], (s >= least) & ~_key_in(used[k]))
+                  for k, label, s in sides]
+        among = F.lit(False)
+        for w, c in zip(wanted, cuts(scored, wanted, slack=10 * sample.per_round)):
+            if c.lo is not None:
+                among = among | (w.among & (w.score >= F.lit(c.lo)))
+        # some quotas of rows, and rows of equal scores: distinct features, so few
+        best = scored.where(among).collect()
+        named, rows = {}, {}
+        for (k, label, _) in sides:
+            sign = 1 if label else -1
+            own = [(-sign * r["ab"[k]], r["key"]) for r in best
+                   if sign * r["ab"[k]] >= least and r["key"] not in used[k]]
+            named[k, label] = [key for _, key in sorted(own)[:quotas[label]]]
+        keys = sorted({key for own in named.values() for key in own})
+        if keys:
+            rows = {r["key"]: r for r in pool.where(_key_in(keys)).collect()}
+        return {side: Rows.of([rows[key] for key in own]) for side, own in named.items()}
+
+    return name
+
+
+def fit_quality(features: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> CoTrained:
+    """Fit on a feature table: on at most ``sample.labelled`` labelled rows, drawn by a hash of
+    the row, and on the pseudo-labels of all others. Labels that are null or neither 0 nor 1
+    are ignored; of several labels of one id the smallest counts. Rows alike in all features
+    count once among the unlabelled."""
+    given = (labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("_lid"))
+             .agg(F.min("quality").cast("double").alias("_y")))
+    slim = features.select("_id", "lang", "source", "content", "layout", F.xxhash64(
+        "lang", "source", "content", "layout").alias("key"))
+    labelled = slim.join(given, F.col("_id") == F.col("_lid")).drop("_lid") \
+        .withColumn("_held", id_remainder(HELD_OUT, "_id") == 0)
+    got = hash_sample(labelled, sample.labelled, [F.col("_id"), F.col("key")]).collect()
+    # a null id has no label: these rows need no join, which would put them into one task
+    free = slim.where(F.col("_id").isNotNull()).join(given, F.col("_id") == F.col("_lid"), "left_anti")
+    pool = stage(free.unionByName(slim.where(F.col("_id").isNull())).groupBy("key").agg(
+        *[F.first(c).alias(c) for c in ("lang", "source", "content", "layout")]), "pool")
+    y = np.array([r["_y"] for r in got], float)
+    held = np.array([r["_held"] for r in got], bool)
+    return cotrain(Rows.of(got), y, held, _surest(pool, sample) if got else None, sample)
 
 
 def score_column(model: CoTrained):
-    """A pandas UDF (text, lang, source) -> probability of good quality."""
+    """A pandas UDF (content, layout, lang, source) -> probability of good quality."""
     from pyspark.sql.functions import pandas_udf
+    from pyspark.sql.pandas.functions import PandasUDFType
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
-        for texts, langs, sources in batches:
-            out = np.empty(len(texts))
-            for lo in range(0, len(texts), 1024):
-                part = slice(lo, lo + 1024)
-                raws = [t.encode("utf-8", "replace") for t in texts[part]]
-                c = np.array([content_features(r) for r in raws])
-                m = np.array([metadata_features(r, a, b)
-                              for r, a, b in zip(raws, langs[part], sources[part])])
-                out[part] = model.score(c, m)
-            yield pd.Series(out)
+        for content, layout, langs, sources in batches:
+            for part in slices(len(content)):
+                c = np.stack(content.iloc[part]).astype(float)
+                m = model.origins.matrix(np.stack(layout.iloc[part]).astype(float),
+                                         langs.iloc[part], sources.iloc[part])
+                yield pd.Series(model.score(c, m))
 
-    from pyspark.sql.pandas.functions import PandasUDFType
-    return pandas_udf(tidy(run), "double", PandasUDFType.SCALAR_ITER)
+    return pandas_udf(run, "double", PandasUDFType.SCALAR_ITER)
 
 
-def _scored(docs: DataFrame, labels: DataFrame, sample: Sample) -> DataFrame:
-    """(_row, quality_score): each row of ``docs`` as one struct, and its score."""
-    score = score_column(fit_quality(docs, labels, sample))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return docs.select(row, score(text_or_empty(), F.col("lang").cast("string"),
-                                  F.col("source").cast("string")).alias("quality_score"))
+def _scored(docs: DataFrame, labels: DataFrame, sample: Sample, keep: list[str]) -> DataFrame:
+    """(_row, quality_score): the columns ``keep`` of each row as one struct, and its score."""
+    features = feature_table(docs, keep)
+    score = score_column(fit_quality(features, labels, sample))
+    return features.select("_row", score("content", "layout", "lang", "source").alias("quality_score"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(),
@@ -228,8 +337,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()
     usable labels every score is the same; repeated rows are scored each; an empty table
     gives no rows; other columns are not read.
     """
-    slim = docs.select("doc_id", "text", "lang", "source")
-    return _scored(slim, labels, sample).select(
+    return _scored(docs, labels, sample, ["doc_id"]).select(
         "_row.doc_id", (id_remainder(HELD_OUT, "_row.doc_id") == 0).alias("held_out"),
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= reject_below).alias("keep"))
@@ -237,6 +345,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(),
               reject_below: float = REJECT_BELOW) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, columns as they are."""
-    return _scored(docs, labels, sample).where(
+    """The rows of ``docs`` that the classifier does not reject, columns as they are. The rows
+    are written once beside their features, so that no text is looked at twice."""
+    return _scored(docs, labels, sample, docs.columns).where(
         F.col("quality_score") >= reject_below).select("_row.*")

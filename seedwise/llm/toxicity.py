@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import id_remainder, stage, text_or_empty
+from seedwise.llm.common import hash_sample, id_remainder, slices, stage, text_or_empty, tidy
 from seedwise.llm.linear_model import LinearModel, fit, sigmoid
 
 # Insults by kind, one voter per list.
@@ -282,18 +282,19 @@ def notes(docs: DataFrame, voters: Voters, id_col: str = "doc_id") -> DataFrame:
         import pyarrow as pa
         find = voters.finder()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            hits = [find(t) for t in texts]
-            stats = [statistics(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([voters.votes(h, s) for h, s in zip(hits, stats)],
-                                           pa.int64()),
-                 pa.array(hits, pa.list_(pa.int32())), pa.array(stats, pa.list_(pa.float64()))],
-                names=["_id", "mask", "hits", "stats"])
+            for part in slices(batch.num_rows):
+                texts = batch.column(1)[part].to_pylist()
+                hits = [find(t) for t in texts]
+                stats = [statistics(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[part],
+                     pa.array([voters.votes(h, s) for h, s in zip(hits, stats)], pa.int64()),
+                     pa.array(hits, pa.list_(pa.int32())), pa.array(stats, pa.list_(pa.float64()))],
+                    names=["_id", "mask", "hits", "stats"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty().alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, mask long, hits array<int>, stats array<double>")
+    return rows.mapInArrow(tidy(run), f"_id {kind}, mask long, hits array<int>, stats array<double>")
 
 
 def learnable(labels: DataFrame, hold_out: int = HOLD_OUT) -> DataFrame:
@@ -303,11 +304,11 @@ def learnable(labels: DataFrame, hold_out: int = HOLD_OUT) -> DataFrame:
 
 
 def training_rows(noted: DataFrame, learning: Learning) -> DataFrame:
-    """The rows that train the classifier, drawn by the hash of the id alone: labelled and
-    unlabelled rows have the same share in the sample as in the table, at every size."""
-    return (noted.where(id_remainder(HOLD_OUT, "_id") != 1)
-            .orderBy(F.xxhash64("_id"), "_id", "mask").limit(learning.training)
-            .select("mask", "hits", "stats", "label"))
+    """The rows that train the classifier, drawn by a hash alone, never by the label: labelled
+    and unlabelled rows have the same share in the sample as in the table, at every size.
+    Rows alike in everything come once, with their number as ``_copies``."""
+    return hash_sample(noted.where(id_remainder(HOLD_OUT, "_id") != 1), learning.training,
+                       [F.col("_id"), F.col("mask"), F.col("hits"), F.col("stats")])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Learning(),
@@ -319,8 +320,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Lea
     an empty table gives no rows. Language, source and id are no input of a score.
     """
     known = learnable(labels)
-    order = [F.xxhash64("_lid"), F.col("_lid")]
-    picked = known.orderBy(*order).limit(learning.labelled)           # bounded
+    picked = hash_sample(known, learning.labelled, [F.col("_lid")]).drop("_copies")    # bounded
     sample = docs.select("doc_id", text_or_empty().alias("text")).join(
         F.broadcast(picked), F.col("doc_id") == F.col("_lid")).select("text", "label")
     voters = Voters.of(learn_stems(sample, learning), learning)
@@ -333,7 +333,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Lea
     x = made.features([r["hits"] for r in rows], [r["stats"] for r in rows])
     y = label_model.posterior(bits_of([r["mask"] for r in rows], voters.count)) \
         if rows else np.zeros(0)
-    made.model = fit(x, y, l2=1.0)
+    made.model = fit(x, y, np.array([r["_copies"] for r in rows], float), l2=1.0)
     score = _score_column(made)
     out = noted.withColumn("_s", score("mask", "hits", "stats"))
     return out.select(
