@@ -306,20 +306,20 @@ def fit_quality(features: DataFrame, labels: DataFrame, sample: Sample = Sample(
 
 
 def score_column(model: CoTrained):
-    """A pandas UDF (content, layout, lang, source) -> probability of good quality."""
-    from pyspark.sql.functions import pandas_udf
-    from pyspark.sql.pandas.functions import PandasUDFType
+    """An Arrow UDF (content, layout, lang, source) -> probability of good quality."""
+    from pyspark.sql.functions import arrow_udf
+    from pyspark.sql.pandas.functions import ArrowUDFType
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
         for content, layout, langs, sources in batches:
             for part in slices(len(content)):
-                c = np.stack(content.iloc[part]).astype(float)
-                m = model.origins.matrix(np.stack(layout.iloc[part]).astype(float),
-                                         langs.iloc[part], sources.iloc[part])
-                yield pd.Series(model.score(c, m))
+                c = np.array(content[part].to_pylist(), float)
+                m = model.origins.matrix(np.array(layout[part].to_pylist(), float),
+                                         langs[part].to_pylist(), sources[part].to_pylist())
+                yield pa.array(model.score(c, m))
 
-    return pandas_udf(run, "double", PandasUDFType.SCALAR_ITER)
+    return arrow_udf(tidy(run), "double", ArrowUDFType.SCALAR_ITER)
 
 
 def _scored(docs: DataFrame, labels: DataFrame, sample: Sample, keep: list[str]) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, tidy, utf8_column
-from seedwise.llm.tokens import KEY_BYTES, WordIds, groups, per_process
+from seedwise.llm.tokens import KEY_BYTES, WordIds, groups, load, per_process
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -53,7 +53,8 @@ class Slot:
 # ------------------------------------------------------------------ pieces
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  max_tokens: int = 2048, end_id: int = 0, vocabulary: str | None = None,
-                 keep_ids: bool = True, key_bytes: int = KEY_BYTES) -> DataFrame:
+                 keep_ids: bool = True, key_bytes: int = KEY_BYTES,
+                 keep_table: bool = True) -> DataFrame:
     """Each text as ids plus ``end_id``, cut into pieces of ``max_tokens`` (the last one
     shorter). A null text counts as empty and is the end id alone."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -63,7 +64,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import zlib
 
         import pyarrow as pa
-        table = per_process(WordIds, vocabulary, key_bytes)
+        table = per_process(WordIds, vocabulary, key_bytes) if keep_table \
+            else WordIds(load(vocabulary), key_bytes)
         end, step = struct.pack("<I", end_id), 4 * max_tokens
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
@@ -191,40 +193,41 @@ def assign(pieces: DataFrame, order_cols: list[str], capacity: Capacity = Capaci
     for s in slots:
         by_length.setdefault(s.length, []).append(s)
     table = {k: ([s.first for s in v], v) for k, v in by_length.items()}
-    schema = "sequence_id long, offset long"
 
     def place(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
         for lengths, ranks in batches:
             seq, off = [], []
-            for length, rank in zip(lengths.tolist(), ranks.tolist()):
+            for length, rank in zip(lengths.to_pylist(), ranks.to_pylist()):
                 firsts, own = table[length]
                 s = own[bisect.bisect_right(firsts, rank) - 1]
                 i, j = divmod(rank - s.first, s.per)
                 seq.append(s.base + i)
                 off.append(s.offset + j * length)
-            yield pd.DataFrame({"sequence_id": seq, "offset": off}, dtype="int64")
+            yield pa.StructArray.from_arrays([pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
+                                             names=["sequence_id", "offset"])
 
-    from pyspark.sql.functions import pandas_udf
-    from pyspark.sql.pandas.functions import PandasUDFType
-    place_udf = pandas_udf(place, schema, PandasUDFType.SCALAR_ITER)
+    from pyspark.sql.functions import arrow_udf
+    from pyspark.sql.pandas.functions import ArrowUDFType
+    place_udf = arrow_udf(place, "sequence_id long, offset long", ArrowUDFType.SCALAR_ITER)
     out = ranked.withColumn("_place", place_udf("length", "_rank"))
     return out.select(*pieces.columns, "_place.sequence_id", "_place.offset")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          capacity: Capacity = Capacity(), rule: str = "norm", vocabulary: str | None = None,
-         keep_ids: bool = True, key_bytes: int = KEY_BYTES) -> DataFrame:
+         keep_ids: bool = True, key_bytes: int = KEY_BYTES, keep_table: bool = True) -> DataFrame:
     """One row per piece: ``id_col``, piece, start, length, ids_crc32, ids (null unless
     ``keep_ids``), sequence_id, offset.
 
     Null texts count as empty (one end id); repeated rows are packed each; null ids are
     passed on; an empty table gives no rows; other columns are not read. Pieces without
     ids are written to the shared folder once, since ranks need two readings. ``key_bytes``
-    bounds each worker's table of words (some 70 bytes of memory each, in all).
+    bounds each worker's table of words (some 70 bytes of memory each, in all); with
+    ``keep_table`` a worker keeps it, and the vocabulary, for its later tasks.
     """
     pieces = token_pieces(docs, id_col, text_col, capacity.max_tokens, 0, vocabulary, keep_ids,
-                          key_bytes)
+                          key_bytes, keep_table)
     pieces = stage(pieces, "pieces")
     return assign(pieces, [id_col, "piece", "start", "ids_crc32"], capacity, rule)
 

@@ -28,7 +28,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import shuffle_partitions, stage, text_or_empty, tidy, utf8_column
+from seedwise.llm.common import (shuffle_partitions, slices, stage, text_or_empty, tidy,
+                                 utf8_column)
 
 LENGTH = 200
 GRAM = 40
@@ -552,24 +553,34 @@ def _with_id(rows: DataFrame, id_col: str) -> DataFrame:
         tidy(run), f"_id long, _h int, _doc {kind}, _z binary")
 
 
+def _cut_column(length: int):
+    """An Arrow UDF (text, marks) -> the text without its repeated bytes; null without text."""
+    from pyspark.sql.functions import arrow_udf
+    from pyspark.sql.pandas.functions import ArrowUDFType
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for texts, marks in batches:
+            for part in slices(len(texts), 256):
+                raws, runs = texts[part].cast(pa.binary()).to_pylist(), marks[part].to_pylist()
+                yield pa.array([r if r is None else _kept(r, covered(m, length)).decode("utf-8", "ignore")
+                                for r, m in zip(raws, runs)], pa.string())
+
+    return arrow_udf(tidy(run), "string", ArrowUDFType.SCALAR_ITER)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text (a code point that loses part
     of its bytes goes whole). Rows whose text is removed entirely are dropped; a column
     ``n_chars`` is set to the new length. Null and short texts stay as they are."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
-    def cut(texts, marks):
-        import pandas as pd
-        return pd.Series([_kept(t.encode("utf-8"), covered(m, length)).decode("utf-8", "ignore")
-                          for t, m in zip(texts, marks)])
-
+    cut = _cut_column(length)
     rows = _keyed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                               F.col(id_col), F.col(text_col)), id_col, text_col)
     joined = rows.select("_row", "_id", "_h", "_text").join(
         repeated_marks(rows, length), ["_id", "_h"], "left")
-    joined = joined.withColumn("_new", F.when(F.col("marks").isNotNull(), cut("_text", "marks"))) \
+    joined = joined.withColumn("_new", F.when(
+        F.col("marks").isNotNull(), cut(F.when(F.col("marks").isNotNull(), F.col("_text")), "marks"))) \
         .where("marks is null or _new != ''")
     hit = F.col("marks").isNotNull()
     out = {text_col: F.when(hit, F.col("_new")).otherwise(F.col(f"_row.`{text_col}`"))}
