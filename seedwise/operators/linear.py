@@ -28,3 +28,37 @@ def score_lr(model: LogisticRegressionModel, df: DataFrame, features: str = "fea
     scored = m.transform(df)
     val = F.col("_pred") if hard else vector_to_array("_prob")[1]
     return scored.withColumn(out, val.cast("double")).drop("_pred", "_prob", "_raw")
+
+
+def lr_gradient(model: LogisticRegressionModel, rows: DataFrame, positions: str = "positions",
+                label: str = "label", score: str = "score") -> DataFrame:
+    """L3: the gradient of the penalised loss at the fitted coefficients, per slot:
+    ``slot, n_set, positives, gradient``; slot -1 is the intercept.
+
+    ``rows`` are the training rows: hot positions (``array<int>``), label, and the model's
+    probability. With x in {0, 1}, the loss falls by mean((p - y) x) and the penalty, which
+    Spark puts on standardised coefficients, by lambda * var(x) * w. All of it follows from
+    sums over set positions; no dense vector is built. Slots that no row sets have a gradient
+    of 0 at a coefficient of 0, and no row here. The coefficients (one number per slot, which
+    the fitted model holds on the driver anyway) are looked up by a join.
+    """
+    spark = rows.sparkSession
+    y, miss = F.col(label).cast("double"), F.col(score) - F.col(label)
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("y"), F.sum(miss).alias("d")).first()
+    n = float(total["n"])
+    vector = model.coefficients
+    pairs = list(zip(vector.indices.tolist(), vector.values.tolist())) if hasattr(vector, "indices") \
+        else list(enumerate(vector.toArray().tolist()))
+    weights = spark.createDataFrame(pairs or [(-1, 0.0)], "slot int, _w double")
+    per_slot = (rows.select(y.alias("_y"), miss.alias("_d"),
+                            F.explode(F.array_distinct(positions)).alias("slot"))
+                .groupBy("slot").agg(F.count(F.lit(1)).alias("n_set"), F.sum("_y").alias("positives"),
+                                     F.sum("_d").alias("_d")))
+    c = F.col("n_set").cast("double")
+    variance = (c - c * c / n) / max(n - 1.0, 1.0)
+    gradient = F.col("_d") / n + F.lit(float(model.getRegParam())) * variance * F.coalesce("_w", F.lit(0.0))
+    slots = per_slot.join(weights, "slot", "left").select("slot", "n_set", "positives",
+                                                          gradient.alias("gradient"))
+    intercept = spark.createDataFrame([(-1, int(n), total["y"], (total["d"] or 0.0) / max(n, 1.0))],
+                                      "slot int, n_set long, positives double, gradient double")
+    return slots.unionByName(intercept)

@@ -11,11 +11,12 @@ from __future__ import annotations
 import json
 
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwise.constants import GBT_DEPTH, GBT_ITERATIONS, GBT_MIN_INSTANCES, GBT_STEP
 from seedwise.operators.numbering import ordered_index
+from seedwise.session import scratch_path
 
 GBT_SEED = 2017      # our own choice; any seed gives the same trees without subsampling
 
@@ -75,28 +76,105 @@ def leaf_dictionary(values: DataFrame, max_rows: int | None = None) -> DataFrame
                          max_rows=max_rows).withColumn("idx", F.col("idx").cast("int"))
 
 
-def leaf_value_map(model: GBTRegressionModel, vectors: DataFrame, per_leaf: DataFrame,
-                   id_col: str = "user_id", features: str = "features",
+def model_nodes(model: GBTRegressionModel) -> DataFrame:
+    """The node table of a model, read back from its written form: ``tree_id, node,
+    prediction, gain, n_rows, left, right, slot, left_categories``. A leaf has no children
+    (-1) and no slot. At most ``trees * (2^(depth + 1) - 1)`` rows, whatever the data."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "model-nodes")
+    model.write().overwrite().save(path)
+    node = F.col("nodeData")
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree_id"), node["id"].alias("node"),
+        node["prediction"].alias("prediction"), node["gain"].alias("gain"),
+        node["rawCount"].alias("n_rows"), node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("slot"),
+        node["split"]["leftCategoriesOrThreshold"].alias("left_categories"))
+
+
+def leaf_value_map(model: GBTRegressionModel, vectors: DataFrame | None = None,
+                   per_leaf: DataFrame | None = None, features: str = "features",
                    col: str = "tree_leaves", max_entries: int | None = None
                    ) -> dict[tuple[int, float], float]:
-    """(tree, leaf index) -> leaf value for every observed leaf.
+    """(tree, leaf index) -> leaf value, from the model's node table alone.
 
-    One representative vector per (tree, leaf) (that of the smallest id; rows of one id
-    keep their own vectors) is scored by the per-tree models; at most ``trees * 2^depth``
-    rows are scored and collected, whatever the data size. ``per_leaf`` holds the vector
-    column ``features`` beside the leaf indices, or is computed from ``vectors`` here.
+    Leaves are numbered from left to right, as ``leafCol`` numbers them, by walking the
+    links of the nodes; no row of data gives a value. Every leaf of a model holds rows of its
+    training set. For a model that meets other rows, ``per_leaf`` (leaf indices per row,
+    column ``col``; computed from ``vectors`` if only these are given) keeps the leaves that
+    occur there.
     """
-    if features not in per_leaf.columns:
+    if per_leaf is None and vectors is not None:
         per_leaf = tree_leaves(model, vectors, features, col)
-    reps = (per_leaf.select(id_col, features, F.posexplode(col).alias("tree_id", "leaf"))
-                    .groupBy("tree_id", "leaf")
-                    .agg(F.min_by(F.col(features), F.col(id_col)).alias(features)))
-    scored = tree_scores(model, reps, features).select(
-        "tree_id", "leaf", F.get("tree_scores", F.col("tree_id")).alias("value"))
-    rows = scored.limit(max_entries + 1).collect() if max_entries is not None else scored.collect()
-    if max_entries is not None and len(rows) > max_entries:
-        raise ValueError(f"more than {max_entries} observed leaves")
-    return {(r["tree_id"], float(r["leaf"])): r["value"] for r in rows}
+    children, value = {}, {}
+    for r in model_nodes(model).select("tree_id", "node", "prediction", "left", "right").collect():
+        children[r["tree_id"], r["node"]] = (r["left"], r["right"])
+        value[r["tree_id"], r["node"]] = r["prediction"]
+    out = {}
+    for t in range(len(model.trees)):
+        n, path = 0, [0]
+        while path:
+            node = path.pop()
+            left, right = children[t, node]
+            if left < 0:
+                out[t, float(n)] = value[t, node]
+                n += 1
+            else:
+                path += [right, left]
+    if per_leaf is not None:
+        # at most trees * 2^depth pairs; partial aggregation first
+        seen = {(r["t"], float(r["leaf"])) for r in
+                per_leaf.select(F.posexplode(col).alias("t", "leaf")).distinct().collect()}
+        out = {k: v for k, v in out.items() if k in seen}
+    if max_entries is not None and len(out) > max_entries:
+        raise ValueError(f"more than {max_entries} leaves")
+    return out
+
+
+def leaf_table(values: dict[tuple[int, float], float]) -> DataFrame:
+    """A5 from the node table: distinct ``(tree_id, leaf_value)`` of a leaf value map."""
+    rows = sorted({(t, v) for (t, _), v in values.items()})
+    return SparkSession.getActiveSession().createDataFrame(rows, "tree_id int, leaf_value double")
+
+
+def split_gains(train: DataFrame, positions: str = "positions", label: str = "label",
+                min_instances: int = GBT_MIN_INSTANCES) -> DataFrame:
+    """L1, first split: the variance gain of every slot over rows of hot positions
+    (``array<int>``), as an aggregate: ``slot, n_set, n_unset, mean_set, mean_unset, gain``.
+
+    Only set positions are counted; what is not set follows from the totals, so the cost
+    follows the positions and not the width. Slots with fewer than ``min_instances`` rows on
+    a side cannot be split on and are left out.
+    """
+    y = F.col(label).cast("double")
+    total = train.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s")).first()
+    n, s = F.lit(total["n"]), F.lit(total["s"])
+    per_slot = (train.select(y.alias("_y"), F.explode(F.array_distinct(positions)).alias("slot"))
+                .groupBy("slot").agg(F.count(F.lit(1)).alias("n_set"), F.sum("_y").alias("_s1")))
+    n1, s1 = F.col("n_set"), F.col("_s1")
+    n0, s0 = n - n1, s - s1
+    gain = (s0 * s0 / n0 + s1 * s1 / n1 - s * s / n) / n
+    return (per_slot.where((n1 >= min_instances) & (n0 >= min_instances) & (n0 > 0))
+            .select("slot", "n_set", n0.alias("n_unset"), (s1 / n1).alias("mean_set"),
+                    (s0 / n0).alias("mean_unset"), gain.alias("gain")))
+
+
+def first_split(model: GBTRegressionModel) -> DataFrame:
+    """The root of the first tree in the same columns as :func:`split_gains`, from the node
+    table. The slots must be marked as two-valued (V7)."""
+    nodes = model_nodes(model).where("tree_id = 0")
+    root = nodes.where("node = 0 and left >= 0").select(
+        "slot", "gain", "left", "right", F.array_contains("left_categories", 1.0).alias("_set_left"))
+    left = nodes.select(F.col("node").alias("left"), F.col("n_rows").alias("_nl"),
+                        F.col("prediction").alias("_ml"))
+    right = nodes.select(F.col("node").alias("right"), F.col("n_rows").alias("_nr"),
+                         F.col("prediction").alias("_mr"))
+    on, off = F.col("_set_left"), ~F.col("_set_left")
+    return root.join(left, "left").join(right, "right").select(
+        "slot", F.when(on, F.col("_nl")).otherwise(F.col("_nr")).alias("n_set"),
+        F.when(off, F.col("_nl")).otherwise(F.col("_nr")).alias("n_unset"),
+        F.when(on, F.col("_ml")).otherwise(F.col("_mr")).alias("mean_set"),
+        F.when(off, F.col("_ml")).otherwise(F.col("_mr")).alias("mean_unset"), "gain")
 
 
 def tree_values_from_leaves(per_leaf: DataFrame, values: dict[tuple[int, float], float],
@@ -135,18 +213,13 @@ class LeafCode:
         self.widths = widths if widths is not None else [len(s) for s in self.slots]
 
     @classmethod
-    def by_leaf_index(cls, model: GBTRegressionModel, vectors: DataFrame, per_leaf: DataFrame,
-                      id_col: str = "user_id", features: str = "features",
+    def by_leaf_index(cls, model: GBTRegressionModel, vectors: DataFrame | None = None,
+                      per_leaf: DataFrame | None = None, features: str = "features",
                       col: str = "tree_leaves", max_entries: int | None = None) -> "LeafCode":
-        """Value-keyed slots addressed by leaf index.
-
-        ``per_leaf`` holds every row's leaf indices (one ``leafCol`` pass). A
-        leaf's value depends only on (tree, leaf), so the per-tree models score
-        just one representative row per observed (tree, leaf): at most
-        ``trees * 2^depth`` rows instead of every row once per tree.
-        """
+        """Value-keyed slots addressed by leaf index, from the model's node table (see
+        :func:`leaf_value_map`)."""
         n_trees = len(model.trees)
-        value = leaf_value_map(model, vectors, per_leaf, id_col, features, col, max_entries)
+        value = leaf_value_map(model, vectors, per_leaf, features, col, max_entries)
         ordered = [sorted({v for (t, _), v in value.items() if t == tt}) for tt in range(n_trees)]
         slot_of = [{v: i for i, v in enumerate(vals)} for vals in ordered]
         code = cls([], n_trees, widths=[len(vals) for vals in ordered])

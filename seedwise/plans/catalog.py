@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from seedwise.functions.columns import date_key, has_token, multi_hot, tokens_or_empty
 from seedwise.functions.vectors import dense_to_vector, positions_to_vector
-from seedwise.operators import encode, evaluate, populations, ranking, trees
+from seedwise.operators import encode, evaluate, linear, populations, ranking, trees
 from seedwise.operators.populations import SeedSet
 from seedwise.plans import jobs, runs
 from seedwise.plans import profile as P
@@ -29,6 +29,7 @@ TOP_K = 100
 PREVIEW_ROWS = 10
 DOC_SCORE_SHIFT = 1000.0
 ROUND = 6
+GRADIENT_TOLERANCE = 1e-4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -507,8 +508,7 @@ def _per_tree_values(spark, sf):
     """V8 for every training row: leaf indices from one pass, values by look-up."""
     lf = _leaf(spark, sf)
     n_trees = len(lf.model.trees)
-    values = trees.leaf_value_map(lf.model, lf.vectors, lf.per_leaf,
-                                  max_entries=n_trees * 2 ** lf.model.getMaxDepth())
+    values = trees.leaf_value_map(lf.model, max_entries=n_trees * 2 ** lf.model.getMaxDepth())
     return trees.tree_values_from_leaves(lf.per_leaf, values, n_trees), lf
 
 
@@ -527,6 +527,55 @@ def q_leaf_dictionary(spark, sf):
     return trees.leaf_dictionary(trees.leaf_values(per), max_rows=sum(lf.code.widths))
 
 
+def q_leaf_dictionary_agrees(spark, sf):
+    """Per tree, whether the leaf values that rows of data get from each tree's own
+    model are those of the node table, and whether the dictionary numbers them 0, 1, …,
+    ascending."""
+    lf = _leaf(spark, sf)
+    n_trees = len(lf.model.trees)
+    table = trees.leaf_table(trees.leaf_value_map(lf.model))
+    scored = trees.leaf_values(trees.tree_scores(lf.model, lf.vectors.select("features")))
+    both = (table.withColumn("_t", F.lit(1)).join(scored.withColumn("_s", F.lit(1)),
+                                                  ["tree_id", "leaf_value"], "full"))
+    same = both.groupBy("tree_id").agg(
+        F.count_if(F.col("_t").isNull() | F.col("_s").isNull()).alias("n_unmatched"))
+    entries = trees.leaf_dictionary(table, max_rows=n_trees * 2 ** lf.model.getMaxDepth())
+    ordered = F.array_sort(F.collect_list(F.struct("leaf_value", "idx")))
+    dense = entries.groupBy("tree_id").agg(
+        (F.transform(ordered, lambda e: e["idx"]) == F.sequence(F.lit(0), F.count("idx").cast("int") - 1))
+        .alias("ascending"))
+    return same.join(dense, "tree_id").select("tree_id", "n_unmatched", "ascending")
+
+
+def _positions(df):
+    return df.withColumn("positions", F.transform(tokens_or_empty("feature"), lambda t: t.cast("int")))
+
+
+def q_gbt_root_split(spark, sf):
+    """L1, V7: the first split of the fitted trees, and whether it is the best one that an
+    aggregate over the training rows' hot positions finds."""
+    exp = _expansion(spark, sf, "gbt")
+    gains = trees.split_gains(_positions(exp.training.select("feature", "label")))
+    best = gains.orderBy(F.desc("gain"), "slot").limit(1)
+    near = [F.abs(F.col(f"m.{c}") - F.col(f"b.{c}")) < 1e-9
+            for c in ("n_set", "n_unset", "mean_set", "mean_unset", "gain")]
+    agrees = near[0] & near[1] & near[2] & near[3] & near[4]
+    return trees.first_split(exp.model).alias("m").join(
+        best.alias("b"), F.col("m.slot") == F.col("b.slot"), "left").select(
+        "m.slot", "m.n_set", "m.n_unset", F.round("m.mean_set", ROUND).alias("mean_set"),
+        F.round("m.mean_unset", ROUND).alias("mean_unset"), F.round("m.gain", ROUND).alias("gain"),
+        F.coalesce(agrees, F.lit(False)).alias("agrees"))
+
+
+def q_lr_gradient(spark, sf):
+    """L3: per slot of the training rows and for the intercept (-1), how many rows set it, their
+    label sum, and whether the penalised loss is flat there at the fitted coefficients."""
+    exp = _expansion(spark, sf, "lr")
+    g = linear.lr_gradient(exp.model, _positions(exp.training.select("feature", "label", "score")))
+    return g.select("slot", "n_set", "positives",
+                    (F.abs("gradient") < GRADIENT_TOLERANCE).alias("at_optimum"))
+
+
 def q_leaf_onehot(spark, sf):
     return _leaf(spark, sf).features
 

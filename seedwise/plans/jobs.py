@@ -194,18 +194,21 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     else:
         labelled = users.select("user_id", "feature", F.col(label_col).cast("double").alias("label"))
     train = _decode(labelled, width, binary_attrs).persist(StorageLevel.MEMORY_AND_DISK)
-    if model is None:
+    fitted_here = model is None
+    if fitted_here:
         model = trees.fit_gbt(train, **(gbt_params or {}))
     vec = train.select("user_id", "features")
     # one leafCol pass gives every tree's leaf index for every row
-    per_leaf = trees.tree_leaves(model, vec).select("user_id", "features", "tree_leaves")
+    per_leaf = trees.tree_leaves(model, vec).select("user_id", "tree_leaves")
     per_leaf = per_leaf.persist(StorageLevel.MEMORY_AND_DISK)
     n_trees = len(model.trees)
     max_entries = n_trees * (2 ** model.getMaxDepth())
     if code is not None:
         pass
     elif key == "value":
-        code = trees.LeafCode.by_leaf_index(model, vec, per_leaf, max_entries=max_entries)
+        # a model fitted on these rows has a row in every leaf; another one's leaves are looked up
+        code = trees.LeafCode.by_leaf_index(model, per_leaf=None if fitted_here else per_leaf,
+                                            max_entries=max_entries)
     elif key == "index":
         code = trees.LeafCode.fit(per_leaf, n_trees, col="tree_leaves", max_entries=max_entries)
     else:

