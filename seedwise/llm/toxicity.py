@@ -333,7 +333,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learning: Learning = Lea
     x = made.features([r["hits"] for r in rows], [r["stats"] for r in rows])
     y = label_model.posterior(bits_of([r["mask"] for r in rows], voters.count)) \
         if rows else np.zeros(0)
-    made.model = fit(x, y, np.array([r["_copies"] for r in rows], float), l2=1.0)
+    made.model = fit(x, y, sample_weight=np.array([r["_copies"] for r in rows], float), l2=1.0)
     score = _score_column(made)
     out = noted.withColumn("_s", score("mask", "hits", "stats"))
     return out.select(
