@@ -237,7 +237,7 @@ def indexed_long(df: DataFrame, enc: Encoding, id_col: str = "user_id",
         long_df = long_values(df, enc.layout, id_col, keep)
     j = lookup_join(long_df, enc.dictionary.select(*_VALUE, "idx"), list(_VALUE),
                     small_rows=enc.width, how="left", null_safe=["val", *_ORDER],
-                    salt_from=id_col, small_bytes=enc.size_bytes or None)
+                    salt_from=[c for c in long_df.columns if c not in _VALUE], small_bytes=enc.size_bytes or None)
     return j.withColumn("idx", F.when(F.col("pos").isNotNull(),
                                       _known(F.col("idx"), F.col("val"), unseen)))
 

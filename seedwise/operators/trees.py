@@ -203,10 +203,14 @@ class LeafCode:
     The key is what the encoded column holds per tree: the leaf value (V8
     output) or Spark's leaf index. Slots always number distinct keys of the
     dictionary's own kind, ascending; equal-valued leaves share a slot.
+
+    ``positions``: the feature positions behind the model's slots, where it was trained on
+    the set ones only (a wide table); None where slot and position are one.
     """
 
     def __init__(self, rows: list, n_trees: int, widths: list[int] | None = None):
         self.n_trees = n_trees
+        self.positions: list[int] | None = None
         self.slots: list[dict[float, int]] = [dict() for _ in range(n_trees)]
         for r in rows:
             self.slots[r["tree_id"]][float(r["leaf_value"])] = int(r["idx"])
@@ -238,13 +242,15 @@ class LeafCode:
 
     def to_json(self) -> str:
         """The code as text, so that a later day's leaves take the same slots."""
-        return json.dumps({"widths": self.widths, "slots": [sorted(s.items()) for s in self.slots]})
+        return json.dumps({"widths": self.widths, "slots": [sorted(s.items()) for s in self.slots],
+                           "positions": self.positions})
 
     @classmethod
     def from_json(cls, text: str) -> "LeafCode":
         d = json.loads(text)
         code = cls([], len(d["slots"]), widths=d["widths"])
         code.slots = [{float(k): int(v) for k, v in s} for s in d["slots"]]
+        code.positions = d.get("positions")
         return code
 
     @property

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwise.functions.columns import date_key, has_token, multi_hot, tokens_or_empty
-from seedwise.functions.vectors import dense_to_vector, positions_to_vector
+from seedwise.functions.vectors import dense_to_vector, positions_to_vector, set_slots
 from seedwise.operators import encode, evaluate, linear, populations, ranking, trees
 from seedwise.operators.populations import SeedSet
 from seedwise.plans import jobs, runs
@@ -113,13 +113,12 @@ def q_latest_partition(spark, sf):
 def q_latest_partition_table(spark, sf):
     """S3 + P2 on a real day-partitioned table: events are written partitioned
     by ``stat_date`` (K1), then the newest non-empty day before ``AS_OF`` is
-    found by probing pruned partitions."""
+    found by probing the days of the partition list, newest first."""
     path = scratch_path(spark, "events-by-day")
     ev = tables.with_date_key(P.table(spark, sf, "events"), "ts")
     ev.write.mode("overwrite").partitionBy("stat_date").parquet(path)
-    t = sinks.read_day_partitions(spark, path)
     pred = (F.col("event_type") == F.lit(EVENT_TYPE)) & (F.col("value") > F.lit(EVENT_MIN_VALUE))
-    key, rows = tables.latest_partition(t, AS_OF, where=pred)
+    key, rows = tables.latest_day(spark, AS_OF, path=path, where=pred)
     return rows.groupBy("stat_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -147,14 +146,10 @@ def q_seed_from_table(spark, sf):
 
 
 def q_onehot_decode(spark, sf):
-    from pyspark.ml.functions import vector_to_array
     oh, enc = _onehot(spark, sf)
     vec = positions_to_vector(oh, "feature", enc.width, "features")
-    arr = vector_to_array("features")
-    # keep (slot, value) of the non-zero entries before exploding: k rows per user, not W
-    hot = F.filter(F.transform(arr, lambda v, i: F.struct(i.alias("slot"), v.alias("value"))),
-                   lambda e: e["value"] != 0)
-    return vec.select("user_id", F.explode(hot).alias("e")).select("user_id", "e.slot", "e.value")
+    return vec.select("user_id", F.explode(set_slots("features")).alias("e")) \
+        .select("user_id", "e.slot", "e.value")
 
 
 # ------------------------------------------------------------------ predicates

@@ -181,6 +181,11 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
     With a fitted ``model`` nothing is trained; with its ``code`` too, every day's leaves
     take the same slots (a leaf that the code lacks has no hot slot).
 
+    From a width of ``COMPACT_FROM`` on, the model has one feature for each position that a
+    training row sets. The code keeps these positions, so that a later day, whatever its
+    width, is decoded over the same ones; positions that training never set are left out,
+    since no tree can split on them. A model of such a kind needs its code.
+
     ``key="value"`` slots leaves by their value (equal-valued leaves of a tree
     share a slot); ``key="index"`` uses Spark's leaf index instead.
     """
@@ -193,8 +198,16 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
         labelled = split.withColumn("label", F.when(F.col("half") == 0, 1.0).otherwise(0.0))
     else:
         labelled = users.select("user_id", "feature", F.col(label_col).cast("double").alias("label"))
-    train = _decode(labelled, width, binary_attrs).persist(StorageLevel.MEMORY_AND_DISK)
     fitted_here = model is None
+    if fitted_here:
+        slots = _used_slots(labelled, width)
+    else:
+        slots = None if code is None else code.positions
+        n = width if slots is None else len(slots)
+        if code is None and model.numFeatures != n:
+            raise ValueError(f"the model has {model.numFeatures} features, the table {n}; "
+                             "a model of a compacted table needs its leaf code")
+    train = _decode(labelled, width, binary_attrs, slots).persist(StorageLevel.MEMORY_AND_DISK)
     if fitted_here:
         model = trees.fit_gbt(train, **(gbt_params or {}))
     vec = train.select("user_id", "features")
@@ -213,6 +226,8 @@ def leaf_job(features: DataFrame, *, width: int | None = None, cycle_token: int
         code = trees.LeafCode.fit(per_leaf, n_trees, col="tree_leaves", max_entries=max_entries)
     else:
         raise ValueError(f"unknown leaf key {key!r}")
+    if fitted_here:
+        code.positions = slots
     out = per_leaf.select("user_id", F.array_join(code.onehot("tree_leaves"), ",").alias("feature"))
     return LeafFeatures(out, code, model, per_leaf, train)
 

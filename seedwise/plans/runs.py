@@ -57,9 +57,9 @@ def load_features(spark: SparkSession, features_path: str, as_of: dt.date,
                   ) -> tuple[int, DataFrame]:
     """S3 + P1 + P2 + S8: the newest non-empty day before ``as_of`` of an encoded
     table, rows passing the IN-list, projected to (id, feature_size, feature, cycle)."""
-    t = sinks.read_day_partitions(spark, features_path)
-    key, rows = tables.latest_partition(t, as_of, where=populations.in_list("reader", reader_codes),
-                                        max_lookback_days=max_lookback_days)
+    key, rows = tables.latest_day(spark, as_of, path=features_path,
+                                  where=populations.in_list("reader", reader_codes),
+                                  max_lookback_days=max_lookback_days)
     if key is None:
         within = "" if max_lookback_days is None else f" within {max_lookback_days} days"
         raise ValueError(f"no non-empty partition{within} before {as_of}")

@@ -106,6 +106,63 @@ def latest_partition(df: DataFrame, as_of: dt.date, *, part_col: str = "stat_dat
     return None, df.where(F.lit(False))
 
 
+def partition_days(spark: SparkSession, path: str | None = None, table: str | None = None,
+                   part_col: str = "stat_date") -> list[int]:
+    """Days of a partitioned table, newest first, from metadata alone: the catalogue's
+    partition list, or the names of the folders below ``path``."""
+    if table is not None:
+        specs = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        values = [p.split("=", 1)[1] for spec in specs for p in spec.split("/")
+                  if p.split("=", 1)[0] == part_col]
+        return sorted({int(v) for v in values if v.isdigit()}, reverse=True)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = set()
+    for entry in fs.listStatus(root) if fs.exists(root) else []:
+        name, _, value = entry.getPath().getName().partition("=")
+        if entry.isDirectory() and name == part_col and value.isdigit():
+            days.add(int(value))
+    return sorted(days, reverse=True)
+
+
+def _holds_files(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(not e.getPath().getName().startswith(("_", ".")) for e in fs.listStatus(path))
+
+
+def latest_day(spark: SparkSession, as_of: dt.date, *, path: str | None = None,
+               table: str | None = None, fmt: str = "parquet", part_col: str = "stat_date",
+               where: Column | None = None, max_lookback_days: int | None = None
+               ) -> tuple[int | None, DataFrame | None]:
+    """S3 on a stored table: the newest day before ``as_of`` that has rows passing ``where``;
+    (key, those rows), or ``(None, None)``.
+
+    The candidate days come from the partition list (:func:`partition_days`). Each is probed
+    on its own, newest first, for one passing row, so only files of probed days are read,
+    however many days the table has.
+    """
+    pred = where if where is not None else F.lit(True)
+    floor = None if max_lookback_days is None else _key(as_of - dt.timedelta(days=max_lookback_days))
+    for day in partition_days(spark, path, table, part_col):
+        if day >= _key(as_of):
+            continue
+        if floor is not None and day < floor:
+            break
+        if table is not None:
+            rows = spark.table(table)
+        else:
+            folder = f"{path.rstrip('/')}/{part_col}={day}"
+            if not _holds_files(spark, folder):
+                continue
+            rows = spark.read.format(fmt).option("basePath", path).load(folder)
+        rows = rows.withColumn(part_col, F.col(part_col).cast("bigint")) \
+            .where((F.col(part_col) == day) & pred)
+        if not rows.isEmpty():
+            return day, rows
+    return None, None
+
+
 def with_date_key(df: DataFrame, ts_col: str, out: str = "stat_date") -> DataFrame:
     """Add the ``yyyyMMdd`` partition key of a timestamp/date column."""
     return df.withColumn(out, date_key(ts_col))
