@@ -12,8 +12,8 @@ partitioned by set length: sets at or above the threshold lie in one length band
 neighbouring ones, and share one of their rarest signatures.
 
 At scale: signatures are array functions on the row, nothing is exploded for them. The
-next document by id is found in ranges of ids with a bounded row count each: a range is
-one window partition, and the first row of each range is copied to the range before.
+next document by id is found by numbering slim rows (id, key, length) in ranges and joining
+each number to the next; a text then sends its head and its signatures to the row before.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from seedwise.llm.common import stage, text_or_empty
 from seedwise.llm.components import components
+from seedwise.operators.numbering import ordered_index
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -150,66 +151,85 @@ def near_classes(prints: DataFrame, id_col: str = "doc_id", threshold: float = 0
 
 
 # ------------------------------------------------------------------ edited texts
-def _range_bounds(docs: DataFrame, id_col: str, rows_per_range: int) -> list:
-    n = docs.count()
-    parts = max(1, min(100_000, math.ceil(n / rows_per_range)))
-    if parts == 1:
-        return []
-    fractions = [i / parts for i in range(1, parts)]
-    cut = docs.agg(F.percentile_approx(id_col, fractions, 50 * parts).alias("q")).first()["q"]
-    return sorted(set(cut or []))
-
-
-def _range_of(value: Column, bounds: list) -> Column:
-    """Number of bounds at or below ``value``, in two steps of about sqrt(n) comparisons."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(bounds)))
-    first = F.array(*[F.lit(b) for b in bounds[::step]])
-    groups = F.array(*[F.array(*[F.lit(b) for b in bounds[i:i + step]])
-                       for i in range(0, len(bounds), step)])
-    group = F.size(F.filter(first, lambda b: b <= value))
-    inner = F.size(F.filter(F.get(groups, group - 1), lambda b: b <= value))
-    return F.when(value.isNull() | (group == 0), 0).otherwise((group - 1) * step + inner)
+def _key(id_col: Column, text: Column) -> Column:
+    """16 bytes that name a row by its id and text; rows equal in both share them."""
+    name = id_col.cast("string")
+    marked = F.coalesce(F.concat(F.char_length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+    return F.unhex(F.md5(F.concat(marked, text)))
+
+
+def _successions(base: DataFrame, rows_per_range: int | None) -> DataFrame:
+    """(_key, _id, _copies, _prev, _need) of each distinct row: the key of the row before it
+    (of the last one for the first) and how many code points that row takes from it."""
+    slim = stage(base.groupBy("_key").agg(
+        F.min("_id").alias("_id"), F.max(F.char_length("_text")).alias("_n"),
+        F.count(F.lit(1)).alias("_copies")), "spot-keys")
+    order = [F.col("_id").asc_nulls_first()]
+    shared = slim.groupBy("_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1") \
+        .select(F.col("_id").alias("_shared"))
+    if not shared.isEmpty():                # only rows that share an id are told by their texts
+        ties = base.join(shared, F.col("_id").eqNullSafe(F.col("_shared"))) \
+            .groupBy("_key").agg(F.first("_text").alias("_tie"))
+        slim = slim.join(ties, "_key", "left")
+        order.append(F.col("_tie").asc_nulls_first())
+    n = slim.count()
+    ranges = None if rows_per_range is None else max(1, math.ceil(n / rows_per_range))
+    at = ordered_index(slim, [], order, "_at", buckets=ranges).select(
+        "_key", "_id", "_n", "_copies", "_at")
+    before = at.select(((F.col("_at") + 1) % max(1, n)).alias("_at"), F.col("_key").alias("_prev"),
+                       F.floor(F.col("_n") / 4).cast("int").alias("_need"))
+    return stage(at.join(before, "_at").drop("_at", "_n"), "spot-order")
+
+
+def _times(df: DataFrame, n: str, block: int = 1 << 16) -> DataFrame:
+    """Each row ``n`` times, by blocks, so that no array is longer than ``block``."""
+    last = F.floor((F.col(n) - 1) / block)
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.lit(block), F.col(n) - F.col("_block") * block)
+    return blocks.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("long"), size))) \
+        .drop("_block", "_one")
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    rows_per_range: int = 128) -> DataFrame:
+                    rows_per_range: int | None = None) -> DataFrame:
     """Per row: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, n_signatures. The edited text has its last floor(n_chars / 4) code points replaced by the
     first as many (or all) of the next document in ascending id order, after the last the
     first.
 
-    Null texts are empty; an empty text has the empty fingerprint, like to itself only.
-    Null ids come first and rows of one id are ordered by text; a single row is its own
-    next; an empty table gives no rows; other columns are not read.
+    Ids are of any type with an order. Null texts are empty; an empty text has the empty
+    fingerprint, like to itself only. Null ids come first and rows of one id are ordered by
+    text; of rows equal in id and text all but the last are followed by their own text; a
+    single row is its own next; an empty table gives no rows; other columns are not read.
+
+    The order is found on slim rows (id, 16-byte key, length), numbered in ranges of
+    ``rows_per_range`` rows (default: as many ranges as the session has shuffle partitions).
+    Texts are shuffled once, by key; each then sends what the row before it needs of it.
     """
     base = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    bounds = _range_bounds(docs.select(id_col), id_col, rows_per_range)
-    rows = base.withColumn("_range", _range_of(F.col("_id"), bounds).cast("int"))
-    first = F.min_by(F.col("_text"), F.struct(F.col("_id").isNotNull(), "_id", "_text"))
-    heads = rows.groupBy("_range").agg(first.alias("_text"))
-    heads = stage(heads, "range-heads")
-    present = sorted(r[0] for r in heads.select("_range").collect())   # ranges, not rows
-    before = {b: a for a, b in zip([present[-1], *present[:-1]], present)} if present else {}
-    to = F.create_map(*[F.lit(x) for kv in before.items() for x in kv]) if before else None
-    tails = heads.select(F.lit(None).cast(rows.schema["_id"].dataType).alias("_id"), "_text",
-                         (to[F.col("_range")] if before else F.col("_range")).alias("_range"),
-                         F.lit(1).alias("_tail"))
-    both = rows.withColumn("_tail", F.lit(0)).unionByName(tails)
-    both = both.withColumn("_set", signature_set(F.col("_text")))
-    w = Window.partitionBy("_range").orderBy("_tail", F.col("_id").asc_nulls_first(), "_text")
-    seen = both.select("*", F.lead("_text").over(w).alias("_next"),
-                       F.lead("_set").over(w).alias("_next_set")).where("_tail = 0")
+    base = base.withColumn("_key", _key(F.col("_id"), F.col("_text")))
+    order = _successions(base, rows_per_range)
+    texts = base.groupBy("_key").agg(F.first("_text").alias("_text"))
+    rows = texts.join(order, "_key")
+    given = rows.select(F.col("_prev").alias("_key"),
+                        F.substring("_text", F.lit(1), F.col("_need")).alias("_head"),
+                        signature_set(F.col("_text")).alias("_next_set"))
     n = F.char_length("_text")
     cut = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring("_text", F.lit(1), n - cut),
-                      F.substring("_next", F.lit(1), cut))
-    out = seen.withColumn("n_chars", n.cast("long")).withColumn("_edited", edited)
+    both = texts.join(order.select("_key", "_id", "_copies"), "_key").join(given, "_key") \
+        .withColumn("_set", signature_set(F.col("_text"))) \
+        .withColumn("_own", F.explode(F.when(F.col("_copies") > 1, F.array(F.lit(False), F.lit(True)))
+                                      .otherwise(F.array(F.lit(False)))))
+    head = F.when(F.col("_own"), F.substring("_text", F.lit(1), cut)).otherwise(F.col("_head"))
+    out = both.withColumn("_edited", F.concat(F.substring("_text", F.lit(1), n - cut), head))
     out = out.withColumn("_edited_set", signature_set(F.col("_edited")))
-    return out.select(
-        F.col("_id").alias(id_col), "n_chars", F.sha2(F.col("_edited"), 256).alias("edited_sha256"),
+    following = F.when(F.col("_own"), F.col("_set")).otherwise(F.col("_next_set"))
+    out = out.select(
+        F.col("_id").alias(id_col), n.cast("long").alias("n_chars"),
+        F.sha2(F.col("_edited"), 256).alias("edited_sha256"),
         as_string("_set").alias("fingerprint"), as_string("_edited_set").alias("edited_fingerprint"),
         likeness(F.col("_set"), F.col("_edited_set")).alias("near_edited"),
-        likeness(F.col("_set"), F.col("_next_set")).alias("near_next"),
-        F.size("_set").alias("n_signatures"))
+        likeness(F.col("_set"), following).alias("near_next"),
+        F.size("_set").alias("n_signatures"),
+        F.when(F.col("_own"), F.col("_copies") - 1).otherwise(F.lit(1)).alias("_rows"))
+    return _times(out, "_rows").drop("_rows")

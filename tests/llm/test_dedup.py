@@ -113,6 +113,38 @@ def test_edited_texts_and_next_documents(spark):
     assert all(len(v) == 1 for v in same.values())
 
 
+def _edited_brute(rows):
+    """(id, n_chars, edited_sha256, next text) of (id, text) rows, null ids first."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
+    out = []
+    for k, (i, text) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited = text[:len(text) - cut] + following[:cut]
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    return collections.Counter(out)
+
+
+@pytest.mark.parametrize("rows_per_range", [None, 7])
+def test_next_document_with_text_ids_null_ids_and_copies(spark, rows_per_range):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("ab \n数é") for _ in range(rnd.randrange(40))) for _ in range(60)]
+    rows = [(None if rnd.random() < 0.3 else f"id{rnd.randrange(120)}", rnd.choice(texts))
+            for _ in range(400)] + [("id5", "copy of a row")] * 90 + [(None, "")] * 50
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = spotsigs.edited_likeness(docs, rows_per_range=rows_per_range).collect()
+    expect = _edited_brute([(i, t) for i, t in rows])
+    assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == expect
+    copies = [r for r in got if r.doc_id == "id5" and r.n_chars == 13 and r.near_next == 1.0]
+    assert len(copies) >= 89
+
+
+def test_rows_are_repeated_in_blocks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 4), ("d", 8)], "v string, n long")
+    got = spotsigs._times(df, "n", block=4).groupBy("v", "n").count().collect()
+    assert all(r["count"] == r.n for r in got) and len(got) == 4
+
+
 def test_chains_reach_to_the_end_and_no_text_with_words_is_empty(spark):
     from pyspark.sql import functions as F
     rnd = random.Random(7)
