@@ -8,7 +8,8 @@ the copies of a good page do not reject each other.
 
 One pass of Python turns each text into a small row (counts and its distinct lines as
 64-bit hashes); the rest is DataFrame work on these. Counts are pre-aggregated before
-each shuffle, so a line in a third of all documents is one key with few partial rows.
+each shuffle, so a line in a third of all documents is one key with few partial rows. The frequent lines
+are broadcast up to a checked size; above it they are joined with hot lines salted.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwise.llm.common import stage, text_or_empty, utf8_column
+from seedwise.operators.joins import lookup_join
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 WINDOW = 8
@@ -136,13 +138,12 @@ def line_rules(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     A null text has no words and fails the base rule; a null source is one host; repeated
     rows are judged each; an empty table gives no rows; other columns are not read.
     """
-    table = stage(line_table(docs), "lines").withColumn("_row", F.monotonically_increasing_id())
-    frequent = frequent_lines(table, limits).withColumnRenamed("host", "_host") \
-        .withColumnRenamed("line", "_line")
+    table = stage(line_table(docs).withColumn("_row", F.monotonically_increasing_id()), "lines")
+    frequent = stage(frequent_lines(table, limits).select("host", "line"), "frequent-lines")
     lines = table.select("_row", "host", F.explode("lines").alias("l")) \
         .select("_row", "host", "l.line", "l.words")
-    removed = (lines.join(frequent, (lines["line"] == frequent["_line"])
-                          & lines["host"].eqNullSafe(frequent["_host"]))
+    removed = (lookup_join(lines, frequent, ["host", "line"], frequent.count(), how="inner",
+                           null_safe=["host"], salt_from="_row")
                .groupBy("_row").agg(F.sum("words").alias("_removed")))
     out = table.drop("lines").join(removed, "_row", "left")
     n, gone = F.col("n_words"), F.coalesce(F.col("_removed"), F.lit(0))

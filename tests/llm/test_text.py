@@ -253,6 +253,20 @@ def test_frequent_lines_deplete(spark):
     assert copies == {True}
 
 
+def test_hot_lines_beyond_the_broadcast_limit(spark, monkeypatch):
+    from seedwise.operators import joins
+    texts = [f"a menu that every page of the host has on top\nand words of page {'abcdefgh'[i % 8]}"
+             f" that only some of its pages have {'xyz'[i % 3] * (1 + i // 24)}" for i in range(240)]
+    docs = frame(spark, texts, sources=[None if i % 3 else "h" for i in range(240)])
+    expect = sorted(line_rules.line_rules(docs).collect())
+    assert {r.n_removed_words for r in expect} == {11}
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    out = line_rules.line_rules(docs)
+    assert "_salt" in out._jdf.queryExecution().toString()
+    assert sorted(out.collect()) == expect
+
+
 def test_limit_does_not_rise_with_the_host(spark):
     """A line in 300 documents of a host of 200,000 goes like one in 11 of a small host."""
     from pyspark.sql import functions as F
