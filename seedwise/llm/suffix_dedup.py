@@ -18,6 +18,9 @@ somewhere else, in the same text or another; strings never cross texts.
 4. A gram with more kinds than ``BUCKET`` (a passage's edge in very many texts) is not
    gathered: its windows are counted by 128-bit digest, in packed ranges, over all tasks.
 
+Rows of a gram or content found very often never meet in one task: these few keys are
+broadcast, and only the others' rows are shuffled to meet theirs (``_matched``).
+
 Texts cross the network twice, compressed, each time to meet small per-document lists.
 """
 
@@ -37,6 +40,10 @@ GRAM = 40
 BUCKET = 512
 #: Windows in one range of digests, for fuller grams.
 RANGE_WINDOWS = 500_000
+#: A key with more rows than this, and than a share of 1 / ``HOT_KEYS`` of all, is hot.
+HOT_ROWS = 10_000
+#: There are fewer hot keys than this, so they are broadcast.
+HOT_KEYS = 10_000
 #: Bytes of one sorted block.
 BLOCK = 1 << 19
 #: Texts are hashed in stretches of this many bytes.
@@ -96,8 +103,10 @@ def _sliding_min(key, width: int):
 
 def units(x, ends, hasher: _Hasher, length: int = LENGTH, gram: int = GRAM):
     """Units of a stretch ``x`` (bytes as uint8) of texts that end at ``ends``: arrays of
-    first window, last window, anchor, gram hash and content hash."""
+    first window, last window, anchor, gram hash and content hash (XXH3 of all its bytes,
+    seeded by the anchor's place)."""
     import numpy as np
+    import xxhash
     empty = np.zeros(0, dtype=np.int64)
     if len(x) < length:
         return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
@@ -123,8 +132,10 @@ def units(x, ends, hasher: _Hasher, length: int = LENGTH, gram: int = GRAM):
     first = window[np.concatenate([[0], new])]
     last = window[np.concatenate([new - 1, [len(window) - 1]])]
     own = anchor[np.concatenate([[0], new])]
-    content = hasher.between(prefix, first, last + length)
-    content = _mixed(content + ((last - first) * 1024 + (own - first)).astype(np.uint64))
+    raw = x.tobytes()
+    content = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], seed=k) for a, b, k in zip(
+        first.tolist(), (last + length).tolist(), (own - first).tolist())),
+        dtype=np.uint64, count=len(first))
     return first, last, own, grams[own], content
 
 
@@ -286,16 +297,19 @@ def _digest_buckets(contexts: DataFrame, length: int) -> DataFrame:
     """The same marks for grams of very many kinds: windows counted by 128-bit digest.
 
     Kinds are gathered in packs of bounded size; a pack asks, for each range of digests and
-    in one row, which of its digests occur twice anywhere."""
+    in one row, which of its digests occur twice anywhere. It names each digest once and says
+    whether it holds it twice, so a window in very many texts is one entry per pack."""
     total = contexts.agg(F.sum(F.length("content") - (length - 1))).first()[0] or 0
     ranges = max(1, -(-int(total) // RANGE_WINDOWS))
     packs = stage(_packs(contexts, length), "packs")
     asked = packs.select("pack", "one", "two").mapInArrow(
-        lambda batches: _ask(batches, ranges), "range int, pack long, one binary, two binary")
+        lambda batches: _ask(batches, ranges),
+        "range int, pack long, one binary, two binary, again binary")
     dealt = asked.repartition(ranges, "range").sortWithinPartitions("range")
     answers = stage(dealt.mapInArrow(_answer, "range int, pack long, twice binary"), "twice")
     own = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "twice")).alias("answers"))
-    return packs.join(own, "pack").select("ids", "hs", "firsts", "many", "one", "answers").mapInArrow(
+    return packs.join(own, "pack").select(
+        "ids", "hs", "firsts", "many", "one", "two", "answers").mapInArrow(
         lambda batches: _told(batches, ranges), "_id long, _h int, a long, b long")
 
 
@@ -305,30 +319,29 @@ def _packs(contexts: DataFrame, length: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
         from pyspark import TaskContext
-        hashers = _Hasher(7), _Hasher(11)
         task, made = TaskContext.get().partitionId(), 0
 
         def work(rows):
             nonlocal made
             made += 1
-            x = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
-            many = np.array([len(r[3]) - length + 1 for r in rows])
-            begin = np.cumsum(many + length - 1) - (many + length - 1)
-            at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - begin, many)
-            one, two = (h.between(h.prefix(x), at, at + length) for h in hashers)
+            many = [len(r[3]) - length + 1 for r in rows]
+            digests = np.frombuffer(b"".join(
+                xxhash.xxh3_128_digest(r[3][k:k + length]) for r, n in zip(rows, many)
+                for k in range(n)), dtype=np.uint64)
+            one, two = digests[::2], digests[1::2]
             name = xxhash.xxh64_intdigest(f"{task}:{made}") >> 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([name], pa.int64()), pa.array([[r[0] for r in rows]], pa.list_(pa.int64())),
                  pa.array([[r[1] for r in rows]], pa.list_(pa.int32())),
                  pa.array([[r[2] >> 20 for r in rows]], pa.list_(pa.int64())),
-                 pa.array([many.tolist()], pa.list_(pa.int32())),
+                 pa.array([many], pa.list_(pa.int32())),
                  pa.array([one.tobytes()], pa.binary()), pa.array([two.tobytes()], pa.binary())],
                 names=["pack", "ids", "hs", "firsts", "many", "one", "two"])
 
         rows, size = [], 0
         for batch in batches:
             for r in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                if size + len(r[3]) > min(BLOCK, STRETCH) and rows:
+                if size + len(r[3]) > BLOCK and rows:
                     yield work(rows)
                     rows, size = [], 0
                 rows.append(r)
@@ -341,6 +354,19 @@ def _packs(contexts: DataFrame, length: int) -> DataFrame:
              "one binary, two binary")
 
 
+def _distinct(one, two):
+    """Distinct digests in order, how often each occurs, and the number of each entry's."""
+    import numpy as np
+    order = np.lexsort((two, one))
+    a, b = one[order], two[order]
+    new = np.ones(len(one), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    number = np.cumsum(new) - 1
+    which = np.empty(len(one), dtype=np.int64)
+    which[order] = number
+    return a[new], b[new], np.bincount(number), which
+
+
 def _by_range(one, ranges: int):
     import numpy as np
     own = ((one >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
@@ -354,13 +380,15 @@ def _ask(batches: Iterator, ranges: int) -> Iterator:
     import pyarrow as pa
     for batch in batches:
         for name, one, two in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+            one, two, count, _ = _distinct(np.frombuffer(one, np.uint64),
+                                           np.frombuffer(two, np.uint64))
             parts = _by_range(one, ranges)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r for r, _ in parts], pa.int32()), pa.array([name] * len(parts), pa.int64()),
                  pa.array([one[p].tobytes() for _, p in parts], pa.binary()),
-                 pa.array([two[p].tobytes() for _, p in parts], pa.binary())],
-                names=["range", "pack", "one", "two"])
+                 pa.array([two[p].tobytes() for _, p in parts], pa.binary()),
+                 pa.array([np.packbits(count[p] > 1).tobytes() for _, p in parts], pa.binary())],
+                names=["range", "pack", "one", "two", "again"])
 
 
 def _answer(batches: Iterator) -> Iterator:
@@ -370,12 +398,12 @@ def _answer(batches: Iterator) -> Iterator:
     def work(rows):
         one = np.concatenate([np.frombuffer(r[2], np.uint64) for r in rows])
         two = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
-        order = np.lexsort((two, one))
-        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-        twice = np.zeros(len(one), dtype=np.uint8)
-        twice[order[1:][same]] = 1
-        twice[order[:-1][same]] = 1
-        parts = np.split(twice, np.cumsum([len(r[2]) // 8 for r in rows])[:-1])
+        sizes = [len(r[2]) // 8 for r in rows]
+        again = np.concatenate([np.unpackbits(np.frombuffer(r[4], np.uint8), count=n)
+                                for r, n in zip(rows, sizes)])
+        _, _, packs, which = _distinct(one, two)
+        total = packs + np.bincount(which, weights=again, minlength=len(packs))
+        parts = np.split(total[which] > 1, np.cumsum(sizes)[:-1])
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
              pa.array([np.packbits(t).tobytes() for t in parts], pa.binary())],
@@ -383,7 +411,7 @@ def _answer(batches: Iterator) -> Iterator:
 
     rows: list = []
     for batch in batches:
-        for r in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        for r in zip(*(batch.column(k).to_pylist() for k in range(5))):
             if rows and rows[-1][0] != r[0]:
                 yield work(rows)
                 rows = []
@@ -396,13 +424,15 @@ def _told(batches: Iterator, ranges: int) -> Iterator:
     import numpy as np
     import pyarrow as pa
     for batch in batches:
-        for ids, hs, firsts, many, one, answers in zip(
-                *(batch.column(k).to_pylist() for k in range(6))):
-            one = np.frombuffer(one, np.uint64)
+        for ids, hs, firsts, many, one, two, answers in zip(
+                *(batch.column(k).to_pylist() for k in range(7))):
+            one, _, _, which = _distinct(np.frombuffer(one, np.uint64),
+                                         np.frombuffer(two, np.uint64))
             told = {a["range"]: a["twice"] for a in answers}
             found = np.zeros(len(one), dtype=bool)
             for r, p in _by_range(one, ranges):
                 found[p] = np.unpackbits(np.frombuffer(told[r], np.uint8), count=len(p)) > 0
+            found = found[which]
             out = [(i, h, first + a, first + b) for i, h, first, flags in
                    zip(ids, hs, firsts, np.split(found, np.cumsum(many)[:-1]))
                    for a, b in _runs(flags)]
@@ -435,21 +465,36 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.select("_id", "_h", "_text").mapInArrow(tidy(run), "_id long, _h int, _z binary")
 
 
+def _matched(table: DataFrame, found: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """``table`` joined to the staged ``found``, which holds each key once. ``size`` is at least
+    the key's number of rows in ``table``, at most ``total`` over all keys: hot keys are fewer than
+    ``HOT_KEYS``, so they are broadcast and their rows stay where they are."""
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    hot = found.where(F.col(size) > limit)
+    if hot.isEmpty():
+        return table.join(found, on)
+    rest = table.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rest.join(found.where(F.col(size) <= limit), on).unionByName(
+        table.join(F.broadcast(hot), on))
+
+
 def repeated_marks(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(_id, _h, marks): per text, arrays of [a, b] runs of window starts that repeat."""
     table = stage(unit_table(rows, length), "units")
-    twice = table.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
-    table = stage(table.join(twice, "g"), "repeated-grams")
+    total = table.count()
+    twice = stage(table.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice-grams")
+    table = stage(_matched(table, twice, ["g"], "n", total).drop("n"), "repeated-grams")
     kinds = stage(table.groupBy("g", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_h", "w")).alias("one")), "kinds")
-    whole = kinds.where("n > 1").select("g", "c")
+    whole = kinds.where("n > 1").select("g", "c", "n")
     w = F.col("w")
     first = F.shiftright(w, 20)
     last = first + F.shiftright(w, 10).bitwiseAND(1023)
-    marks = table.join(whole, ["g", "c"]).select("_id", "_h", first.alias("a"), last.alias("b"))
-    of_gram = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")) \
-        .where("kinds > 1 and least = 1").select("g", "kinds")
-    asked = kinds.join(of_gram, "g").select("one._id", "one._h", F.struct(
+    marks = _matched(table, whole, ["g", "c"], "n", total).select(
+        "_id", "_h", first.alias("a"), last.alias("b"))
+    of_gram = stage(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
+                    .where("kinds > 1 and least = 1").select("g", "kinds"), "kinds-of-gram")
+    asked = _matched(kinds, of_gram, ["g"], "kinds", total).select("one._id", "one._h", F.struct(
         "g", "one.w", (F.col("kinds") > BUCKET).alias("full")).alias("ask"))
     asked = asked.groupBy("_id", "_h").agg(F.collect_list("ask").alias("asks"))   # per document
     contexts = stage(_contexts(_packed(rows).join(asked, ["_id", "_h"]), length), "contexts")

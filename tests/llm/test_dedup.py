@@ -219,9 +219,10 @@ def brute_removed(texts):
     return out
 
 
-@pytest.mark.parametrize("bucket", [512, 1])
-def test_removed_bytes(spark, bucket, monkeypatch):
+@pytest.mark.parametrize("bucket,hot_rows", [(512, 10_000), (1, 10_000), (512, 2), (1, 2)])
+def test_removed_bytes(spark, bucket, hot_rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot_rows)
     rnd = random.Random(9)
     base = "".join(rnd.choice("abcd ") for _ in range(2000))
     texts = list(AWKWARD)
@@ -238,6 +239,52 @@ def test_removed_bytes(spark, bucket, monkeypatch):
     assert all(r.text is None or r.n_chars == len(r.text) for r in kept.collect())
 
 
+def test_hot_keys_keep_their_rows_in_place(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 50)
+    monkeypatch.setattr(suffix_dedup, "HOT_KEYS", 3)
+    rows = spark.range(900).selectExpr("if(id < 600, 0, id div 2) k", "id v")
+    found = suffix_dedup.stage(rows.groupBy("k").count().where("count > 1"), "found")
+    got = suffix_dedup._matched(rows, found, ["k"], "count", 900)
+    assert sorted(tuple(r) for r in got.select("k", "v", "count").collect()) == \
+        [(0, v, 600) for v in range(600)] + [(v // 2, v, 2) for v in range(600, 900)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "broadcast" in plan
+
+
+def test_a_pack_names_each_window_once():
+    import numpy as np
+    import pyarrow as pa
+    rnd = np.random.default_rng(4)
+    packs = [rnd.integers(0, 40, 200).astype(np.uint64) << np.uint64(32) for _ in range(3)]
+    packs.append(np.arange(100, 130).astype(np.uint64) << np.uint64(32))
+    ask = pa.RecordBatch.from_arrays(
+        [pa.array(range(4)), pa.array([p.tobytes() for p in packs]),
+         pa.array([(p * np.uint64(3)).tobytes() for p in packs])], names=["pack", "one", "two"])
+    asked = pa.Table.from_batches(suffix_dedup._ask(iter([ask]), 5)).sort_by("range")
+    assert sum(len(b) // 8 for b in asked.column("one").to_pylist()) == \
+        sum(len(set(p.tolist())) for p in packs)
+    answers = pa.Table.from_batches(suffix_dedup._answer(
+        asked.combine_chunks().to_batches())).to_pylist()
+    everywhere = collections.Counter(v for p in packs for v in p.tolist())
+    for k, p in enumerate(packs):
+        told = pa.RecordBatch.from_arrays(
+            [pa.array([list(range(len(p)))]), pa.array([[0] * len(p)]), pa.array([[0] * len(p)]),
+             pa.array([[1] * len(p)]), pa.array([p.tobytes()]),
+             pa.array([(p * np.uint64(3)).tobytes()]),
+             pa.array([[{"range": a["range"], "twice": a["twice"]} for a in answers if a["pack"] == k]])],
+            names=["ids", "hs", "firsts", "many", "one", "two", "answers"])
+        marked = [i for b in suffix_dedup._told(iter([told]), 5) for i in b.column(0).to_pylist()]
+        assert marked == [i for i, v in enumerate(p.tolist()) if everywhere[v] > 1]
+
+
+def test_windows_of_structured_texts_stay_apart(spark):
+    """Two strings that cancel in polynomial hashes modulo 2^64, with one common gram."""
+    bits = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    texts = [bits, bits.translate(str.maketrans("ab", "ba"))]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_removed(texts)))
+
+
 def test_texts_longer_than_a_stretch(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "STRETCH", 4096)
     rnd = random.Random(2)
