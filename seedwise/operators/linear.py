@@ -30,6 +30,27 @@ def score_lr(model: LogisticRegressionModel, df: DataFrame, features: str = "fea
     return scored.withColumn(out, val.cast("double")).drop("_pred", "_prob", "_raw")
 
 
+def _weights(model: LogisticRegressionModel, spark) -> DataFrame:
+    """(slot, _w): the coefficients, which the fitted model holds on the driver anyway."""
+    vector = model.coefficients
+    pairs = list(zip(vector.indices.tolist(), vector.values.tolist())) if hasattr(vector, "indices") \
+        else list(enumerate(vector.toArray().tolist()))
+    return spark.createDataFrame(pairs or [(-1, 0.0)], "slot int, _w double")
+
+
+def margins(model: LogisticRegressionModel, rows: DataFrame, id_col: str = "user_id",
+            positions: str = "positions") -> DataFrame:
+    """L4 without a vector: ``id_col, margin``, the intercept and the coefficients at a row's hot
+    positions, added up. The hard class is 1 where the margin is positive. Ids are distinct; a
+    row without positions, or with null ones, has the intercept; a repeated position counts once.
+    """
+    sums = (rows.select(id_col, F.explode(F.array_distinct(positions)).alias("slot"))
+            .join(_weights(model, rows.sparkSession), "slot")
+            .groupBy(id_col).agg(F.sum("_w").alias("_s")))
+    return rows.select(id_col).join(sums, id_col, "left").select(
+        id_col, (F.lit(float(model.intercept)) + F.coalesce("_s", F.lit(0.0))).alias("margin"))
+
+
 def lr_gradient(model: LogisticRegressionModel, rows: DataFrame, positions: str = "positions",
                 label: str = "label", score: str = "score") -> DataFrame:
     """L3: the gradient of the penalised loss at the fitted coefficients, per slot:
@@ -46,10 +67,7 @@ def lr_gradient(model: LogisticRegressionModel, rows: DataFrame, positions: str
     y, miss = F.col(label).cast("double"), F.col(score) - F.col(label)
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("y"), F.sum(miss).alias("d")).first()
     n = float(total["n"])
-    vector = model.coefficients
-    pairs = list(zip(vector.indices.tolist(), vector.values.tolist())) if hasattr(vector, "indices") \
-        else list(enumerate(vector.toArray().tolist()))
-    weights = spark.createDataFrame(pairs or [(-1, 0.0)], "slot int, _w double")
+    weights = _weights(model, spark)
     per_slot = (rows.select(y.alias("_y"), miss.alias("_d"),
                             F.explode(F.array_distinct(positions)).alias("slot"))
                 .groupBy("slot").agg(F.count(F.lit(1)).alias("n_set"), F.sum("_y").alias("positives"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seedwise.functions.columns import date_key, has_token, multi_hot, tokens_or_empty
@@ -571,6 +571,38 @@ def q_lr_gradient(spark, sf):
                     (F.abs("gradient") < GRADIENT_TOLERANCE).alias("at_optimum"))
 
 
+def q_lr_hard_agrees(spark, sf):
+    """L4: the scored users, and whether the hard class is 1 exactly where the margin, added up
+    from the coefficients at the user's hot positions, is positive."""
+    oh, width = _encoded(spark, sf)
+    exp = jobs.expand(oh, _seeds(spark, sf), model="lr", width=width, hard_lr=True)
+    sums = linear.margins(exp.model, _positions(oh.select("user_id", "feature")))
+    return exp.scores.join(sums, "user_id").select(
+        "user_id", (F.col("score") == F.when(F.col("margin") > 0, 1.0).otherwise(0.0)).alias("agrees"))
+
+
+def q_leaf_text_agrees(spark, sf):
+    """Per user, the ones in the leaf text read back from the day's table, and whether the
+    text has one 0 or 1 per dictionary entry and its ones are the entries of the values that
+    each tree's own model gives the user."""
+    lf = _leaf(spark, sf)
+    path = scratch_path(spark, "leaf-text")
+    sinks.write_day_partition(lf.features, path, sinks.day_key(AS_OF))
+    most = len(lf.model.trees) * 2 ** lf.model.getMaxDepth()
+    entries = trees.leaf_dictionary(trees.leaf_table(trees.leaf_value_map(lf.model)), max_rows=most)
+    # one row per entry, at most ``most`` in all: their places in the text
+    places = entries.withColumn("place", F.row_number().over(Window.orderBy("tree_id", "idx")) - 1)
+    given = trees.tree_scores(lf.model, lf.vectors).select(
+        "user_id", F.posexplode("tree_scores").alias("tree_id", "leaf_value"))
+    want = given.join(F.broadcast(places), ["tree_id", "leaf_value"]).groupBy("user_id").agg(
+        F.sort_array(F.collect_list("place")).alias("want"))
+    signs = F.split("feature", ",")
+    ones = F.array_compact(F.transform(signs, lambda s, i: F.when(s == "1", i)))
+    whole = F.forall(signs, lambda s: s.isin("0", "1")) & (F.size(signs) == F.lit(entries.count()))
+    return sinks.read_day_partitions(spark, path).join(want, "user_id").select(
+        "user_id", "stat_date", F.size(ones).alias("n_hot"), (whole & (ones == F.col("want"))).alias("agrees"))
+
+
 def q_leaf_onehot(spark, sf):
     return _leaf(spark, sf).features
 

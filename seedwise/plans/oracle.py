@@ -274,6 +274,9 @@ FROM orders o, n, k, d WHERE k.v = o.o_custkey AND d.v = strftime(o.o_orderdate,
   (SELECT count(*) FROM negatives) AS negatives""", _ratio_cte(10)),
     "leaf_onehot_hot": _w(f"SELECT user_id, CAST({GBT_ITERATIONS} AS INTEGER) AS n_hot FROM ru WHERE cyc"),
     "leaf_sink_users": _w(f"SELECT user_id, CAST({_AS_OF} AS BIGINT) AS stat_date FROM ru WHERE cyc"),
+    "leaf_text_agrees": _w(f"""SELECT user_id, CAST({_AS_OF} AS BIGINT) AS stat_date,
+  CAST({GBT_ITERATIONS} AS INTEGER) AS n_hot, TRUE AS agrees FROM ru WHERE cyc"""),
+    "lr_hard_agrees": _w("SELECT user_id, TRUE AS agrees FROM ru WHERE cyc AND NOT is_seed"),
     "feature_sink_roundtrip": _w(f"""SELECT *, CAST({_AS_OF} AS BIGINT) AS stat_date FROM onehot
 UNION ALL SELECT *, CAST({_YESTERDAY} AS BIGINT) AS stat_date FROM onehot""", ONEHOT),
     "score_sink_roundtrip": _w(f"SELECT user_id, score, CAST({_YESTERDAY} AS BIGINT) AS stat_date FROM scored"),

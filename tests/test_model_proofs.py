@@ -116,3 +116,16 @@ def test_leaf_job_with_a_given_model_uses_the_observed_leaves(spark, rows):
     assert sorted(map(tuple, first.features.collect())) == sorted(map(tuple, again.features.collect()))
     one = jobs.leaf_job(feats.where("user_id = 5"), model=first.model, **args)
     assert one.code.width == 3 and one.features.first().feature == "1,1,1"
+
+
+def test_margins_are_those_of_the_model(spark, rows):
+    model = linear.fit_lr(rows)
+    got = {r.user_id: r.margin for r in linear.margins(model, rows).collect()}
+    w = model.coefficients.toArray()
+    for r in rows.collect():
+        assert got[r.user_id] == pytest.approx(model.intercept + sum(w[p] for p in r.positions))
+    hard = {r.user_id: r.score for r in linear.score_lr(model, rows, hard=True).collect()}
+    assert hard == {i: float(m > 0) for i, m in got.items()}
+    odd = spark.createDataFrame([(1, []), (2, None), (3, [3, 3])], "user_id long, positions array<int>")
+    assert {r.user_id: pytest.approx(r.margin) for r in linear.margins(model, odd).collect()} == \
+        {1: model.intercept, 2: model.intercept, 3: model.intercept + w[3]}
