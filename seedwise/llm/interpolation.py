@@ -24,12 +24,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seedwise.llm.common import id_remainder, stage, text_or_empty, tidy, utf8_column
+from seedwise.llm.common import (id_remainder, shuffle_partitions, stage, text_or_empty, tidy,
+                                 utf8_column)
 
 #: Text bytes of one block.
 BLOCK = 8 << 20
 #: Tokens per hash range: sets the number of ranges from the size of the corpus.
 RANGE_TOKENS = 500_000
+#: Blocks whose answers one task gathers, in the mean: sets the number of such tasks.
+BLOCKS_A_TASK = 4
 KEPT, DELETED, HELD_OUT = 0, 1, 2
 BUCKETS = 24
 _STEPS = 4                       # histogram cells per factor of two
@@ -342,14 +345,16 @@ def model_scores(docs: DataFrame, role: Column | None = None, id_col: str = "doc
     sizes = table.agg(
         F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"),
         F.sum(F.when(F.col("role") != HELD_OUT, F.size("ids"))).alias("texts"),
-        F.sum(F.when(F.col("role") == KEPT, F.size("ids"))).alias("kept")).first()
+        F.sum(F.when(F.col("role") == KEPT, F.size("ids"))).alias("kept"),
+        F.count(F.lit(1)).alias("blocks")).first()
     ranges = max(1, math.ceil((sizes["n"] or 0) / RANGE_TOKENS))
     texts, texts_kept = sizes["texts"] or 0, sizes["kept"] or 0
     answers = stage(_answers(_requests(table, ranges), ranges), "answers")
     sums = answers.where("n = 1").agg(*[F.sum(c).alias(c) for c in (
         "tokens_all", "types_all", "tokens_kept", "types_kept")]).first().asDict()
     sums = {k: v or 0 for k, v in sums.items()}
-    grouped = answers.groupBy("block").agg(          # the answers to one block's requests
+    n = max(shuffle_partitions(docs.sparkSession), math.ceil(sizes["blocks"] / BLOCKS_A_TASK))
+    grouped = answers.repartition(n, "block").groupBy("block").agg(     # answers to one block
         F.collect_list(F.struct("n", "range", "every", "kept")).alias("answers"))
     cells = _histogram(table.where(F.col("role") == DELETED).join(grouped, "block"), ranges,
                        texts_kept, sums["tokens_kept"]).collect()
