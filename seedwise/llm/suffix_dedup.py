@@ -46,8 +46,8 @@ HOT_ROWS = 10_000
 HOT_KEYS = 10_000
 #: Bytes of one sorted block.
 BLOCK = 1 << 19
-#: Texts are hashed in stretches of this many bytes.
-STRETCH = 1 << 20
+#: Texts are hashed in stretches of this many bytes; a task holds some 100 bytes for each.
+STRETCH = 1 << 17
 # A perfect difference set modulo 31 (every residue is a difference).
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
@@ -622,12 +622,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = _cut_column(length)
     rows = _keyed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                               F.col(id_col), F.col(text_col)), id_col, text_col)
-    joined = rows.select("_row", "_id", "_h", "_text").join(
+    # the text crosses the network once, inside its row
+    joined = rows.select("_row", "_id", "_h").join(
         repeated_marks(rows, length), ["_id", "_h"], "left")
-    joined = joined.withColumn("_new", F.when(
-        F.col("marks").isNotNull(), cut(F.when(F.col("marks").isNotNull(), F.col("_text")), "marks"))) \
-        .where("marks is null or _new != ''")
     hit = F.col("marks").isNotNull()
+    text = text_or_empty(f"_row.`{text_col}`")
+    joined = joined.withColumn("_new", F.when(hit, cut(F.when(hit, text), "marks"))) \
+        .where("marks is null or _new != ''")
     out = {text_col: F.when(hit, F.col("_new")).otherwise(F.col(f"_row.`{text_col}`"))}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(hit, F.char_length("_new").cast(docs.schema["n_chars"].dataType)) \

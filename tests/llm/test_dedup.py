@@ -299,3 +299,27 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.root for r in
            components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_hashing_takes_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    raws = [random.Random(k).randbytes(100_000) for k in range(30)]
+    tracemalloc.start()
+    try:
+        hasher = suffix_dedup._Hasher()
+        for _, parts in suffix_dedup._stretches(raws, suffix_dedup.LENGTH):
+            x = np.frombuffer(b"".join(parts), dtype=np.uint8)
+            suffix_dedup.units(x, np.cumsum([len(p) for p in parts])[:-1], hasher)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32 << 20
+
+
+def test_texts_to_be_cut_cross_the_network_once(spark):
+    texts = [("shared passage " * 20) + str(k) for k in range(4)] + ["short", None]
+    cut = suffix_dedup.remove_repeats(frame(spark, texts))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row#" in plan and "_text#" not in plan
